@@ -47,13 +47,13 @@ def entity_slice(df: DataFrame, key: str, part: str) -> DataFrame:
     if not 1 <= i <= n:
         raise ValueError(f"slice {part!r} is not within 1..n")
     ranked = rank_rows(df, [key], "_rank")
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
     size = F.floor(F.col("_total") / F.lit(n))
     low, high = size * (i - 1), size * i
     keep = F.col("_rank") > low
     if i < n:
         keep = keep & (F.col("_rank") <= high)
-    return ranked.crossJoin(total).where(keep).drop("_rank", "_total")
+    return ranked.withColumn("_total", total).where(keep).drop("_rank", "_total")
 
 
 def assign_entity_id(df: DataFrame, key: str, label: int, width: int = 10) -> DataFrame:
