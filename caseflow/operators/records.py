@@ -133,13 +133,14 @@ def exercise_range(df: DataFrame, col: str = "ExerciseDuration") -> DataFrame:
 def exercise_end(df: DataFrame, minutes: str = "ExerciseDuration") -> DataFrame:
     """End time ``DT_e`` of an exercise."""
     return df.withColumn(
-        "DT_e", tg.from_micros(tg.micros("DT_s") + (F.col(minutes) * tg.MINUTE).cast("bigint"))
+        "DT_e", tg.from_micros(tg.micros("DT_s") + (F.col(minutes).cast("double") * tg.MINUTE).cast("bigint"))
     )
 
 
 def patient_record(df: DataFrame) -> DataFrame:
     """Demographics: disease type as one-decimal text, unknown offset 0."""
-    kind = F.coalesce(F.format_number(F.col("DiseaseType").cast("double"), "0.0"), F.lit("nan"))
+    number = F.col("DiseaseType").cast("double")
+    kind = F.when(number.isNull(), "nan").otherwise(F.format_string("%.1f", number))
     return df.withColumn("DiseaseType", kind).withColumn(
         "UserTimeZoneOffset", F.coalesce(F.col("UserTimeZoneOffset").cast("int"), F.lit(0))
     )

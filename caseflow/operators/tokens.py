@@ -136,7 +136,7 @@ def build_vocab(spark: SparkSession, kind: str, spec) -> list[str]:
         return list(spec) + [f"{a}_None" for a in spec]
     if kind != "bins":
         raise ValueError(f"unknown vocabulary kind {kind!r}")
-    rows = []
+    rows = [tuple(None for _ in spec)]
     for a, (low, high, step) in spec.items():
         n = -(-(high - low + 3 * step) // step)
         grid = [low, high] + [low - 1.5 * step + i * step for i in range(int(n))]
