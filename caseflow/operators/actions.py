@@ -12,7 +12,7 @@ from caseflow.operators.policy import draw
 
 
 def _pct(x: Column) -> Column:
-    return F.bround(x * 100, 2)
+    return F.rint(x * 10000) / 100
 
 
 def _predictions(name: str, order: str, value: Column) -> Column:

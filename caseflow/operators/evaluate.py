@@ -38,6 +38,24 @@ def _share(values: Column, test) -> Column:
     return F.when(F.size(values) > 0, F.size(F.filter(values, test)) / F.size(values))
 
 
+def _in_region(pairs: Column, region: str) -> Column:
+    return F.filter(pairs, lambda x: x["r"] == region)
+
+
+def _round4(x) -> Column:
+    """Four decimals, halves to even.
+
+    Sums of floats depend on the order tasks finish in; rounding to nine
+    decimals first keeps that from deciding a half.
+    """
+    return F.rint(F.round(x, 9) * 10000) / 10000
+
+
+def _round2(x: Column) -> Column:
+    """Two decimals, halves to even."""
+    return F.rint(x * 100) / 100
+
+
 def seq_metrics(
     df: DataFrame, real: str, pred: str, horizons: dict[str, tuple[int, int]]
 ) -> DataFrame:
@@ -60,14 +78,13 @@ def seq_metrics(
     for h in horizons:
         p = F.col(f"_{h}")
         gap = F.transform(p, lambda x: x["d"])
-        columns[f"{h}_rMSE"] = F.bround(F.sqrt(_mean(F.transform(p, lambda x: x["d"] * x["d"]))), 2)
-        columns[f"{h}_MAE"] = F.bround(_mean(gap), 2)
-        columns[f"{h}_MAEin5"] = F.bround(_share(p, lambda x: x["d"] <= 5), 2)
-        columns[f"{h}_MAEin10"] = F.bround(_share(p, lambda x: x["d"] <= 10), 2)
+        columns[f"{h}_rMSE"] = _round2(F.sqrt(_mean(F.transform(p, lambda x: x["d"] * x["d"]))))
+        columns[f"{h}_MAE"] = _round2(_mean(gap))
+        columns[f"{h}_MAEin5"] = _round2(_share(p, lambda x: x["d"] <= 5))
+        columns[f"{h}_MAEin10"] = _round2(_share(p, lambda x: x["d"] <= 10))
         columns[f"{h}_RegionAccu"] = _share(p, lambda x: x["m"])
         for region in REGIONS:
-            mine = F.filter(p, lambda x, r=region: x["r"] == r)
-            columns[f"{h}_RegionAccuByRegion_{region}"] = _share(mine, lambda x: x["m"])
+            columns[f"{h}_RegionAccuByRegion_{region}"] = _share(_in_region(p, region), lambda x: x["m"])
     return out.withColumns(columns).drop(*[f"_{h}" for h in horizons])
 
 
@@ -180,14 +197,14 @@ def _threshold_columns(n, pos, tp, pp) -> dict[str, Column]:
     """Metrics from row count, positives, true positives and predicted positives."""
     ratio = lambda a, b: F.when(b > 0, a / b)
     return {
-        "accu": F.round((tp + (n - pos - (pp - tp))) / n, 4),
-        "precision": F.round(ratio(tp, pp), 4),
-        "recall": F.round(ratio(tp, pos), 4),
-        "f1": F.round(F.when((pp > 0) & (pos > 0), 2 * tp / (pp + pos)), 4),
+        "accu": _round4((tp + (n - pos - (pp - tp))) / n),
+        "precision": _round4(ratio(tp, pp)),
+        "recall": _round4(ratio(tp, pos)),
+        "f1": _round4(F.when((pp > 0) & (pos > 0), 2 * tp / (pp + pos))),
         "PredPosNum": pp,
-        "PredPosRate": F.round(pp / n, 4),
+        "PredPosRate": _round4(pp / n),
         "RealPosNum": pos,
-        "RealPosRate": F.round(pos / n, 4),
+        "RealPosRate": _round4(pos / n),
     }
 
 
@@ -241,7 +258,7 @@ def _from_counts(counts: DataFrame, group: list[str]) -> DataFrame:
         F.sum(F.col("n") * (s - F.col("_mean")) * (s - F.col("_mean"))).alias("_ss"),
         F.min(s).alias("_min"),
         F.max(s).alias("_max"),
-        F.round(F.max(F.when(reaches, s)), 4).alias("BLC_threshold"),
+        _round4(F.max(F.when(reaches, s))).alias("BLC_threshold"),
     )
     cut = first.select(*group, "BLC_threshold")
     at = counts.join(cut, group) if group else counts.crossJoin(cut)
@@ -258,12 +275,12 @@ def _from_counts(counts: DataFrame, group: list[str]) -> DataFrame:
     cols = {
         "SampleNum": n,
         "RealPosNum": p,
-        "RealPosRate": F.round(p / n, 4),
+        "RealPosRate": _round4(p / n),
         "roc_auc": F.round(F.when((p > 0) & (p < n), F.col("_u") / (p * (n - p)).cast("double")), 6),
-        "PredScoreMean": F.round("_mean", 4),
-        "PredScoreStd": F.round(F.when(n > 1, F.sqrt(F.col("_ss") / (n - 1))), 4),
-        "PredScoreMin": F.round("_min", 4),
-        "PredScoreMax": F.round("_max", 4),
+        "PredScoreMean": _round4("_mean"),
+        "PredScoreStd": _round4(F.when(n > 1, F.sqrt(F.col("_ss") / (n - 1)))),
+        "PredScoreMin": _round4("_min"),
+        "PredScoreMax": _round4("_max"),
         "BLC_threshold": F.col("BLC_threshold"),
     }
     for tag in ("0.5", "BLC"):
@@ -479,7 +496,7 @@ def action_report(
     """Per subgroup: rows, mean predicted reward, share of each action."""
     d = subgroup_sets(df, subgroups)
     shares = [
-        F.round(F.avg((F.col(action) == a).cast("double")), 4).alias(f"Action_{a}") for a in actions
+        _round4(F.avg((F.col(action) == a).cast("double"))).alias(f"Action_{a}") for a in actions
     ]
     return d.groupBy("set_name", "set_value").agg(
         F.count(F.lit(1)).alias("SampleNum"), F.avg(reward).alias("PredEngagement"), *shares

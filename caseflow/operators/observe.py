@@ -124,6 +124,17 @@ def parse_observation_name(name: str) -> Observation:
     return Observation.parse(name)
 
 
+def observation_parts(name: Column) -> Column:
+    """The same for a column of names, as a struct; a part that is absent is null."""
+    part = lambda letter: F.nullif(F.regexp_extract(name, rf"(?:^|\.){letter}([^.]*)", 1), F.lit(""))
+    return F.struct(
+        part("h").alias("human"),
+        part("r").alias("record"),
+        part("f").alias("recfeat"),
+        part("c").alias("window"),
+    )
+
+
 def combine_requirements(features: list[Feature]) -> dict[str, list[Window]]:
     """Windows needed per record kind; one window name must not have two definitions."""
     named: dict[str, Window] = {}

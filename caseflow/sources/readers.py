@@ -12,7 +12,7 @@ PROCESSED = "__processed__"
 
 # How a table name is read off a source file name.
 _NAME_PATTERNS = {
-    "last_part": r"([^/_]+)\.[A-Za-z0-9.]+$",
+    "last_part": r"([^/_.]+)\.[^/_]*$",
     "before_df": r"([^/]+?)_df[^/]*$",
     "after_form": r"inference_form_([^/]+?)\.[^/.]+$",
 }
@@ -61,9 +61,10 @@ def scan_parquet(spark: SparkSession, path: str, columns=None) -> DataFrame:
 def scan_patient_xml(
     spark: SparkSession, path: str, sections: dict[str, list[str]]
 ) -> dict[str, DataFrame]:
-    """One ``<patient>`` per file; each section's ``<event>`` list is a table of string attributes.
+    """Files of ``<patient>`` elements; each section's ``<event>`` list is a table of string attributes.
 
-    Returns ``patient_info`` (id and file path) beside one table per section.
+    Returns ``patient_info`` (id and file path) beside one table per section.  A file
+    that is not well-formed is an error, not a missing patient.
     """
     event = {
         s: T.StructType([T.StructField("_" + a, T.StringType()) for a in attrs])
@@ -79,6 +80,7 @@ def scan_patient_xml(
     patients = (
         spark.read.format("xml")
         .option("rowTag", "patient")
+        .option("mode", "FAILFAST")
         .option("recursiveFileLookup", "true")
         .schema(schema)
         .load(path)

@@ -48,7 +48,8 @@ def load_missing(
         todo = cases.select(*ids)
         if _exists(spark, path):
             todo = todo.join(spark.read.parquet(path).select(*ids), ids, "left_anti")
-        fn(todo).write.mode("append").parquet(path)
+        if not todo.isEmpty():
+            fn(todo).write.mode("append").parquet(path)
         out = out.join(spark.read.parquet(path), ids, "left")
     return out
 

@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from typing import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from caseflow.config import BF24H
 from caseflow.functions import timegrid as tg
+from caseflow.operators.features import HIGH, LOW
 
 
 def stream_glucose_5min(
@@ -77,33 +80,59 @@ def stream_densify(
 
 
 def stream_sliding_info(
-    events: DataFrame,
-    key: str,
-    time: str,
-    value: str,
-    length: str = "24 hours",
-    slide: str = "5 minutes",
-    watermark: str = "30 minutes",
+    readings: DataFrame, key: str, time: str, value: str, watermark: str = "1 hour"
 ) -> DataFrame:
-    """Record count and shares of zero, high and low readings per patient and sliding window."""
-    v = F.col(value)
-    share = lambda test: F.round(F.avg(test.cast("double")), 6)
-    return (
-        events.withWatermark(time, watermark)
-        .groupBy(key, F.window(time, length, slide).alias("w"))
-        .agg(
-            F.count(F.lit(1)).alias("RecNum"),
-            share(v == 0).alias("ZeroPercent"),
-            share(v >= 400).alias("Geq400Percent"),
-            share(v <= 20).alias("Leq20Percent"),
+    """Every reading with what the 24 hours before it hold (the before-window information).
+
+    Readings are on the 5-minute grid, so a patient's state is at most a day of
+    them; a patient quiet for a day loses it.
+    """
+    kind = readings.schema[key].dataType.simpleString()
+    lo, hi = BF24H.lo, BF24H.hi
+
+    def look(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        old_t, old_v = (list(x) for x in state.get) if state.exists else ([], [])
+        new = pd.concat([b[["_us", "_v"]] for b in batches])
+        t = np.array(old_t + new["_us"].tolist(), dtype="int64")
+        v = np.array(old_v + new["_v"].tolist(), dtype="float64")
+        is_new = np.arange(len(t)) >= len(old_t)
+        order = np.argsort(t, kind="stable")
+        t, v, is_new = t[order], v[order], is_new[order]
+        at = np.flatnonzero(is_new)
+        start, end = np.searchsorted(t, t[at] + lo), np.searchsorted(t, t[at] + hi)
+        top = [np.unique(v[a:b], return_counts=True)[1].max() for a, b in zip(start, end)]
+        n = end - start
+        inside = lambda test: np.diff(np.concatenate([[0], np.cumsum(test)])[np.c_[start, end]], axis=1)[:, 0]
+        keep = t >= t[-1] + lo
+        state.update((t[keep].tolist(), v[keep].tolist()))
+        quiet = (int(t[-1]) - lo) // 1000
+        state.setTimeoutTimestamp(max(quiet, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(
+            {
+                key: [k[0]] * len(at),
+                "obs_us": t[at],
+                "ModePercent": np.round(np.array(top) / n, 6),
+                "ZeroPercent": np.round(inside(v == 0) / n, 6),
+                "Geq400Percent": np.round(inside(v >= HIGH) / n, 6),
+                "Leq20Percent": np.round(inside(v <= LOW) / n, 6),
+                "RecNum": n,
+            }
         )
-        .select(
-            key,
-            F.col("w.end").alias("ObsDT"),
-            "RecNum",
-            "ZeroPercent",
-            "Geq400Percent",
-            "Leq20Percent",
+
+    return (
+        readings.withWatermark(time, watermark)
+        .select(key, time, F.unix_micros(time).alias("_us"), F.col(value).cast("double").alias("_v"))
+        .groupBy(key)
+        .applyInPandasWithState(
+            look,
+            f"`{key}` {kind}, obs_us bigint, ModePercent double, ZeroPercent double, "
+            "Geq400Percent double, Leq20Percent double, RecNum bigint",
+            "t array<bigint>, v array<double>",
+            "append",
+            GroupStateTimeout.EventTimeTimeout,
         )
     )
 

@@ -291,6 +291,24 @@ def w5(spark, d):
     return O.asof_first_last(cases(spark, d).select(*IDS), record(spark, d, X.MED), BF24H)
 
 
+@query(
+    "w6_parse_observation_name",
+    """SELECT event_id, 'P' AS human, event_type || '5Min' AS record, CASE WHEN event_id % 2 = 0 THEN 'Tkn' END AS recfeat,
+       CASE WHEN event_id % 3 <> 0 THEN 'Bf24H' END AS "window" FROM events""",
+)
+def w6(spark, d):
+    i = F.col("event_id")
+    name = F.concat_ws(
+        ".",
+        F.lit("hP"),
+        F.concat(F.lit("r"), F.col("event_type"), F.lit("5Min")),
+        F.when(i % 2 == 0, "fTkn"),
+        F.when(i % 3 != 0, "cBf24H"),
+    )
+    e = table(spark, d, "events").select("event_id", O.observation_parts(name).alias("p"))
+    return e.select("event_id", "p.*")
+
+
 @query(
     "w7_combine_requirements",
     f"""WITH {CASES}, {info_sql(BF24H, 'A', 'a')}, {_agg_sql(AF2H, 'cgm', 'b', 'count(r."DT_s") AS "B-n"')},
@@ -432,22 +450,64 @@ def u5(spark, d):
         FROM cgm GROUP BY 1, 2""",
 )
 def u2(spark, d):
-    def day_total(pdf):
-        import pandas as pd
-
-        return pd.DataFrame(
-            {
-                "PID": [pdf["PID"].iloc[0]],
-                "day": [str(pdf["DT_s"].iloc[0].date())],
-                "n": [len(pdf)],
-                "total": [round(float(pdf["BGValue"].sum()), 4)],
-            }
-        )
-
-    out = TL.per_patient(record(spark, d, X.CGM), "PID", day_total, "PID bigint, day string, n bigint, total double")
+    def day_totals(pdf):
+        day = pdf["DT_s"].dt.strftime("%Y-%m-%d").rename("day")
+        out = pdf.groupby(["PID", day])["BGValue"].agg(n="size", total="sum").reset_index()
+        return out[["PID", "day", "n", "total"]]
+
+    TL.register("record", "day_totals", day_totals)
+    schema = "PID bigint, day string, n bigint, total double"
+    out = TL.per_patient_batch(record(spark, d, X.CGM), "PID", TL.hook("record", "day_totals"), schema)
     return out.withColumn("total", F.round("total", 4))
 
 
+@query(
+    "u1_user_source",
+    """SELECT c_custkey AS "PatientID", c_acctbal AS "BGValue" FROM customer""",
+)
+def u1(spark, d):
+    def read(args):
+        return {"ElogBGEntry": table(spark, args["folder"], "customer").select(
+            F.col("c_custkey").alias("PatientID"), F.col("c_acctbal").alias("BGValue"))}
+
+    TL.register("source", "customers", read)
+    return TL.hook("source", "customers")({"folder": d})["ElogBGEntry"]
+
+
+@query(
+    "u3_user_tokenizer",
+    """SELECT event_id, event_type || CASE WHEN value > 50 THEN '_big' ELSE '_small' END AS tkn FROM events""",
+)
+def u3(spark, d):
+    def sized(df, attr, feat):
+        t = F.concat(F.col(attr), F.when(F.col("value") > 50, "_big").otherwise("_small"))
+        return df.withColumns({f"{feat}_tkn": F.array(t), f"{feat}_wgt": F.array(F.lit(1.0))})
+
+    TL.register("tokenizer", "sized", sized)
+    x = TL.hook("tokenizer", "sized")(table(spark, d, "events"), "event_type", "f")
+    return x.select("event_id", F.array_join("f_tkn", ",").alias("tkn"))
+
+
+@query(
+    "u4_user_trigger",
+    f"""WITH {REC} SELECT DISTINCT "PID", "DT_s" + INTERVAL 30 MINUTE AS "ObsDT" FROM diet""",
+)
+def u4(spark, d):
+    TL.register("trigger", "after_meal", lambda recs: recs[X.DIET].select(
+        "PID", tg.shift_minutes("DT_s", F.lit(30)).alias("ObsDT")).distinct())
+    return TL.hook("trigger", "after_meal")(records(spark, d))
+
+
+@query(
+    "u6_user_step",
+    f"""WITH {CASES} SELECT "PID", "ObsDT", CASE WHEN "PID" % 10 = 0 THEN 'test' ELSE 'train' END AS split FROM cases""",
+)
+def u6(spark, d):
+    split = F.when(F.col("PID") % 10 == 0, "test").otherwise("train")
+    TL.register("step", "by_id", lambda df: df.withColumn("split", split))
+    return TL.hook("step", "by_id")(cases(spark, d).select(*IDS))
+
+
 # ---------------------------------------------------------------- P: splits
 
 
