@@ -69,7 +69,7 @@ def trigger_from_form(forms: DataFrame, drugs: dict[str, list[str]] | None = Non
         *[x for k, v in drugs.items() for x in (F.lit(k), F.array(*[F.lit(d) for d in v]))]
     )[F.get("models", F.lit(0))]
     rows = forms.withColumn("_drugs", watched).select(
-        *ids, at, "_drugs", F.explode("prescriptions").alias("r")
+        *ids, at, "_drugs", F.explode_outer("prescriptions").alias("r")
     )
     return rows.where(F.array_contains("_drugs", F.col("r.medication.drugName"))).select(
         "patient_id_encoded",

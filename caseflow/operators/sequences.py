@@ -68,7 +68,11 @@ def mask_labels(
 ) -> DataFrame:
     """Each position masked with probability ``rate``: the input takes the mask id, the label
     the original; other labels are ignored."""
-    hit = F.transform("input_ids", lambda x, i: uniform([*ids, i], seed) < rate)
+    # The id text is an array element, so it is made once per row and not once per position.
+    key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ids])
+    hit = F.transform(
+        F.array_repeat(key, F.size("input_ids")), lambda k, i: uniform([k, i], seed) < rate
+    )
     d = df.withColumn("_hit", hit)
     pairs = F.arrays_zip(F.col("input_ids").alias("x"), F.col("_hit").alias("h"))
     return (

@@ -124,7 +124,8 @@ def invitations(forms: DataFrame) -> DataFrame:
         *[F.col(p) for p in _PARTS],
     )
     before = F.transform("previous_invitations", lambda x: fill_template(x["invitation"], _EARLIER))
-    return forms.select(F.explode(F.concat(F.array(now), before)).alias("i")).select("i.*")
+    # Outer explode: Spark adds no emptiness test, which would parse the JSON again below it.
+    return forms.select(F.explode_outer(F.concat(F.array(now), before)).alias("i")).select("i.*")
 
 
 def invitation_table(inv: DataFrame) -> DataFrame:
@@ -219,8 +220,8 @@ _RX_NULL = [
 def flatten_prescriptions(inv: DataFrame) -> DataFrame:
     """One flat row per prescription of each invitation."""
     rx = inv.select(
-        "patientId", "invitationId", "invitationDate", "eligibility", F.explode("prescriptions").alias("r")
-    )
+        "patientId", "invitationId", "invitationDate", "eligibility", F.explode_outer("prescriptions").alias("r")
+    ).where(F.col("r").isNotNull())
     return rx.select(
         F.col("patientId").alias("patient_id_encoded"),
         F.col("invitationId").alias("invitation_id_encoded"),

@@ -121,7 +121,9 @@ def scan_columnar_json(
         .alias(c)
         for c, t in columns.items()
     ]
-    return parsed.select(*(keep or []), F.inline(F.arrays_zip(*whole)))
+    # Outer explode: Spark adds no emptiness test, which would parse the JSON again below it.
+    rows = parsed.select(*(keep or []), F.explode_outer(F.arrays_zip(*whole)).alias("_r"))
+    return rows.where(F.col("_r").isNotNull()).select(*(keep or []), "_r.*")
 
 
 def lookup_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
