@@ -19,7 +19,7 @@ def _predictions(name: str, order: str, value: Column) -> Column:
     """Aggregate: (name, score) list of a request in option order; options are few by design."""
     items = F.collect_list(F.struct(F.col(order), F.col(name).alias("name"), value.alias("score")))
     return F.transform(
-        F.array_sort(items), lambda x: F.struct(x["name"].alias("name"), x["score"].alias("score"))
+        F.sort_array(items), lambda x: F.struct(x["name"].alias("name"), x["score"].alias("score"))
     )
 
 

@@ -34,7 +34,7 @@ def densify_anchor(
     """Add the anchor time (microseconds) of every event."""
     gap = gap_minutes * tg.MINUTE
     d = df.withColumn("_day", tg.bucket(F.col(time_us)))
-    days = d.groupBy(*key, "_day").agg(F.array_sort(F.collect_set(time_us)).alias("_us"))
+    days = d.groupBy(*key, "_day").agg(F.sort_array(F.collect_set(time_us)).alias("_us"))
 
     first, last = F.element_at("_us", 1), F.element_at("_us", -1)
     reach = F.col("_day") * F.lit(tg.DAY) + F.lit(gap)
@@ -57,7 +57,7 @@ def densify_anchor(
     )
     slim = slim.withColumn("_run", F.sum("_fresh").over(by_day))
     runs = slim.groupBy(*key, "_run").agg(
-        F.array_sort(F.collect_list(F.struct("_day", "_step"))).alias("_days"),
+        F.sort_array(F.collect_list(F.struct("_day", "_step"))).alias("_days"),
         F.count(F.lit(1)).alias("_n"),
     )
 

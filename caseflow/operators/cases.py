@@ -71,7 +71,9 @@ def trigger_from_form(forms: DataFrame, drugs: dict[str, list[str]] | None = Non
     rows = forms.withColumn("_drugs", watched).select(
         *ids, at, "_drugs", F.explode_outer("prescriptions").alias("r")
     )
-    return rows.where(F.array_contains("_drugs", F.col("r.medication.drugName"))).select(
+    # Coalesced, so that no null test on the parsed form is pushed below the parsing.
+    hit = F.coalesce(F.array_contains("_drugs", F.col("r.medication.drugName")), F.lit(False))
+    return rows.where(hit).select(
         "patient_id_encoded",
         "invitation_id_encoded",
         F.col("r.prescriptionId").alias("prescription_id_encoded"),
@@ -116,7 +118,7 @@ def record_summary(
         one = records.select(*group, text).distinct()
         parts.append(
             one.groupBy(*group).agg(
-                F.array_join(F.array_sort(F.collect_list("_v")), "|").alias(f"{c}:unique_join")
+                F.array_join(F.sort_array(F.collect_list("_v")), "|").alias(f"{c}:unique_join")
             )
         )
     return reduce(lambda a, b: a.join(b, group), parts)

@@ -12,7 +12,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from caseflow.plans.spread import rank_rows, running
+from caseflow.plans.spread import running
 
 # Glucose regions by upper bound (the first two exclude it).
 REGIONS = ["VeryLow", "Low", "TIR", "High", "VeryHigh"]
@@ -238,14 +238,32 @@ def score_counts(df: DataFrame, label: str, score: str, group: list[str] | None
     )
 
 
-def _from_counts(counts: DataFrame, group: list[str]) -> DataFrame:
-    """One summary row per group from distinct-score counts."""
+def _attach(df: DataFrame, one: DataFrame, group: list[str]) -> DataFrame:
+    """Rows with their group's single row; the single row of a whole table is a scalar subquery."""
+    if group:
+        return df.join(one, group)
+    row = one.select(F.struct(*[F.col(f"`{c}`") for c in one.columns])).scalar()
+    return df.withColumn("_one", row).select("*", "_one.*").drop("_one")
+
+
+def _summarise(r: DataFrame, group: list[str]) -> DataFrame:
+    """One summary row per group from distinct scores with counts and running counts.
+
+    ``cum_n`` and ``cum_pos`` may start anywhere: a group's base is taken off.
+    """
     s = F.col("score")
-    totals = counts.groupBy(*group).agg(
-        F.sum("n").alias("_N"), F.sum("pos").alias("_P"), (F.sum(s * F.col("n")) / F.sum("n")).alias("_mean")
+    totals = r.groupBy(*group).agg(
+        F.sum("n").alias("_N"),
+        F.sum("pos").alias("_P"),
+        (F.sum(s * F.col("n")) / F.sum("n")).alias("_mean"),
+        F.min(F.col("cum_n") - F.col("n")).alias("_base_n"),
+        F.min(F.col("cum_pos") - F.col("pos")).alias("_base_pos"),
+    )
+    counts = r.select(*group, "score", "n", "pos")
+    r = _attach(r, totals, group)
+    r = r.withColumn("cum_n", F.col("cum_n") - F.col("_base_n")).withColumn(
+        "cum_pos", F.col("cum_pos") - F.col("_base_pos")
     )
-    r = running(counts, ["score"], {"cum_n": F.col("n"), "cum_pos": F.col("pos")}, group)
-    r = r.join(totals, group) if group else r.crossJoin(totals)
     neg = F.col("n") - F.col("pos")
     neg_below = (F.col("cum_n") - F.col("cum_pos")) - neg
     at_or_above = F.col("_N") - F.col("cum_n") + F.col("n")
@@ -261,7 +279,7 @@ def _from_counts(counts: DataFrame, group: list[str]) -> DataFrame:
         _round4(F.max(F.when(reaches, s))).alias("BLC_threshold"),
     )
     cut = first.select(*group, "BLC_threshold")
-    at = counts.join(cut, group) if group else counts.crossJoin(cut)
+    at = _attach(counts, cut, group)
     sums = []
     for tag, line in (("0.5", F.lit(0.5)), ("BLC", F.col("BLC_threshold"))):
         hit = s >= line
@@ -270,7 +288,7 @@ def _from_counts(counts: DataFrame, group: list[str]) -> DataFrame:
             F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).alias(f"_pp_{tag}"),
         ]
     hits = at.groupBy(*group).agg(*sums)
-    both = first.join(hits, group) if group else first.crossJoin(hits)
+    both = _attach(first, hits, group)
     n, p = F.col("SampleNum"), F.col("RealPosNum")
     cols = {
         "SampleNum": n,
@@ -294,7 +312,9 @@ def _from_counts(counts: DataFrame, group: list[str]) -> DataFrame:
 def binary_summary(df: DataFrame, label: str, score: str, group: list[str] | None = None) -> DataFrame:
     """Counts, positive rate, AUC (null with one class), score moments, and threshold metrics at
     0.5 and at the balanced threshold (the P-th highest score, for P positives)."""
-    return _from_counts(score_counts(df, label, score, group), list(group or []))
+    group = list(group or [])
+    counts = score_counts(df, label, score, group)
+    return _summarise(running(counts, ["score"], {"cum_n": F.col("n"), "cum_pos": F.col("pos")}, group), group)
 
 
 def _curve(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -385,30 +405,45 @@ def score_band_table(
     return out.withColumn("SubGroup", name[F.col("band")])
 
 
-def nth_group(df: DataFrame, score: str, n: int, tie: list[str]) -> DataFrame:
-    """Equal-count group 1..n by ascending score; the first groups are larger by one."""
-    ranked = rank_rows(df.where(F.col(score).isNotNull()), [score, *tie], "_rank")
-    total = df.agg(F.count(score).alias("n")).scalar()
+def nth_group(df: DataFrame, label: str, score: str, n: int, tie: list[str]) -> DataFrame:
+    """Equal-count group 1..n by ascending score (the first groups are larger by one), with the
+    running counts of rows and positives."""
+    known = df.where(F.col(score).isNotNull())
+    positive = F.coalesce((F.col(label) == 1).cast("bigint"), F.lit(0))
+    ranked = running(
+        known, [score, *tie], {"cum_n": F.lit(1).cast("bigint"), "cum_pos": positive}
+    )
+    total = known.agg(F.count(F.lit(1)).alias("n")).scalar()
     d = ranked.withColumn("_n", total)
     size, extra = F.floor(F.col("_n") / F.lit(n)), F.col("_n") % F.lit(n)
     big = extra * (size + 1)
-    group = F.when(F.col("_rank") <= big, F.ceil(F.col("_rank") / (size + 1))).otherwise(
-        extra + F.ceil((F.col("_rank") - big) / F.greatest(size, F.lit(1)))
+    group = F.when(F.col("cum_n") <= big, F.ceil(F.col("cum_n") / (size + 1))).otherwise(
+        extra + F.ceil((F.col("cum_n") - big) / F.greatest(size, F.lit(1)))
+    )
+    return d.withColumn("group", group.cast("int")).drop("_n")
+
+
+def _group_counts(grouped: DataFrame, label: str, score: str) -> DataFrame:
+    """Distinct scores per equal-count group; the running counts go on from the ranking."""
+    return grouped.groupBy("group", F.col(score).alias("score")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col(label) == 1, 1)).alias("pos"),
+        F.max("cum_n").alias("cum_n"),
+        F.max("cum_pos").alias("cum_pos"),
     )
-    return d.withColumn("group", group.cast("int")).drop("_rank", "_n")
 
 
 def nth_group_table(df: DataFrame, label: str, score: str, tie: list[str], n: int = 10) -> DataFrame:
     """Binary summary of each equal-count group."""
-    return binary_summary(nth_group(df, score, n, tie), label, score, ["group"])
+    return _summarise(_group_counts(nth_group(df, label, score, n, tie), label, score), ["group"])
 
 
 def bottom_top_tables(df: DataFrame, label: str, score: str, tie: list[str], n: int = 10) -> DataFrame:
     """Binary summary of the lowest and of the highest 1..n groups together (``Btm``/``Top`` k).
 
-    Distinct scores per group, not rows, are copied to the at most 2n sets they belong to.
+    Distinct scores per group, not rows, are copied to the at most n + 1 sets they belong to.
     """
-    counts = score_counts(nth_group(df, score, n, tie), label, score, ["group"])
+    counts = _group_counts(nth_group(df, label, score, n, tie), label, score)
     g = F.col("group")
     sets = F.concat(
         F.transform(F.sequence(g, F.lit(n)), lambda k: F.struct(F.lit("Btm").alias("side"), k.alias("k"))),
@@ -417,9 +452,14 @@ def bottom_top_tables(df: DataFrame, label: str, score: str, tie: list[str], n:
             lambda k: F.struct(F.lit("Top").alias("side"), k.alias("k")),
         ),
     )
-    spread = counts.select("score", "n", "pos", F.inline(sets))
-    merged = spread.groupBy("side", "k", "score").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
-    return _from_counts(merged, ["side", "k"])
+    spread = counts.select("score", "n", "pos", "cum_n", "cum_pos", F.inline(sets))
+    merged = spread.groupBy("side", "k", "score").agg(
+        F.sum("n").alias("n"),
+        F.sum("pos").alias("pos"),
+        F.max("cum_n").alias("cum_n"),
+        F.max("cum_pos").alias("cum_pos"),
+    )
+    return _summarise(merged, ["side", "k"])
 
 
 def report_by_subgroup(df: DataFrame, label: str, score: str, subgroups: list[list[str]]) -> DataFrame:

@@ -40,7 +40,7 @@ def smallest_mode(values: Column) -> Column:
             n.alias("cn"),
         )
 
-    return F.aggregate(F.array_sort(values), start, step)
+    return F.aggregate(F.sort_array(values), start, step)
 
 
 def cgm_info(name: str, window: Window) -> Feature:
@@ -83,7 +83,7 @@ def cgm_values(name: str, window: Window) -> Feature:
     def columns(r):
         on_grid = F.filter(
             F.transform(
-                F.array_sort(r.collect(CGM)),
+                F.sort_array(r.collect(CGM)),
                 lambda x: F.struct(
                     ((x["u"] - F.col("_us")) / F.lit(tg.STEP)).cast("int").alias("step"),
                     F.coalesce(x["v"], F.lit(0.0)).cast("int").alias("v"),

@@ -184,7 +184,7 @@ def record_index(df: DataFrame, pid: str = "PID", time: str = "DT_s") -> DataFra
 def record_dates(df: DataFrame, pid: str = "PID", time: str = "DT_s") -> DataFrame:
     """Sorted record times of each patient-day, one array per day."""
     return df.groupBy(pid, F.to_date(time).alias("day")).agg(
-        F.array_sort(F.collect_list(time)).alias("times")
+        F.sort_array(F.collect_list(time)).alias("times")
     )
 
 

@@ -32,7 +32,7 @@ def ordered_join(order: list[str], text: str, joiner: str = JOINER) -> Column:
     items = F.collect_list(
         F.when(F.col(text).isNotNull(), F.struct(*order, F.col(text).cast("string").alias("_txt")))
     )
-    return F.array_join(F.transform(F.array_sort(items), lambda x: x["_txt"]), joiner)
+    return F.array_join(F.transform(F.sort_array(items), lambda x: x["_txt"]), joiner)
 
 
 def first_value(col: str, order: Column) -> Column:

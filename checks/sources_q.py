@@ -109,7 +109,7 @@ def _columnar(spark, d):
     """One form per patient and day with the day's gridded readings (at most 288) as lists; the
     offset list is empty."""
     g = record(spark, d, X.CGM)
-    rows = F.array_sort(
+    rows = F.sort_array(
         F.collect_list(F.struct(F.date_format("DT_s", "yyyy-MM-dd HH:mm:ss").alias("t"), F.round("BGValue", 4).alias("v")))
     )
     days = g.groupBy("PID", F.to_date("DT_s").alias("day")).agg(rows.alias("r"))
