@@ -18,29 +18,29 @@ TINY = 1e-06
 HIGH, LOW = 400, 20
 
 
-def smallest_mode(values: Column) -> Column:
-    """Most frequent element of an array, the smallest on ties, with its count as ``(v, n)``.
+def _decimals(x: Column, n: int) -> Column:
+    """Rounded to n decimals, halves to even."""
+    return F.rint(x * 10**n) / 10**n
 
-    One walk over the sorted array, keeping the longest run so far.
-    """
-    start = F.struct(
-        F.lit(None).cast("double").alias("v"),
-        F.lit(0).alias("n"),
-        F.lit(None).cast("double").alias("cv"),
-        F.lit(0).alias("cn"),
-    )
 
-    def step(acc, x):
-        n = F.when(acc["cv"] == x, acc["cn"] + 1).otherwise(F.lit(1))
-        longer = n > acc["n"]
-        return F.struct(
-            F.when(longer, x).otherwise(acc["v"]).alias("v"),
-            F.when(longer, n).otherwise(acc["n"]).alias("n"),
-            x.alias("cv"),
-            n.alias("cn"),
-        )
+def _longest_run(r, values: Column) -> tuple[Column, Column]:
+    """Smallest most frequent value of an array without null (NaN is missing), and its count.
 
-    return F.aggregate(F.sort_array(values), start, step)
+    In the sorted array a value is a run; only the places where runs start are
+    looked at one by one.
+    """
+    s = r.stage(1, "sorted", F.sort_array(values))
+    gap = r.stage(2, "gap", F.array_position(s, F.lit(float("nan"))).cast("int"))
+    n = r.stage(3, "known", F.when(gap == 0, F.size(s)).otherwise(gap - 1))
+    place = F.when(n > 0, F.sequence(F.lit(1), n))
+    starts = r.stage(
+        4, "starts", F.filter(place, lambda i: ~F.get(s, i - 1).eqNullSafe(F.get(s, i - 2)))
+    )
+    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(n + 1))
+    lengths = r.stage(5, "lengths", F.zip_with(starts, ends, lambda a, b: b - a))
+    top = r.stage(6, "top", F.array_max(lengths))
+    first = F.get(starts, (F.array_position(lengths, top) - 1).cast("int"))
+    return r.stage(7, "mode", F.get(s, first - 1)), top
 
 
 def cgm_info(name: str, window: Window) -> Feature:
@@ -51,15 +51,17 @@ def cgm_info(name: str, window: Window) -> Feature:
 
     def columns(r):
         n = r.stage(0, "n", r.count(CGM))
-        share = lambda x: F.when(n > 0, F.round(x / n, 6)).otherwise(F.lit(0.0))
-        vals = r.stage(0, "vals", F.transform(r.collect(CGM), lambda x: x["v"]))
-        top = r.stage(1, "mode", smallest_mode(vals))
-        at_mode = F.when(top["v"] >= TINY, top["n"]).otherwise(
-            F.size(F.filter(vals, lambda x: x == F.lit(TINY)))
-        )
+        share = lambda x: F.when(n > 0, _decimals(x / n, 6)).otherwise(F.lit(0.0))
+        ceil_div = lambda x: -F.floor(-x / F.lit(tg.STEP)).cast("int")
+        low = ceil_div(F.lit(window.lo) + r.off_grid())
+        high = F.floor((F.lit(window.hi - 1) + r.off_grid()) / F.lit(tg.STEP)).cast("int")
+        vals = r.stage(0, "vals", r.on_grid(CGM, low, high - low + 1))
+        mode, top = _longest_run(r, vals)
+        tiny = r.count(CGM, "tiny", lambda v: v == TINY)
+        at_mode = F.when(mode >= TINY, top).otherwise(tiny)
         return {
             "ModePercent": F.when(
-                n > 0, F.round(F.greatest(at_mode / n, F.lit(TINY)), 6)
+                n > 0, _decimals(F.greatest(at_mode / n, F.lit(TINY)), 6)
             ).otherwise(F.lit(0.0)),
             "ZeroPercent": share(r.count(CGM, "zero", lambda v: v == 0)),
             "Geq400Percent": share(r.count(CGM, "high", lambda v: v >= HIGH)),
@@ -71,42 +73,32 @@ def cgm_info(name: str, window: Window) -> Feature:
 
 
 def cgm_values(name: str, window: Window) -> Feature:
-    """Readings on the window's 5-minute grid as whole numbers, 0 where there is none.
+    """Readings on the window's 5-minute steps as whole numbers, 0 where there is none.
 
-    A step is the time from the case in whole steps, cut toward zero; of two
-    records on one step (cases off the grid) the later one stays.  The array is
-    laid out in one walk: each record adds the zeros since the record before it
-    and then itself.
+    Records lie on the grid, as the record layer makes them.  A step is the time
+    from the case in whole steps, cut toward zero: a case off the grid sees the
+    record k steps after its own step at step k - 1, and loses the record at an
+    end of the window that the shift moves out.
     """
-    lo, hi = window.first_step, window.last_step
+    first, last = window.first_step, window.last_step
+    if first <= 0 < last:
+        raise ValueError(f"window {window.name} has steps on both sides of the case")
+    after = first > 0
+    size = last - first + 1
 
     def columns(r):
-        on_grid = F.filter(
-            F.transform(
-                F.sort_array(r.collect(CGM)),
-                lambda x: F.struct(
-                    ((x["u"] - F.col("_us")) / F.lit(tg.STEP)).cast("int").alias("step"),
-                    F.coalesce(x["v"], F.lit(0.0)).cast("int").alias("v"),
-                ),
-            ),
-            lambda x: x["step"].between(lo, hi),
-        )
-        obs = r.stage(0, "grid", on_grid)
-        steps = r.stage(1, "steps", F.transform(obs, lambda x: x["step"]))
-        zero = F.lit(0).cast("int")
-
-        def lay(x):
-            here, before, after = x["obs"]["step"], x["before"], x["after"]
-            gap = F.greatest(F.coalesce(here, F.lit(hi + 1)) - before - 1, zero)
-            own = F.when(here.isNull() | after.eqNullSafe(here), F.array().cast("array<int>"))
-            return F.concat(F.array_repeat(zero, gap), own.otherwise(F.array(x["obs"]["v"])))
-
-        walk = F.arrays_zip(
-            obs.alias("obs"),
-            F.concat(F.array(F.lit(lo - 1)), steps).alias("before"),
-            F.slice(steps, F.lit(2), F.greatest(F.size(steps), F.lit(1))).alias("after"),
+        off = r.off_grid()
+        shifted = off > 0
+        start = F.lit(first) + (shifted.cast("int") if after else F.lit(0))
+        seq = r.stage(0, "steps", r.on_grid(CGM, start, F.lit(size), whole=True))
+        seen = lambda k: ((k * F.lit(tg.STEP) - off) >= window.lo) & ((k * F.lit(tg.STEP) - off) < window.hi)
+        end = lambda k, x: F.when(seen(k), x).otherwise(F.lit(0))
+        edged = F.concat(
+            F.array(end(start.cast("bigint"), F.get(seq, F.lit(0)))),
+            F.slice(seq, 2, size - 2),
+            F.array(end(start.cast("bigint") + size - 1, F.get(seq, F.lit(size - 1)))),
         )
-        return {"-tid": F.flatten(F.transform(walk, lay))}
+        return {"-tid": F.when(shifted, edged).otherwise(seq)}
 
     return Feature(name, window, (CGM,), columns)
 
@@ -120,7 +112,7 @@ def dme_info(name: str, window: Window) -> Feature:
         out = {}
         for short, kind in kinds.items():
             gap = lambda t: F.coalesce(
-                F.round((r.time - t) / F.lit(float(tg.MINUTE)), 2), F.lit(0.0)
+                _decimals((r.time - t) / F.lit(float(tg.MINUTE)), 2), F.lit(0.0)
             )
             out[f"{short}RecNum"] = r.count(kind)
             out[f"{short}LastToNow"] = gap(r.last(kind))

@@ -3,11 +3,18 @@
 The question is always: for a case ``(patient, t)``, which records of that
 patient lie in ``[t + a, t + b)``.  Two plans answer it.
 
-*Frame* (the default): cases and records of all kinds go through one shuffle and
-one sort, and range frames over that order read the windows.  The partition is a
-patient's day, not a patient: a record is sent to each day whose cases can see
-it (the days its window reach touches, two or three), so a patient with a third
-of all rows is spread over that patient's days.  A patient-day is bounded, as
+*Frame* (the default).  Cases and records of all kinds go through one shuffle by
+(patient, day) and one sort.  A record is sent to each day whose cases can see
+it, the two or three days its windows reach.  Every aggregate is then constant
+work per case:
+
+- counts are differences of two running counts, whose frames only grow;
+- where values are needed, the day's records are packed once into an array, by
+  the same (patient, day), and the two running counts of a case are the ends of
+  its window in that array; on the 5-minute grid the ends follow from the clock.
+
+The unit of work is a patient's day, not a patient, so a patient with a third of
+all rows is spread over that patient's days; and a patient-day is bounded, as
 records lie on a 5-minute grid (288 a day).
 
 *Join*: cases and records meet on (patient, bucket) with the range test on top.
@@ -16,6 +23,7 @@ records lie on a 5-minute grid (288 a day).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -23,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from caseflow.config import Observation, Window
 from caseflow.functions import timegrid as tg
 
-_CHUNK, _US, _KIND, _VAL, _CASE = "_chunk", "_us", "_kind", "_val", "_case"
+_PID, _CHUNK, _US, _KIND, _VAL, _CASE = "_pid", "_chunk", "_us", "_kind", "_val", "_case"
 
 
 @dataclass(frozen=True)
@@ -43,14 +51,17 @@ class Feature:
 class FrameReader:
     """Window aggregates over the records of a case.
 
-    Each aggregate is a column of the shared frame; two features that ask for
-    the same one share it.  ``stage`` names a value built from them, so that it
-    is computed once however often it is used.
+    Each aggregate is a column made once; two features that ask for the same one
+    share it.  ``stage`` names a value built from them, so that it is computed
+    once however often it is used.
     """
 
-    def __init__(self, order):
+    def __init__(self, order, reach: dict[str, tuple[int, int]]):
         self._order = order
+        self.reach = reach
         self.frame: dict[str, Column] = {}
+        self.packs: list[str] = []
+        self.grids: list[str] = []
         self.stages: list[dict[str, Column]] = []
         self.window: Window | None = None
 
@@ -59,45 +70,67 @@ class FrameReader:
         """Case time in microseconds."""
         return F.col(_US)
 
-    def _ask(self, name: str, col: Column) -> Column:
-        self.frame.setdefault(name, col)
+    def _running(self, what: str, test: Column, bound: int) -> Column:
+        """Rows that meet a test from the start of the day's rows up to ``bound``."""
+        name = f"_w_{what}_to_{bound}"
+        frame = self._order.rangeBetween(W.unboundedPreceding, bound)
+        self.frame.setdefault(name, F.count(F.when(test, 1)).over(frame))
         return F.col(name)
 
-    def _grown(self, what: str, agg: Column, bound: int) -> Column:
-        """An aggregate from the start of the partition up to ``bound``: the frame only grows,
-        so its cost does not depend on the window's length."""
-        frame = self._order.rangeBetween(W.unboundedPreceding, bound)
-        return self._ask(f"_w_{what}_to_{bound}", agg.over(frame))
+    def _ends(self, kind: str) -> tuple[Column, Column]:
+        """Records of the kind before the window, and up to its end."""
+        test, what = F.col(_KIND) == kind, f"n_{kind}_all"
+        return (
+            self._running(what, test, self.window.lo - 1),
+            self._running(what, test, self.window.hi - 1),
+        )
 
     def count(self, kind: str, label: str = "all", test: Callable[[Column], Column] | None = None):
-        """Records of a kind in the window whose value meets a test, as a difference of two
-        running counts."""
+        """Records of a kind in the window whose value meets a test."""
         hit = F.col(_KIND) == kind
         if test is not None:
             hit = hit & test(F.col(_VAL))
-        one = F.count(F.when(hit, 1))
         what = f"n_{kind}_{label}"
-        return self._grown(what, one, self.window.hi - 1) - self._grown(what, one, self.window.lo - 1)
-
-    def last(self, kind: str) -> Column:
-        """Time of the last record in the window; null when none."""
-        t = F.max(F.when(F.col(_KIND) == kind, F.col(_US)))
-        found = self._grown(f"last_{kind}", t, self.window.hi - 1)
-        return F.when(found >= self.time + F.lit(self.window.lo), found)
+        before = self._running(what, hit, self.window.lo - 1)
+        return self._running(what, hit, self.window.hi - 1) - before
 
-    def _inside(self, what: str, agg: Column) -> Column:
-        frame = self._order.rangeBetween(self.window.lo, self.window.hi - 1)
-        return self._ask(f"_w_{what}_in_{self.window.name}", agg.over(frame))
+    def _pack(self, kind: str) -> Column:
+        if kind not in self.packs:
+            self.packs.append(kind)
+        return F.col(f"_p_{kind}")
 
     def first(self, kind: str) -> Column:
         """Time of the first record in the window; null when none."""
-        t = F.min(F.when(F.col(_KIND) == kind, F.col(_US)))
-        return self._inside(f"first_{kind}", t)
+        before, upto = self._ends(kind)
+        return F.when(upto > before, F.get(self._pack(kind), before.cast("int"))["u"])
+
+    def last(self, kind: str) -> Column:
+        """Time of the last record in the window; null when none."""
+        before, upto = self._ends(kind)
+        return F.when(upto > before, F.get(self._pack(kind), (upto - 1).cast("int"))["u"])
 
     def collect(self, kind: str) -> Column:
         """Records in the window as an array of (u, v) by time."""
-        pair = F.struct(F.col(_US).alias("u"), F.col(_VAL).alias("v"))
-        return self._inside(f"obs_{kind}", F.collect_list(F.when(F.col(_KIND) == kind, pair)))
+        before, upto = self._ends(kind)
+        whole = F.slice(self._pack(kind), (before + 1).cast("int"), (upto - before).cast("int"))
+        return F.coalesce(whole, F.array().cast("array<struct<u:bigint,v:double>>"))
+
+    def off_grid(self) -> Column:
+        """Microseconds of the case time past its 5-minute step."""
+        return F.pmod(self.time, F.lit(tg.STEP))
+
+    def on_grid(self, kind: str, first: Column, n: Column, whole: bool = False) -> Column:
+        """Values of n successive 5-minute steps from step ``first`` relative to the case's own
+        step, of records on the grid: NaN where there is none, or whole numbers with 0."""
+        if kind not in self.grids:
+            self.grids.append(kind)
+            self._pack(kind)
+        name = f"_{'i' if whole else 'g'}_{kind}"
+        start = F.col(_CHUNK) * F.lit(tg.DAY) + F.lit(grid_base(self.reach[kind]))
+        own = ((self.time - self.off_grid() - start) / F.lit(tg.STEP)).cast("int")
+        missing = F.lit(0).cast("int") if whole else F.lit(float("nan"))
+        part = F.slice(F.col(name), own + first + 1, n)
+        return F.coalesce(part, F.array_repeat(missing, n))
 
     def stage(self, level: int, name: str, col: Column) -> Column:
         """Name a value; a stage may use aggregates and stages of lower level."""
@@ -108,6 +141,39 @@ class FrameReader:
         return F.col(full)
 
 
+def grid_base(reach: tuple[int, int]) -> int:
+    """Offset from the start of a day to the first slot its cases can see."""
+    return reach[0] // tg.STEP * tg.STEP
+
+
+def _with_grid(packs: DataFrame, kind: str, reach: tuple[int, int]) -> DataFrame:
+    """Lay a day's packed records on 5-minute slots.
+
+    One walk: each record adds the empty slots since the record before it and
+    then itself.
+    """
+    base = grid_base(reach)
+    slots = (tg.DAY + reach[1] - base) // tg.STEP + 1
+    start = F.col(_CHUNK) * F.lit(tg.DAY) + F.lit(base)
+    nan = F.lit(float("nan"))
+    at = F.transform(f"_p_{kind}", lambda x: ((x["u"] - start) / F.lit(tg.STEP)).cast("int"))
+    packs = packs.withColumn("_at", at)
+    walk = F.arrays_zip(
+        F.col("_at").alias("here"),
+        F.concat(F.array(F.lit(-1)), "_at").alias("before"),
+        F.transform(f"_p_{kind}", lambda x: F.coalesce(x["v"], nan)).alias("v"),
+    )
+
+    def lay(x):
+        gap = F.coalesce(x["here"], F.lit(slots)) - x["before"] - 1
+        own = F.when(x["here"].isNull(), F.array().cast("array<double>")).otherwise(F.array(x["v"]))
+        return F.concat(F.array_repeat(nan, F.greatest(gap, F.lit(0))), own)
+
+    packs = packs.withColumn(f"_g_{kind}", F.flatten(F.transform(walk, lay))).drop("_at")
+    whole = F.transform(f"_g_{kind}", lambda v: F.when(F.isnan(v), 0).otherwise(v.cast("int")))
+    return packs.withColumn(f"_i_{kind}", whole)
+
+
 def window_bounds(cases: DataFrame, window: Window, time: str = "ObsDT") -> DataFrame:
     """First instant inside and first instant past the window of each case."""
     at = tg.micros(time)
@@ -157,7 +223,7 @@ def observe_frame(
     time: str = "DT_s",
     value: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Cases with the columns of every feature, in one shuffle.
+    """Cases with the columns of every feature.
 
     ``records`` maps kind to table with the patient id and ``time``; ``value``
     names the numeric column a kind's features read.
@@ -165,42 +231,61 @@ def observe_frame(
     pid, obs = ids
     value = value or {}
     needed = combine_requirements(features)
-    payload = F.struct(*cases.columns)
+    reach = {k: (min(w.lo for w in ws), max(w.hi for w in ws)) for k, ws in needed.items()}
+    order = W.partitionBy(_PID, _CHUNK).orderBy(_US)
+    reader = FrameReader(order, reach)
+    out = []
+    for f in features:
+        reader.window = f.window
+        out += [c.alias(f"{f.name}-{k}") for k, c in f.columns(reader).items()]
+
+    def sent(kind: str) -> DataFrame:
+        """A kind's records, once for each day whose cases can see them."""
+        lo, hi = reach[kind]
+        us = tg.micros(time)
+        val = F.col(value[kind]) if kind in value else F.lit(None)
+        seen_by = F.sequence(tg.bucket(us - F.lit(hi - 1)), tg.bucket(us - F.lit(lo)))
+        known = records[kind].where(F.col(time).isNotNull() & F.col(pid).isNotNull())
+        return known.select(
+            F.col(pid).alias(_PID),
+            F.explode(seen_by).alias(_CHUNK),
+            us.alias(_US),
+            F.lit(kind).alias(_KIND),
+            val.cast("double").alias(_VAL),
+        )
+
     rows = cases.where(F.col(pid).isNotNull() & F.col(obs).isNotNull()).select(
-        F.col(pid).alias("_pid"),
+        F.col(pid).alias(_PID),
         tg.bucket(tg.micros(obs)).alias(_CHUNK),
         tg.micros(obs).alias(_US),
         F.lit(None).cast("string").alias(_KIND),
         F.lit(None).cast("double").alias(_VAL),
-        payload.alias(_CASE),
+        F.struct(*cases.columns).alias(_CASE),
     )
-    for kind, windows in needed.items():
-        lo, hi = min(w.lo for w in windows), max(w.hi for w in windows)
-        us = tg.micros(time)
-        val = F.col(value[kind]) if kind in value else F.lit(None)
-        seen_by = F.sequence(tg.bucket(us - F.lit(hi - 1)), tg.bucket(us - F.lit(lo)))
-        rows = rows.unionByName(
-            records[kind]
-            .where(F.col(time).isNotNull() & F.col(pid).isNotNull())
-            .select(
-                F.col(pid).alias("_pid"),
-                F.explode(seen_by).alias(_CHUNK),
-                us.alias(_US),
-                F.lit(kind).alias(_KIND),
-                val.cast("double").alias(_VAL),
-            ),
-            allowMissingColumns=True,
+    for kind in {k for k in needed if any(f"_w_n_{k}_" in n for n in reader.frame)}:
+        rows = rows.unionByName(sent(kind), allowMissingColumns=True)
+    counted = [c.alias(n) for n, c in reader.frame.items()]
+    framed = rows.select(_PID, _CHUNK, _US, _KIND, _CASE, *counted).where(F.col(_KIND).isNull())
+    if reader.packs:
+        packed = reduce(DataFrame.unionByName, [sent(k) for k in reader.packs])
+        pair = F.struct(F.col(_US).alias("u"), F.col(_VAL).alias("v"))
+        packs = packed.groupBy(_PID, _CHUNK).agg(
+            *[
+                F.sort_array(F.collect_list(F.when(F.col(_KIND) == k, pair))).alias(f"_p_{k}")
+                for k in reader.packs
+            ]
         )
-    reader = FrameReader(W.partitionBy("_pid", _CHUNK).orderBy(_US))
-    out = []
-    for f in features:
-        reader.window = f.window
-        out += [c.alias(f"{f.name}-{k}") for k, c in f.columns(reader).items()]
-    framed = rows.select(_US, _KIND, _CASE, *[c.alias(n) for n, c in reader.frame.items()])
-    framed = framed.where(F.col(_KIND).isNull())
+        for kind in reader.grids:
+            packs = _with_grid(packs, kind, reach[kind])
+        # Both sides are partitioned by (patient, day), so a merge join moves nothing; a
+        # broadcast would be chosen on the size of the files, and arrays outgrow that.
+        framed = framed.join(packs.hint("merge"), [_PID, _CHUNK], "left")
     for level in reader.stages:
         framed = framed.withColumns(level)
-    return framed.select(*[F.col(_CASE)[c].alias(c) for c in cases.columns], *out)
+    # As a generated row, the columns stop a later filter from being pushed into
+    # their own computation, where every stage would be unfolded again.
+    made = F.inline_outer(F.array(F.struct(*out)))
+    return framed.select(*[F.col(_CASE)[c].alias(c) for c in cases.columns], made)
 
 
 def observe_join(

@@ -188,10 +188,10 @@ def info_sql(window, name: str, alias: str) -> str:
      {alias}m AS (SELECT "PID", "ObsDT", max(n) AS top FROM
        (SELECT "PID", "ObsDT", v, count(v) AS n FROM {alias}o GROUP BY 1, 2, 3) GROUP BY 1, 2),
      {alias} AS (SELECT o."PID", o."ObsDT",
-       CASE WHEN count(v) > 0 THEN round(max(top) / count(v), 6) ELSE 0 END AS "{p}ModePercent",
-       CASE WHEN count(v) > 0 THEN round(count(v) FILTER (WHERE v = 0) / count(v), 6) ELSE 0 END AS "{p}ZeroPercent",
-       CASE WHEN count(v) > 0 THEN round(count(v) FILTER (WHERE v >= 400) / count(v), 6) ELSE 0 END AS "{p}Geq400Percent",
-       CASE WHEN count(v) > 0 THEN round(count(v) FILTER (WHERE v <= 20) / count(v), 6) ELSE 0 END AS "{p}Leq20Percent",
+       CASE WHEN count(v) > 0 THEN round_even(max(top) / count(v) * 1000000, 0)::DOUBLE / 1000000 ELSE 0 END AS "{p}ModePercent",
+       CASE WHEN count(v) > 0 THEN round_even(count(v) FILTER (WHERE v = 0) / count(v) * 1000000, 0)::DOUBLE / 1000000 ELSE 0 END AS "{p}ZeroPercent",
+       CASE WHEN count(v) > 0 THEN round_even(count(v) FILTER (WHERE v >= 400) / count(v) * 1000000, 0)::DOUBLE / 1000000 ELSE 0 END AS "{p}Geq400Percent",
+       CASE WHEN count(v) > 0 THEN round_even(count(v) FILTER (WHERE v <= 20) / count(v) * 1000000, 0)::DOUBLE / 1000000 ELSE 0 END AS "{p}Leq20Percent",
        count(v) AS "{p}RecNum"
        FROM {alias}o o JOIN {alias}m m ON m."PID" = o."PID" AND m."ObsDT" = o."ObsDT" GROUP BY 1, 2)"""
 
@@ -211,8 +211,8 @@ def dme_sql(window, name: str, alias: str) -> str:
         t = f"{alias}_{src}"
         parts.append(
             f"""{t} AS (SELECT c."PID", c."ObsDT", count(r."DT_s") AS n,
-            COALESCE(round((epoch_us(c."ObsDT") - epoch_us(max(r."DT_s"))) / 60000000, 2), 0) AS l,
-            COALESCE(round((epoch_us(c."ObsDT") - epoch_us(min(r."DT_s"))) / 60000000, 2), 0) AS f
+            COALESCE(round_even((epoch_us(c."ObsDT") - epoch_us(max(r."DT_s"))) / 60000000 * 100, 0)::DOUBLE / 100, 0) AS l,
+            COALESCE(round_even((epoch_us(c."ObsDT") - epoch_us(min(r."DT_s"))) / 60000000 * 100, 0)::DOUBLE / 100, 0) AS f
             FROM cases c LEFT JOIN {src} r ON r."PID" = c."PID" AND r."DT_s" >= {lo} AND r."DT_s" < {hi} GROUP BY 1, 2)"""
         )
         cols.append(
