@@ -369,7 +369,7 @@ def m3(spark, d):
     )
     x = M.join_item_embedding(ev, items, "vec_id", "e", "x")
     total = F.aggregate("x", F.lit(0.0), lambda a, v: a + v)
-    return x.select("event_id", F.size("x").alias("width"), F.round(total, 4).alias("total"))
+    return x.select("event_id", F.size("x").cast("bigint").alias("width"), F.round(total, 4).alias("total"))
 
 
 @query(
