@@ -61,7 +61,7 @@ class FrameReader:
         self.reach = reach
         self.frame: dict[str, Column] = {}
         self.packs: list[str] = []
-        self.grids: list[str] = []
+        self.grids: list[tuple[str, bool]] = []
         self.stages: list[dict[str, Column]] = []
         self.window: Window | None = None
 
@@ -122,14 +122,13 @@ class FrameReader:
     def on_grid(self, kind: str, first: Column, n: Column, whole: bool = False) -> Column:
         """Values of n successive 5-minute steps from step ``first`` relative to the case's own
         step, of records on the grid: NaN where there is none, or whole numbers with 0."""
-        if kind not in self.grids:
-            self.grids.append(kind)
+        if (kind, whole) not in self.grids:
+            self.grids.append((kind, whole))
             self._pack(kind)
-        name = f"_{'i' if whole else 'g'}_{kind}"
         start = F.col(_CHUNK) * F.lit(tg.DAY) + F.lit(grid_base(self.reach[kind]))
         own = ((self.time - self.off_grid() - start) / F.lit(tg.STEP)).cast("int")
         missing = F.lit(0).cast("int") if whole else F.lit(float("nan"))
-        part = F.slice(F.col(name), own + first + 1, n)
+        part = F.slice(F.col(_grid_name(kind, whole)), own + first + 1, n)
         return F.coalesce(part, F.array_repeat(missing, n))
 
     def stage(self, level: int, name: str, col: Column) -> Column:
@@ -146,32 +145,41 @@ def grid_base(reach: tuple[int, int]) -> int:
     return reach[0] // tg.STEP * tg.STEP
 
 
-def _with_grid(packs: DataFrame, kind: str, reach: tuple[int, int]) -> DataFrame:
-    """Lay a day's packed records on 5-minute slots.
+def _grid_name(kind: str, whole: bool) -> str:
+    return f"_{'whole' if whole else 'value'}_{kind}"
+
+
+def _with_grid(packs: DataFrame, kind: str, whole: bool, reach: tuple[int, int]) -> DataFrame:
+    """Lay a day's packed records on 5-minute slots, as values or as whole numbers.
 
     One walk: each record adds the empty slots since the record before it and
-    then itself.
+    then itself, so the work goes with the records and not with the slots.
     """
     base = grid_base(reach)
     slots = (tg.DAY + reach[1] - base) // tg.STEP + 1
     start = F.col(_CHUNK) * F.lit(tg.DAY) + F.lit(base)
     nan = F.lit(float("nan"))
+    missing = F.lit(0).cast("int") if whole else nan
     at = F.transform(f"_p_{kind}", lambda x: ((x["u"] - start) / F.lit(tg.STEP)).cast("int"))
     packs = packs.withColumn("_at", at)
     walk = F.arrays_zip(
         F.col("_at").alias("here"),
         F.concat(F.array(F.lit(-1)), "_at").alias("before"),
-        F.transform(f"_p_{kind}", lambda x: F.coalesce(x["v"], nan)).alias("v"),
+        F.transform(f"_p_{kind}", lambda x: x["v"]).alias("v"),
     )
 
+    def own(v):
+        if not whole:
+            return F.coalesce(v, nan)
+        return F.when(v.isNull() | F.isnan(v), 0).otherwise(v.cast("int"))
+
     def lay(x):
         gap = F.coalesce(x["here"], F.lit(slots)) - x["before"] - 1
-        own = F.when(x["here"].isNull(), F.array().cast("array<double>")).otherwise(F.array(x["v"]))
-        return F.concat(F.array_repeat(nan, F.greatest(gap, F.lit(0))), own)
+        here = F.slice(F.array(own(x["v"])), F.lit(1), F.when(x["here"].isNull(), 0).otherwise(1))
+        return F.concat(F.array_repeat(missing, F.greatest(gap, F.lit(0))), here)
 
-    packs = packs.withColumn(f"_g_{kind}", F.flatten(F.transform(walk, lay))).drop("_at")
-    whole = F.transform(f"_g_{kind}", lambda v: F.when(F.isnan(v), 0).otherwise(v.cast("int")))
-    return packs.withColumn(f"_i_{kind}", whole)
+    laid = F.flatten(F.transform(walk, lay))
+    return packs.withColumn(_grid_name(kind, whole), laid).drop("_at")
 
 
 def window_bounds(cases: DataFrame, window: Window, time: str = "ObsDT") -> DataFrame:
@@ -275,8 +283,8 @@ def observe_frame(
                 for k in reader.packs
             ]
         )
-        for kind in reader.grids:
-            packs = _with_grid(packs, kind, reach[kind])
+        for kind, whole in reader.grids:
+            packs = _with_grid(packs, kind, whole, reach[kind])
         # Both sides are partitioned by (patient, day), so a merge join moves nothing; a
         # broadcast would be chosen on the size of the files, and arrays outgrow that.
         framed = framed.join(packs.hint("merge"), [_PID, _CHUNK], "left")
