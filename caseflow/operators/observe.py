@@ -73,8 +73,9 @@ class FrameReader:
     def _running(self, what: str, test: Column, bound: int) -> Column:
         """Rows that meet a test from the start of the day's rows up to ``bound``."""
         name = f"_w_{what}_to_{bound}"
-        frame = self._order.rangeBetween(W.unboundedPreceding, bound)
-        self.frame.setdefault(name, F.count(F.when(test, 1)).over(frame))
+        if name not in self.frame:
+            frame = self._order.rangeBetween(W.unboundedPreceding, bound)
+            self.frame[name] = F.count(F.when(test, 1)).over(frame)
         return F.col(name)
 
     def _ends(self, kind: str) -> tuple[Column, Column]:
