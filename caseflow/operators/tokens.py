@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
+from caseflow.plans.spread import running
+
 TOP = 30
 
 
@@ -164,8 +166,9 @@ def describe_category(df: DataFrame, attrs: list[str]) -> DataFrame:
 def describe_numeric(df: DataFrame, attrs: list[str]) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles of each attribute, 2 decimals.
 
-    Quartiles are exact: percentiles merge counts of distinct values, partial
-    counts before the shuffle.
+    Quartiles are exact, between neighbours in proportion.  Equal values are
+    counted first; running counts over the distinct values then tell which of
+    them holds a place, so no task sees all values of an attribute.
     """
     rows = df.select(
         F.inline(
@@ -174,14 +177,37 @@ def describe_numeric(df: DataFrame, attrs: list[str]) -> DataFrame:
             )
         )
     ).where("x is not null")
-    q = lambda p: F.round(F.percentile("x", F.lit(p)), 2)
-    return rows.groupBy("attr").agg(
+    moments = rows.groupBy("attr").agg(
         F.count("x").alias("count"),
-        F.round(F.avg("x"), 2).alias("mean"),
-        F.round(F.stddev_samp("x"), 2).alias("std"),
-        F.round(F.min("x"), 2).alias("min"),
-        q(0.25).alias("q25"),
-        q(0.5).alias("q50"),
-        q(0.75).alias("q75"),
-        F.round(F.max("x"), 2).alias("max"),
+        F.avg("x").alias("mean"),
+        F.stddev_samp("x").alias("std"),
+        F.min("x").alias("min"),
+        F.max("x").alias("max"),
+    )
+    values = rows.groupBy("attr", "x").agg(F.count(F.lit(1)).alias("n"))
+    placed = running(values, ["x"], {"upto": F.col("n")}, ["attr"]).join(moments, "attr")
+
+    def at(place):
+        """Value at a place counted from 0: the first whose running count passes it."""
+        return F.min(F.when(F.col("upto") > place, F.col("x")))
+
+    cells = {}
+    for q in (25, 50, 75):
+        place = (F.col("count") - 1) * F.lit(q / 100)
+        cells[f"_lo{q}"], cells[f"_hi{q}"] = at(F.floor(place)), at(F.ceil(place))
+    found = placed.groupBy("attr").agg(*[c.alias(k) for k, c in cells.items()])
+    out = moments.join(found, "attr")
+
+    def quartile(q):
+        place = (F.col("count") - 1) * F.lit(q / 100)
+        low, high = F.col(f"_lo{q}"), F.col(f"_hi{q}")
+        return F.round(low + (high - low) * (place - F.floor(place)), 2).alias(f"q{q}")
+
+    rounded = lambda c: F.round(c, 2).alias(c)
+    return out.select(
+        "attr",
+        "count",
+        *[rounded(c) for c in ("mean", "std", "min")],
+        *[quartile(q) for q in (25, 50, 75)],
+        rounded("max"),
     )

@@ -803,13 +803,22 @@ def t6(spark, d):
     return x.select("event_id", F.array_join(F.transform("f_tid", lambda v: v.cast("string")), ",").alias("tid"))
 
 
+def _describe_sql(attr: str, source: str) -> str:
+    return f"""SELECT '{attr}' AS attr, count(*) AS count, round(avg({attr}), 2) AS mean, round(stddev_samp({attr}), 2) AS std,
+       round(CAST(min({attr}) AS DOUBLE), 2) AS min, round(quantile_cont({attr}, 0.25), 2) AS q25, round(quantile_cont({attr}, 0.5), 2) AS q50,
+       round(quantile_cont({attr}, 0.75), 2) AS q75, round(CAST(max({attr}) AS DOUBLE), 2) AS max FROM {source}"""
+
+
 @query(
     "t7_describe_attrs",
-    """SELECT 'n_chars' AS attr, count(*) AS count, round(avg(n_chars), 2) AS mean, round(stddev_samp(n_chars), 2) AS std,
-       CAST(min(n_chars) AS DOUBLE) AS min, round(quantile_cont(n_chars, 0.25), 2) AS q25, round(quantile_cont(n_chars, 0.5), 2) AS q50,
-       round(quantile_cont(n_chars, 0.75), 2) AS q75, CAST(max(n_chars) AS DOUBLE) AS max FROM documents""",
+    _describe_sql("l_quantity", "lineitem") + " UNION ALL " + _describe_sql("l_suppkey", "lineitem"),
 )
 def t7(spark, d):
+    return K.describe_numeric(table(spark, d, "lineitem"), ["l_quantity", "l_suppkey"])
+
+
+@query("t7c_describe_documents", _describe_sql("n_chars", "documents"))
+def t7c(spark, d):
     return K.describe_numeric(table(spark, d, "documents"), ["n_chars"])
 
 
