@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from caseflow.config import Rule, Stage
 from caseflow.functions.rng import uniform
-from caseflow.operators.shaping import ordered_join
 from caseflow.plans.spread import rank_rows
 
 IDS = ["PID", "ObsDT"]

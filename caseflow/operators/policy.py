@@ -99,15 +99,6 @@ def predict_rewards(df: DataFrame, models: dict, out: str = "rewards") -> DataFr
     return df.withColumn(out, F.array(*cols)).drop(*cols)
 
 
-def softmax(scores: Column) -> Column:
-    """Softmax of an array, shifted by its maximum; tiny probabilities become 0."""
-    e = F.transform(scores, lambda x: F.exp(x - F.array_max(scores)))
-    total = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(
-        e, lambda x: F.when(x / total < SMALLEST, F.lit(0.0)).otherwise(x / total)
-    )
-
-
 def softmax_policy(df: DataFrame, scores: str, out: str = "probs") -> DataFrame:
     """Action probabilities from scores.
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caseflow.functions import timegrid as tg
-from caseflow.operators import records as R
 from caseflow.operators.features import CGM, DIET, EXERCISE, MED
 
 QUERIES: dict = {}
@@ -64,12 +63,6 @@ LOCAL = RAW + """, loc AS (
   FROM raw WHERE abs("TimezoneOffset") < 1000)"""
 
 
-def local_events(spark, d) -> DataFrame:
-    """Raw events with local time DT_s (no floor)."""
-    e = raw_events(spark, d).join(human(spark, d), "PatientID", "left")
-    return R.localize(R.resolve_tz(e, "TimezoneOffset"), "ObservationDateTime", None)
-
-
 # ---------------------------------------------------------------- records, PID = user id
 
 _TYPES = {CGM: ("view", "error"), DIET: ("purchase",), MED: ("click",), EXERCISE: ("signup",)}

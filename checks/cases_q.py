@@ -8,20 +8,17 @@ from pyspark.sql import functions as F
 
 from caseflow.config import AF2H, AF2TO8H, BF24H, Stage
 from caseflow.functions import timegrid as tg
-from caseflow.functions.rng import uniform
 from caseflow.operators import cases as C, features as X, observe as O, records as R
 from caseflow.operators import sequences as Q, splits as P
 from caseflow.plans import timeline as TL
 from checks.base import (
     CASES,
     PAT,
-    RAW,
     REC,
     bounds,
     cases,
     patients,
     query,
-    raw_events,
     record,
     records,
     table,

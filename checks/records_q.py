@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from caseflow.functions import codes, timegrid as tg
 from caseflow.operators import entities as H, records as R, shaping as S, tokens as K
 from caseflow.operators.anchors import densify_anchor
-from checks.base import LOCAL, PAT, RAW, REC, human, local_events, patients, query, raw_events, record, table
+from checks.base import LOCAL, PAT, RAW, REC, human, patients, query, raw_events, record, table
 from caseflow.operators.features import CGM
 
 

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from caseflow.config import BF24H
 from caseflow.functions import timegrid as tg
-from caseflow.operators import features as X, records as R
+from caseflow.operators import features as X
 from caseflow.plans import timeline as TL
 from caseflow.plans.spread import scratch_path
 from caseflow.sources import readers as RD
 from caseflow.streaming import streams as ST
-from checks.base import CASES, PAT, RAW, query, raw_events, record, table
+from checks.base import CASES, PAT, patients, query, record, table
 from checks.cases_q import info_sql
 from checks.records_q import _anchor_sql
 from checks.sources_q import _GLUCOSE, _columnar
@@ -82,8 +82,6 @@ def x4(spark, d):
     f"""WITH {PAT} SELECT event_id, user_id AS "PatientID", "Gender", "MRSegmentID" FROM events LEFT JOIN pat ON user_id = "PatientID" """,
 )
 def x5(spark, d):
-    from checks.base import patients
-
     p = patients(spark, d).select("PatientID", "Gender", "MRSegmentID")
     e = _stream(spark, d).select("event_id", F.col("user_id").alias("PatientID"))
     return _run(spark, ST.stream_static_enrich(e, p, "PatientID"), "x5")
