@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseflow.llm import common as C, toxicity
+from caseflow.llm import common as C, language, quality, toxicity
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -25,3 +25,16 @@ def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs, labels = C.table(spark, d, "documents"), C.table(spark, d, "labels")
     got = toxicity.score(docs, labels)
     return got.select("doc_id", C.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@query("op9_language_id")
+def op9_language_id(spark: SparkSession, d: str) -> DataFrame:
+    got = language.predict(C.table(spark, d, "documents"))
+    return got.select(
+        "doc_id", C.held_out("doc_id").alias("held_out"), "lang_pred", "score", "margin", "rejected"
+    )
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.judge(C.table(spark, d, "documents"), C.table(spark, d, "labels"))

@@ -68,14 +68,16 @@ def words_of(text: str | None) -> list[bytes]:
     return text.lower().encode("utf-8", "replace").split() if text else []
 
 
-def count_sequences(words: DataFrame, order: int = ORDER) -> DataFrame:
-    """Counts behind the model, from rows (word, c0, c1).
+def count_sequences(words: DataFrame, order: int = ORDER, slots: int = SLOTS) -> DataFrame:
+    """Counts of byte sequences behind the model, from rows (word, c0, c1).
 
-    Returns gram, context, a0, a1: occurrences by class for sequences that begin a word
-    or have full length; for the shorter ones, in both columns, how many different bytes
-    precede them in either class.
+    A row per sequence (``gram``, a 64-bit hash): the slots of the sequence, of its context
+    (all but the last byte), of its suffix (all but the first) and of the suffix's context;
+    ``top`` where the class keeps its own count (the sequence begins a word or has full
+    length); and the occurrences by class.
     """
-    schema = "gram bigint, context bigint, suffix bigint, suffix_context bigint, top boolean, c0 bigint, c1 bigint"
+    schema = "gram bigint, slot int, context int, suffix int, suffix_context int, top boolean, c0 bigint, c1 bigint"
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -93,32 +95,21 @@ def count_sequences(words: DataFrame, order: int = ORDER) -> DataFrame:
                     continue
                 gram, first, inv = np.unique(hs[n][at], return_index=True, return_inverse=True)
                 one = at[first]
-                cols = [
-                    gram, hs[n - 1][one - 1], hs[n - 1][one], hs[n - 2][one - 1],
-                ]
+                parts = [gram, hs[n - 1][one - 1], hs[n - 1][one], hs[n - 2][one - 1]]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[pa.array(c.view(np.int64)) for c in cols],
+                        pa.array(gram.view(np.int64)),
+                        *[pa.array(_slot(x, slots).astype(np.int32)) for x in parts],
                         pa.array((place[one] == n - 1) | (n == order)),
                         pa.array(np.bincount(inv, c0[at], len(gram)).astype(np.int64)),
                         pa.array(np.bincount(inv, c1[at], len(gram)).astype(np.int64)),
                     ],
-                    names=["gram", "context", "suffix", "suffix_context", "top", "c0", "c1"],
+                    names=names,
                 )
 
-    grams = (
-        words.select("word", "c0", "c1")
-        .mapInArrow(spell, schema)
-        .groupBy("gram", "context", "suffix", "suffix_context", "top")
-        .agg(F.sum("c0").alias("a0"), F.sum("c1").alias("a1"))
-    )
-    grams = C.stored(grams, "toxicity-grams")
-    shared = grams.groupBy(F.col("suffix").alias("gram"), F.col("suffix_context").alias("context")).agg(
-        F.count("*").alias("a0")
-    )
-    return grams.where("top").select("gram", "context", "a0", "a1").unionByName(
-        shared.withColumn("a1", F.col("a0"))
-    )
+    spelled = words.select("word", "c0", "c1").mapInArrow(spell, schema)
+    by = [F.first(n).alias(n) for n in names[1:6]]
+    return spelled.groupBy("gram").agg(*by, F.sum("c0").alias("a0"), F.sum("c1").alias("a1"))
 
 
 class Model:
@@ -151,29 +142,23 @@ class Model:
 
 
 def fit_model(words: DataFrame, order: int = ORDER, slots: int = SLOTS) -> Model:
-    """Kneser-Ney tables from rows (word, c0, c1); at most ``slots`` sums reach the driver per table."""
-    counts = C.stored(count_sequences(words, order), "toxicity-counts")
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            g, c = (np.asarray(b.column(i).to_numpy(zero_copy_only=False)).view(np.uint64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_slot(g, slots)), pa.array(_slot(c, slots)), b.column(2), b.column(3)],
-                names=["g", "c", "a0", "a1"],
-            )
-
-    rows = counts.mapInArrow(hashed, "g bigint, c bigint, a0 bigint, a1 bigint")
-    grams = rows.groupBy("g").agg(*[F.sum(a).cast("float").alias(a) for a in ("a0", "a1")])
-    contexts = rows.groupBy("c").agg(
-        *[F.sum(a).cast("float").alias(a) for a in ("a0", "a1")],
-        *[F.sum((F.col(a) > 0).cast("int")).cast("float").alias("k" + a) for a in ("a0", "a1")],
+    """Kneser-Ney tables from rows (word, c0, c1); at most ``slots`` sums per table reach the driver."""
+    counts = C.stored(count_sequences(words, order, slots), "toxicity-counts")
+    own = counts.where("top").select("slot", "context", "a0", "a1")
+    # shorter sequences: how many different bytes precede them, whatever the class
+    shared = counts.groupBy(F.col("suffix").alias("slot"), F.col("suffix_context").alias("context")).agg(
+        F.count("*").alias("a0")
     )
+    rows = own.unionByName(shared.withColumn("a1", F.col("a0")))
+    sums = [F.sum(a).cast("float").alias(a) for a in ("a0", "a1")]
+    kinds = [F.sum((F.col(a) > 0).cast("int")).cast("float").alias("k" + a) for a in ("a0", "a1")]
     made = [np.zeros((slots, 2), np.float32) for _ in range(3)]
-    for frame, wanted in ((grams, [(0, "a0", "a1")]), (contexts, [(1, "a0", "a1"), (2, "ka0", "ka1")])):
-        got = frame.toArrow()
-        at = got.column(0).to_numpy()
-        for k, x, y in wanted:
-            made[k][at, 0], made[k][at, 1] = got.column(x).to_numpy(), got.column(y).to_numpy()
+    got = rows.groupBy("slot").agg(*sums).toArrow()
+    made[0][got.column("slot").to_numpy()] = np.column_stack([got.column(a).to_numpy() for a in ("a0", "a1")])
+    got = rows.groupBy("context").agg(*sums, *kinds).toArrow()
+    at = got.column("context").to_numpy()
+    made[1][at] = np.column_stack([got.column(a).to_numpy() for a in ("a0", "a1")])
+    made[2][at] = np.column_stack([got.column(a).to_numpy() for a in ("ka0", "ka1")])
     return Model(*made, order)
 
 
