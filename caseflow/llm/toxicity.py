@@ -1,6 +1,7 @@
 """Toxicity by two class-conditional Kneser-Ney models.
 
-Words are spelled out as bytes between a start and an end mark.  Each class (toxic,
+Words, in lower case and without ASCII punctuation and digits, are spelled out as bytes
+between a start and an end mark.  Each class (toxic,
 ordinary) has its own counts for the longest byte sequences and for those that begin
 a word; all shorter sequences share one set of continuation counts, so a rare
 expression is smoothed the same way in both classes and cannot tip the scale by being
@@ -24,18 +25,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+import zstandard as zstd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from caseflow.llm import common as C
 
-ORDER = 7
-SLOTS = 1 << 21
+ORDER = 8
+#: Size of the model's tables, a power of two, at most 2**20 (three slots and a flag fit a long).
+SLOTS = 1 << 20
 DISCOUNT = 0.75
 #: Training fold kept out of the counts, for the calibration curve.
 CALIBRATION_FOLD = 4
 CALIBRATION_ROWS = 20_000
 _CACHE = 400_000
 _START, _END = b"\x02", b"\x03"
+_DROPPED = "".join(map(chr, (*range(33, 65), *range(91, 97), *range(123, 127))))
 _K = np.uint64(0x9E3779B97F4A7C15)
 _SEED = np.uint64(0x51_7C_C1_B7_27_22_0A_95)
 
@@ -60,24 +64,29 @@ def _sequences(text: np.ndarray, order: int) -> Iterator[np.ndarray]:
 
 
 def _slot(h: np.ndarray, slots: int) -> np.ndarray:
+    return (_mixed(h) & np.uint64(slots - 1)).astype(np.int64)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((h ^ (h >> np.uint64(32))) & np.uint64(slots - 1)).astype(np.int64)
+    return h ^ (h >> np.uint64(32))
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return text.lower().encode("utf-8", "replace").split() if text else []
+    if not text:
+        return []
+    return text.lower().encode("utf-8", "replace").translate(None, _DROPPED.encode()).split()
 
 
 def count_sequences(words: DataFrame, order: int = ORDER, slots: int = SLOTS) -> DataFrame:
     """Counts of byte sequences behind the model, from rows (word, c0, c1).
 
-    A row per sequence (``gram``, a 64-bit hash): the slots of the sequence, of its context
-    (all but the last byte), of its suffix (all but the first) and of the suffix's context;
-    ``top`` where the class keeps its own count (the sequence begins a word or has full
-    length); and the occurrences by class.
+    A row per sequence (``gram``, a 64-bit hash whose low bits are its slot): the slots of
+    its context (all but the last byte), of its suffix (all but the first) and of the
+    suffix's context; ``top`` where each class keeps its own count (the sequence begins a
+    word or has full length); and the occurrences by class, ``a0`` and ``a1``.
     """
-    schema = "gram bigint, slot int, context int, suffix int, suffix_context int, top boolean, c0 bigint, c1 bigint"
-    names = [x.split()[0] for x in schema.split(", ")]
+    bits = slots.bit_length() - 1
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -93,23 +102,29 @@ def count_sequences(words: DataFrame, order: int = ORDER, slots: int = SLOTS) ->
                 at = np.nonzero(place >= n - 1)[0]
                 if not len(at):
                     continue
-                gram, first, inv = np.unique(hs[n][at], return_index=True, return_inverse=True)
+                gram, first, inv = np.unique(_mixed(hs[n][at]), return_index=True, return_inverse=True)
                 one = at[first]
-                parts = [gram, hs[n - 1][one - 1], hs[n - 1][one], hs[n - 2][one - 1]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(gram.view(np.int64)),
-                        *[pa.array(_slot(x, slots).astype(np.int32)) for x in parts],
-                        pa.array((place[one] == n - 1) | (n == order)),
-                        pa.array(np.bincount(inv, c0[at], len(gram)).astype(np.int64)),
-                        pa.array(np.bincount(inv, c1[at], len(gram)).astype(np.int64)),
-                    ],
-                    names=names,
-                )
-
-    spelled = words.select("word", "c0", "c1").mapInArrow(spell, schema)
-    by = [F.first(n).alias(n) for n in names[1:6]]
-    return spelled.groupBy("gram").agg(*by, F.sum("c0").alias("a0"), F.sum("c1").alias("a1"))
+                parts = ((place[one] == n - 1) | (n == order)).astype(np.int64)
+                for x in (hs[n - 1][one - 1], hs[n - 1][one], hs[n - 2][one - 1]):
+                    parts = (parts << bits) | _slot(x, slots)
+                counts = [np.bincount(inv, c[at], len(gram)).astype(np.int64) for c in (c0, c1)]
+                cols = [gram.view(np.int64), parts, *counts]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["gram", "parts", "c0", "c1"])
+
+    def part(k: int) -> Column:
+        return F.shiftright("parts", k * bits).bitwiseAND(F.lit(slots - 1)).cast("int")
+
+    spelled = words.select("word", "c0", "c1").mapInArrow(spell, "gram bigint, parts bigint, c0 bigint, c1 bigint")
+    grams = spelled.groupBy("gram", "parts").agg(F.sum("c0").alias("a0"), F.sum("c1").alias("a1"))
+    return grams.select(
+        F.col("gram").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot"),
+        part(2).alias("context"),
+        part(1).alias("suffix"),
+        part(0).alias("suffix_context"),
+        (F.shiftright("parts", 3 * bits) == 1).alias("top"),
+        "a0",
+        "a1",
+    )
 
 
 class Model:
@@ -162,37 +177,43 @@ def fit_model(words: DataFrame, order: int = ORDER, slots: int = SLOTS) -> Model
     return Model(*made, order)
 
 
-FEATURES = ["n_words", "f_mean", "f_root", "f_top", "f_strong"]
+FEATURES = ["n_words", "f_mean", "f_clipped", "f_root", "f_rate", "f_top", "f_strong"]
+
+
+def _features(d: np.ndarray) -> list[float]:
+    """Of the word-wise differences of a text, by ``FEATURES``: lengths divide all sums."""
+    n = max(1, len(d))
+    above = float(np.maximum(d - 1, 0).sum())
+    top = np.partition(d, -3)[-3:] if len(d) > 3 else d
+    return [
+        len(d), float(d.sum()) / n, float(np.maximum(d, -0.3).sum()) / n, above / n**0.5, above / n,
+        float(top.mean()) if len(d) else 0.0, float(np.log1p((d > 3).sum())),
+    ]
 
 
 def evidence(docs: DataFrame, model: Model, keep: list[str], text_col: str) -> DataFrame:
     """Length-normalised log-likelihood differences of each whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (model.counts, model.totals, model.kinds, model.order)
-    )
+    tables = np.concatenate([model.counts, model.totals, model.kinds], axis=1)
+    shared = docs.sparkSession.sparkContext.broadcast(zstd.compress(tables.tobytes(), 3))
+    order = model.order
+    made: list[Model] = []
     known: dict[bytes, float] = {}
 
     def measure(texts: list) -> dict:
-        scorer = Model(*shared.value)
-        out = {name: [] for name in FEATURES}
+        if not made:
+            t = np.frombuffer(zstd.decompress(shared.value), np.float32).reshape(-1, 6)
+            made.append(Model(t[:, :2], t[:, 2:4], t[:, 4:], order))
+        rows = []
         for at in range(0, len(texts), 256):
             listed = [words_of(t) for t in texts[at : at + 256]]
-            new = set().union(*listed)
             if len(known) > _CACHE:
                 known.clear()
-            new = list(new.difference(known))
+            new = list(set().union(*listed).difference(known))
             for i in range(0, len(new), 50_000):
                 part = new[i : i + 50_000]
-                known.update(zip(part, scorer.differences(part).tolist()))
-            for ws in listed:
-                d = np.fromiter(map(known.__getitem__, ws), np.float32, len(ws))
-                n = max(1, len(ws))
-                out["n_words"].append(len(ws))
-                out["f_mean"].append(float(d.sum(dtype=np.float64)) / n)
-                out["f_root"].append(float(d.sum(dtype=np.float64)) / np.sqrt(n))
-                out["f_top"].append(float(d.max()) if len(d) else 0.0)
-                out["f_strong"].append(float(np.log1p((d > 2).sum())))
-        return out
+                known.update(zip(part, made[0].differences(part).tolist()))
+            rows += [_features(np.fromiter(map(known.__getitem__, ws), np.float64, len(ws))) for ws in listed]
+        return {name: [r[k] for r in rows] for k, name in enumerate(FEATURES)}
 
     schema = T.StructType([
         T.StructField(n, T.LongType() if n == "n_words" else T.DoubleType()) for n in FEATURES
@@ -222,7 +243,8 @@ def score(
     mine = mine.where((C.fold("_id") != 0) & F.col("_text").isNotNull())
     counted = mine.where(C.fold("_id") != CALIBRATION_FOLD).join(marks, "_id")
     words = (
-        counted.select(F.explode(F.split(F.lower("_text"), "[\\x09-\\x0D\\x20]+")).alias("word"), "_toxic")
+        counted.select(F.translate(F.lower("_text"), _DROPPED, "").alias("_text"), "_toxic")
+        .select(F.explode(F.split("_text", "[\\x09-\\x0D\\x20]+")).alias("word"), "_toxic")
         .where("word <> ''")
         .groupBy("word")
         .agg(
@@ -243,8 +265,7 @@ def score(
     if weights is None:
         value = F.lit(0.0)
     else:
-        terms = [F.col("f_mean"), F.col("f_root"), F.col("f_top"), F.col("f_strong")]
-        terms.append(F.log1p("n_words"))
+        terms = [*[F.col(n) for n in FEATURES[1:]], F.log1p("n_words")]
         z = sum((F.lit(w) * t for w, t in zip(weights, terms)), F.lit(weights[-1]))
         value = 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z))))
     return got.withColumn("score", value.cast("double")).withColumn(
@@ -252,5 +273,5 @@ def score(
     )
 
 
-def _design(n, mean, root, top, strong) -> np.ndarray:
-    return np.column_stack([mean, root, top, strong, np.log1p(n)]).astype(np.float64)
+def _design(n: np.ndarray, *others: np.ndarray) -> np.ndarray:
+    return np.column_stack([*others, np.log1p(n)]).astype(np.float64)
