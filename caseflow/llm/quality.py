@@ -139,8 +139,8 @@ def judge(
         .agg(F.min(label_col).cast("int").alias("_good"))
     )
     fit = C.bounded_sample(marks.where(C.fold("_id") != CALIBRATION_FOLD), "_good", "_id", TRAIN_ROWS)
-    tune = marks.where(C.fold("_id") == CALIBRATION_FOLD).withColumn("_all", F.lit(1))
-    tune = C.bounded_sample(tune, "_all", "_id", CALIBRATION_ROWS)
+    tune = marks.where(C.fold("_id") == CALIBRATION_FOLD)
+    tune = tune.orderBy(C.spread_order("_id"), "_id").limit(CALIBRATION_ROWS)
     mine = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
 
     got = mine.join(F.broadcast(fit), "_id").select("_id", "_good", "_text").toArrow().to_pylist()

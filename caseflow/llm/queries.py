@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseflow.llm import common as C, language, quality, toxicity
+from caseflow.llm import common as C, language, near_dup, quality, toxicity
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -38,3 +38,8 @@ def op9_language_id(spark: SparkSession, d: str) -> DataFrame:
 @query("op10_quality")
 def op10_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.judge(C.table(spark, d, "documents"), C.table(spark, d, "labels"))
+
+
+@query("op5_near_duplicates")
+def op5_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return near_dup.near_duplicates(C.table(spark, d, "documents"), k=3, num=85, den=100)
