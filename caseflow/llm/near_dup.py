@@ -25,6 +25,7 @@ cannot be linked or named: such rows come back with null component and are kept.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -65,16 +66,19 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     return np.unique(s)
 
 
+@functools.cache
 def _factors(count: int) -> np.ndarray:
-    return np.random.default_rng(20240229).integers(1, 2**63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    """Odd multipliers, each a different order of 64-bit values."""
+    drawn = np.random.default_rng(20240229).integers(1, 2**63, count, dtype=np.uint64)
+    return drawn * np.uint64(2) + np.uint64(1)
 
 
 def half_keys(s: np.ndarray, half: int, rows: int = ROWS) -> np.ndarray:
     """The keys of both collections, ``half`` each."""
     factors = _factors(2 * half * rows)
     least = np.full(len(factors), np.iinfo(np.uint64).max)
-    for at in range(0, len(s), 2048):
-        least = np.minimum(least, (s[at : at + 2048, None] * factors[None, :]).min(axis=0))
+    for at in range(0, len(s), 1024):
+        least = np.minimum(least, (s[at : at + 1024, None] * factors[None, :]).min(axis=0))
     keys = np.zeros(2 * half, np.uint64)
     for r in range(rows):
         keys = _mix(keys * _MIX[0] + least.reshape(2 * half, rows)[:, r])
@@ -124,13 +128,13 @@ def _stars(members: DataFrame, rank: DataFrame) -> DataFrame:
 
 
 def _compare(stars: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(pivot, id, linked, tokens): verdict on full sets, and the prefix of the differences."""
+    """(pivot, id, linked, short, tokens): verdict on full sets, and the prefix of the differences."""
     c = num / (num + den)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, p = None, None
         for b in batches:
-            out = {"pivot": [], "id": [], "linked": [], "tokens": []}
+            out = {"pivot": [], "id": [], "linked": [], "short": [], "tokens": []}
             for pivot, i, pivot_text, text in zip(*[b.column(x).to_pylist() for x in range(4)]):
                 if pivot != last:
                     last, p = pivot, shingle_set(pivot_text, k)
@@ -141,27 +145,33 @@ def _compare(stars: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
                 linked = den * both >= num * (len(x) + len(p) - both)
                 d = (1 - c) * len(minus) + c * len(plus)
                 room = (1 - 2 * c) * len(p)
-                if linked:
-                    need = math.floor(d - 1e-9) + 1
-                else:
-                    need = max(1, math.ceil((d - room) / (1 - c) - 1e-9))
                 every = len(plus) + len(minus)
+                # overlap above d(x) with any member that is not linked to the pivot, if
+                # this one is linked or not; a longer prefix for an unlinked one to meet
+                # linked ones
+                short = every - math.floor(d - 1e-9)
+                long = short
+                if not linked:
+                    long = every - max(1, math.ceil((d - room) / (1 - c) - 1e-9)) + 1
+                    short = min(short, long)
                 # hashes are in no special order; those the pivot lacks come first
-                tokens = np.concatenate([plus, minus])[: max(0, every - need + 1)]
+                tokens = np.concatenate([plus, minus])[: max(0, long)]
                 out["pivot"].append(pivot)
                 out["id"].append(i)
                 out["linked"].append(bool(linked))
+                out["short"].append(max(0, short))
                 out["tokens"].append(tokens.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(out["pivot"], pa.int64()), pa.array(out["id"], pa.int64()),
-                    pa.array(out["linked"], pa.bool_()), pa.array(out["tokens"], pa.list_(pa.int64())),
+                    pa.array(out["linked"], pa.bool_()), pa.array(out["short"], pa.int32()),
+                    pa.array(out["tokens"], pa.list_(pa.int64())),
                 ],
                 names=list(out),
             )
 
     mine = stars.join(texts, "id").join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("pivot_text")), "pivot")
-    schema = "pivot bigint, id bigint, linked boolean, tokens array<bigint>"
+    schema = "pivot bigint, id bigint, linked boolean, short int, tokens array<bigint>"
     return mine.select("pivot", "id", "pivot_text", "text").mapInArrow(check, schema)
 
 
@@ -176,16 +186,30 @@ def find_links(reps: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
         got = C.stored(_compare(stars, texts, k, num, den), "near-compared")
         seen = got if seen is None else seen.unionByName(got)
         done = stars if done is None else done.unionByName(stars)
-        many = seen.groupBy("pivot").agg(F.count("*").alias("n"), F.min("linked").alias("all")).where("n > 1 and not all")
-        rows = seen.join(many.select("pivot"), "pivot", "left_semi").select("pivot", "id", "linked", F.explode("tokens").alias("token"))
-        rows = rows.select(F.xxhash64("pivot", "token").alias("bucket"), "id", "linked")
-        open_ = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("linked").alias("all")).where("n > 1 and not all")
-        again = rows.join(open_.select("bucket"), "bucket", "left_semi").select("bucket", "id")
-        stars = C.stored(_stars(again, rank).join(done, ["pivot", "id"], "left_anti"), "near-stars")
+        stars = C.stored(_stars(_open(seen), rank).join(done, ["pivot", "id"], "left_anti"), "near-stars")
         if stars.isEmpty():
             return seen.where("linked").select("pivot", "id")
 
 
+def _open(seen: DataFrame) -> DataFrame:
+    """(bucket, id): members whose differences to a pivot meet in a prefix and may still link.
+
+    Two linked members are settled by their pivot.  Two unlinked ones must meet in their
+    short prefixes; a linked one's short prefix must meet an unlinked one's long prefix.
+    """
+    open_pivots = seen.groupBy("pivot").agg(F.count("*").alias("n"), F.min("linked").alias("all"))
+    rows = seen.join(open_pivots.where("n > 1 and not all").select("pivot"), "pivot", "left_semi")
+    rows = rows.select("pivot", "id", "linked", "short", F.posexplode("tokens").alias("at", "token"))
+    rows = rows.select(F.xxhash64("pivot", "token").alias("bucket"), "id", "linked", (F.col("at") < F.col("short")).alias("short"))
+    met = rows.groupBy("bucket").agg(
+        F.count(F.when(F.col("linked"), 1)).alias("linked_ones"),
+        F.count(F.when(~F.col("linked"), 1)).alias("others"),
+        F.count(F.when(~F.col("linked") & F.col("short"), 1)).alias("short_others"),
+    )
+    met = met.where("(linked_ones > 0 and others > 0) or short_others > 1")
+    return rows.join(met, "bucket").where("linked_ones > 0 or short").select("bucket", "id")
+
+
 def near_duplicates(
     docs: DataFrame,
     k: int = 5,

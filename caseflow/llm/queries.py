@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseflow.llm import common as C, language, near_dup, quality, toxicity
+from caseflow.llm import (
+    common as C,
+    decontamination,
+    language,
+    line_dedup,
+    mixing,
+    near_dup,
+    packing,
+    quality,
+    toxicity,
+)
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -43,3 +53,23 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
 @query("op5_near_duplicates")
 def op5_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return near_dup.near_duplicates(C.table(spark, d, "documents"), k=3, num=85, den=100)
+
+
+@query("op3_mixing")
+def op3_mixing(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(C.table(spark, d, "documents"))
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(C.table(spark, d, "documents"))
+
+
+@query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return line_dedup.drop_boilerplate(C.table(spark, d, "documents"))
+
+
+@query("op7_decontamination")
+def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontamination.matches(C.table(spark, d, "documents"), C.table(spark, d, "benchmark"))
