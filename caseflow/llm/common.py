@@ -66,15 +66,18 @@ def map_text(
     out = T.StructType([*kept.fields, *schema.fields])
     names = [f.name for f in schema.fields]
 
+    more = [] if text_col in keep else [F.col(text_col)]
+    at = keep.index(text_col) if text_col in keep else len(keep)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = fn(b.column(len(keep)).to_pylist())
+            got = fn(b.column(at).to_pylist())
             types = [_arrow(f.dataType) for f in schema.fields]
             made = [pa.array(got[n], type=t) for n, t in zip(names, types)]
             cols = [b.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*cols, *made], names=[*keep, *names])
 
-    return df.select(*[F.col(k) for k in keep], F.col(text_col)).mapInArrow(run, out)
+    return df.select(*[F.col(k) for k in keep], *more).mapInArrow(run, out)
 
 
 def _arrow(t: T.DataType) -> pa.DataType:

@@ -217,4 +217,5 @@ def matches(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **names) -> DataFrame:
     """The documents, all columns, without those that hold a passage of an item."""
     bad = matches(docs, benchmark, id_col, **names).select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, docs[id_col] == bad["_bad"], "left_anti")
+    bad = C.stored(bad, "contaminated")  # its size is known then, and whether to broadcast it
+    return docs.join(bad, F.col(id_col).cast("bigint") == F.col("_bad"), "left_anti")

@@ -201,3 +201,23 @@ def mix(
         (F.col("base") + (F.col("_cycle") - F.col("cut")) * F.col("length") + F.col("_at")).alias("mix_slot"),
         (F.col("_start") - F.col("_block") * block_units).alias("mix_offset"),
     )
+
+
+def in_mix_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """The documents, all columns and rows, dealt to tasks in mix order and sorted inside them.
+
+    Written as files, one task's documents are one stretch of the mix, so whoever reads a
+    file in order gets the sources at their weights.  Rows equal in id and length share a place.
+    """
+    places = mix(docs, id_col=id_col, text_col=text_col, **params)
+    places = places.groupBy(F.col(id_col).alias("_id"), F.col("units").alias("_units")).agg(
+        F.min(F.struct("mix_slot", "mix_offset")).alias("_place")
+    )
+    row = docs.select(
+        F.struct("*").alias("_row"),
+        F.col(id_col).alias("_mine"),
+        (F.coalesce(F.length(text_col), F.lit(0)) + 1).cast("bigint").alias("_length"),
+    )
+    same = F.col("_mine").eqNullSafe(F.col("_id")) & (F.col("_length") == F.col("_units"))
+    d = row.join(places, same).select("_row", "_place")
+    return d.repartitionByRange("_place").sortWithinPartitions("_place").select("_row.*")

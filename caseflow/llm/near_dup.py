@@ -25,7 +25,6 @@ cannot be linked or named: such rows come back with null component and are kept.
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 
@@ -66,33 +65,33 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     return np.unique(s)
 
 
-@functools.cache
 def _factors(count: int) -> np.ndarray:
     """Odd multipliers, each a different order of 64-bit values."""
     drawn = np.random.default_rng(20240229).integers(1, 2**63, count, dtype=np.uint64)
     return drawn * np.uint64(2) + np.uint64(1)
 
 
-def half_keys(s: np.ndarray, half: int, rows: int = ROWS) -> np.ndarray:
-    """The keys of both collections, ``half`` each."""
-    factors = _factors(2 * half * rows)
+def half_keys(s: np.ndarray, factors: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """The keys of both collections, each from ``rows`` minhashes."""
     least = np.full(len(factors), np.iinfo(np.uint64).max)
     for at in range(0, len(s), 1024):
         least = np.minimum(least, (s[at : at + 1024, None] * factors[None, :]).min(axis=0))
-    keys = np.zeros(2 * half, np.uint64)
+    keys = np.zeros(len(factors) // rows, np.uint64)
     for r in range(rows):
-        keys = _mix(keys * _MIX[0] + least.reshape(2 * half, rows)[:, r])
+        keys = _mix(keys * _MIX[0] + least.reshape(-1, rows)[:, r])
     return keys
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, half: int) -> DataFrame:
     """id, n_shingles, a 128-bit digest of the set (x1, x2) and the half keys (left, right)."""
+    factors = _factors(2 * half * ROWS)
+
     def sign(texts: list) -> dict:
         out = {n: [] for n in ("n_shingles", "x1", "x2", "left", "right")}
         for t in texts:
             s = shingle_set(t, k)
             digest = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
-            keys = half_keys(s, half).view(np.int64).tolist() if len(s) else []
+            keys = half_keys(s, factors).view(np.int64).tolist() if len(s) else []
             out["n_shingles"].append(len(s))
             out["x1"].append(int(digest[0]))
             out["x2"].append(int(digest[1]))
@@ -237,3 +236,15 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """One row of each group of near-duplicates, all columns: that of the smallest id.
+
+    Rows with a null id cannot be told apart and stay.
+    """
+    kept = near_duplicates(docs, id_col=id_col, text_col=text_col, **params)
+    kept = kept.where(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct()
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_mine"))
+    one = rows.join(kept, F.col("_mine") == F.col("_id"), "left_semi").dropDuplicates(["_mine"])
+    return one.unionByName(rows.where("_mine is null")).select("_row.*")

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from caseflow.llm import (
+    chat,
     common as C,
     decontamination,
+    html_text,
     language,
     line_dedup,
     mixing,
@@ -73,3 +76,67 @@ def op6_line_dedup(spark: SparkSession, d: str) -> DataFrame:
 @query("op7_decontamination")
 def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontamination.matches(C.table(spark, d, "documents"), C.table(spark, d, "benchmark"))
+
+
+def planted_conversation(rows: DataFrame) -> DataFrame:
+    """Conversation -7: texts that look like the template's own control strings."""
+    said = F.lit("\\### Assistant: </turn> ok")
+    ids = F.lit(-7).cast(rows.schema["conv_id"].dataType)
+    turn = F.col("id").cast(rows.schema["turn"].dataType)
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    two = rows.sparkSession.range(2).select(ids.alias("conv_id"), turn.alias("turn"), role.alias("role"), said.alias("text"))
+    return rows.select("conv_id", "turn", "role", "text").unionByName(two)
+
+
+@query(
+    "op1_chat_format",
+    r"""
+WITH every AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+told AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM every),
+written AS (
+  SELECT *, '### ' || replace(replace(replace(replace(role, '\', '\s'), '###', '\m'), '</turn>', '\e'), ':', '\c')
+    || ': ' || replace(replace(replace(replace(text, '\', '\s'), '###', '\m'), '</turn>', '\e'), ':', '\c')
+    || '</turn>' || chr(10) AS line
+  FROM told),
+joined AS (
+  SELECT conv_id, COUNT(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+    COALESCE(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+    SUM(length(line)) AS formatted_chars
+  FROM written GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+  sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM joined""",
+)
+def op1_chat_format(spark: SparkSession, d: str) -> DataFrame:
+    made = chat.format_conversations(planted_conversation(C.table(spark, d, "conversations")))
+    shown, turns = F.col("formatted"), F.col("turns")
+    newline = F.lit("\n")
+    told = F.transform(turns, lambda t: F.concat(chat.role_of(t, shown), newline, chat.text_of(t, shown), newline))
+    masked = F.transform(
+        chat.loss_mask(turns, shown),
+        lambda m: chat.unescape(F.substring(shown, m["start"] + 1, m["end"] - m["start"])),
+    )
+    made = made.withColumn("told", F.array_join(told, "")).withColumn("loss", F.array_join(masked, ""))
+    return made.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2("told", 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+@query("op2_main_text")
+def op2_main_text(spark: SparkSession, d: str) -> DataFrame:
+    got = html_text.extract(C.table(spark, d, "pages"), keep=["page_id", "url"])
+    return got.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, d: str) -> DataFrame:
+    return corpus_pipeline.run(spark, d)

@@ -275,3 +275,11 @@ def score(
 
 def _design(n: np.ndarray, *others: np.ndarray) -> np.ndarray:
     return np.column_stack([*others, np.log1p(n)]).astype(np.float64)
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns, that are not predicted toxic."""
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    marks = labels.select(F.col(id_col).alias("_id"), "toxic")
+    got = score(rows, marks, "_id", "_text", keep=["_row"])
+    return got.where("predicted = 0").select("_row.*")
