@@ -6,17 +6,15 @@ from one and a key from the other is a table key, so ``half**2`` tables cost
 ``2 * half * ROWS`` minhashes.  ``half`` follows from the threshold so that a pair at the
 threshold shares no table with probability below ``MISS``.
 
-Documents with equal sets are merged first.  In a table bucket only the member most often
-met by others (the pivot) is compared with the rest: links grow with the members, not with
-their pairs.  What a pivot P leaves open is settled by sets of differences to P.  With
-c = t / (1 + t), a member x that lacks a and adds b shingles has distance
-d(x) = (1-c) a + c b, and is linked to P when d(x) <= K = (1-2c) |P|.  Two members x, y
-are linked when their differences share at least d(x) + d(y) - K shingles.  So either both
-are linked to P, or their differences meet; and as that overlap must be large, they meet
-within a short prefix of their differences in any common order.  Members that share a
-prefix shingle form the buckets of the next round, whose pivots come later in the same
-order, until no new comparison arises.  All links between bucket mates are found, without
-caps and without listing pairs.
+Documents with equal sets are merged first.  In a table bucket every member is compared
+with one pivot, the member most often met by others: links grow with the members, not with
+their pairs.  Most groups are settled there.  Where a pivot's members do not all fall into
+one component, some may still be linked to each other but not to it.  They are compared
+through their differences to the pivot, which are short: a shingle index over the
+differences counts, for each unlinked member, what it shares with all others at once, and
+|X & Y| = |P| - lacks(x) - lacks(y) + shared differences gives the exact verdict.  Large
+memberships are dealt out in blocks of bounded size, a pair of blocks at a time, and only
+links between different components leave a task, a spanning forest of them at most.
 
 Edge cases: null or empty texts have no set, stand alone and are kept; fewer than k words
 make one shingle of the whole sequence; repeated rows of an id fall together; a null id
@@ -38,6 +36,9 @@ from caseflow.llm.components import connected_components
 
 ROWS = 2
 MISS = 5e-5
+#: Most members, and most shingles of members, of a block on average.
+BLOCK = 1000
+BLOCK_SHINGLES = 2_000_000
 _MIX = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9)]
 
 
@@ -126,87 +127,146 @@ def _stars(members: DataFrame, rank: DataFrame) -> DataFrame:
     return members.join(first, "bucket").where("id <> pivot").select("pivot", "id").distinct()
 
 
+def _linked(both: int, x: int, y: int, num: int, den: int) -> bool:
+    return den * both >= num * (x + y - both)
+
+
 def _compare(stars: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(pivot, id, linked, short, tokens): verdict on full sets, and the prefix of the differences."""
-    c = num / (num + den)
+    """(pivot, id, linked, size): verdicts on full sets, and the size of the member's set."""
+    names = ["pivot", "id", "linked", "size"]
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, p = None, None
         for b in batches:
-            out = {"pivot": [], "id": [], "linked": [], "short": [], "tokens": []}
+            rows = []
             for pivot, i, pivot_text, text in zip(*[b.column(x).to_pylist() for x in range(4)]):
                 if pivot != last:
                     last, p = pivot, shingle_set(pivot_text, k)
                 x = shingle_set(text, k)
-                shared = np.isin(x, p, assume_unique=True)
-                both = int(shared.sum())
-                plus, minus = x[~shared], p[~np.isin(p, x, assume_unique=True)]
-                linked = den * both >= num * (len(x) + len(p) - both)
-                d = (1 - c) * len(minus) + c * len(plus)
-                room = (1 - 2 * c) * len(p)
-                every = len(plus) + len(minus)
-                # overlap above d(x) with any member that is not linked to the pivot, if
-                # this one is linked or not; a longer prefix for an unlinked one to meet
-                # linked ones
-                short = every - math.floor(d - 1e-9)
-                long = short
-                if not linked:
-                    long = every - max(1, math.ceil((d - room) / (1 - c) - 1e-9)) + 1
-                    short = min(short, long)
-                # hashes are in no special order; those the pivot lacks come first
-                tokens = np.concatenate([plus, minus])[: max(0, long)]
-                out["pivot"].append(pivot)
-                out["id"].append(i)
-                out["linked"].append(bool(linked))
-                out["short"].append(max(0, short))
-                out["tokens"].append(tokens.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(out["pivot"], pa.int64()), pa.array(out["id"], pa.int64()),
-                    pa.array(out["linked"], pa.bool_()), pa.array(out["short"], pa.int32()),
-                    pa.array(out["tokens"], pa.list_(pa.int64())),
-                ],
-                names=list(out),
-            )
-
-    mine = stars.join(texts, "id").join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("pivot_text")), "pivot")
-    schema = "pivot bigint, id bigint, linked boolean, short int, tokens array<bigint>"
-    return mine.select("pivot", "id", "pivot_text", "text").mapInArrow(check, schema)
+                both = len(np.intersect1d(x, p, assume_unique=True))
+                rows.append((pivot, i, _linked(both, len(x), len(p), num, den), len(x)))
+            cols = list(zip(*rows)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(cols, kinds)], names=names)
+
+    pivots = texts.select(F.col("id").alias("pivot"), F.col("text").alias("pivot_text"))
+    mine = stars.join(texts, "id").join(pivots, "pivot").select("pivot", "id", "pivot_text", "text")
+    return mine.mapInArrow(check, "pivot bigint, id bigint, linked boolean, size bigint")
+
+
+def _open_members(seen: DataFrame, parts: DataFrame) -> DataFrame:
+    """(pivot, low, high, id, linked, part): members of pivots that leave pairs open, a row per
+    pair of blocks; a row with the pivot's own id begins each."""
+    rows = seen.join(parts, F.col("id") == F.col("node"), "left")
+    rows = rows.select("pivot", "id", "linked", "size", F.coalesce("component", "id").alias("part"))
+    left = rows.groupBy("pivot").agg(
+        F.min("linked").alias("all"),
+        F.min("part").alias("least"),
+        F.max("part").alias("most"),
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
+    )
+    left = left.where("not all and least < most").select("pivot", "blocks")
+    rows = rows.join(left, "pivot").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    rows = rows.select("pivot", low, high, "id", "linked", "part", "block")
+    heads = rows.select("pivot", "low", "high").distinct()
+    heads = heads.select(
+        "pivot", "low", "high", F.col("pivot").alias("id"), F.lit(True).alias("linked"),
+        F.lit(None).cast("bigint").alias("part"), F.lit(-1).alias("block"),
+    )
+    return rows.unionByName(heads)
+
+
+def links_in_block(p: np.ndarray, sets: list, linked: list, parts: list, blocks: list, num: int, den: int):
+    """(i, j) of members of a pivot that are linked and in different components: a forest of links.
+
+    Members of different blocks are compared, or all if there is one block.
+    """
+    lacks, differences = [], []
+    for x in sets:
+        shared = np.isin(x, p, assume_unique=True)
+        minus = p[~np.isin(p, x, assume_unique=True)]
+        lacks.append(len(minus))
+        differences.append(np.concatenate([x[~shared], minus]))
+    lens = np.array([len(d) for d in differences])
+    sizes, lacks = np.array([len(x) for x in sets]), np.array(lacks)
+    _, code = np.unique(np.concatenate(differences), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), lens)
+    order = np.argsort(code, kind="stable")
+    postings = owner[order]
+    ends = np.cumsum(np.bincount(code)) if len(code) else np.zeros(0, np.int64)
+    begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    offsets = np.concatenate([[0], np.cumsum(lens)])
+    root = {part: part for part in parts}
+    blocks = np.array(blocks)
+    apart = len(set(blocks.tolist())) > 1
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for i in range(len(sets)):
+        if linked[i]:
+            continue
+        mine = code[offsets[i] : offsets[i + 1]]
+        met = [postings[begins[c] : ends[c]] for c in mine[ends[mine] - begins[mine] > 1]]
+        shared = np.bincount(np.concatenate(met), minlength=len(sets)) if met else np.zeros(len(sets), np.int64)
+        both = len(p) - lacks[i] - lacks + shared
+        good = den * both >= num * (sizes[i] + sizes - both)
+        if apart:
+            good &= blocks != blocks[i]
+        for j in np.nonzero(good)[0].tolist():
+            a, b = find(parts[i]), find(parts[j])
+            if j != i and a != b:
+                root[max(a, b)] = min(a, b)
+                yield i, j
+
+
+def _settle(open_: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(pivot, id): links among members of a pivot that lie in different components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, p, rows = None, None, []
+
+        def done() -> pa.RecordBatch:
+            ids, linked, parts, blocks, sets = zip(*rows)
+            found = list(links_in_block(p, list(sets), linked, parts, blocks, num, den))
+            cols = [[ids[i] for i, _ in found], [ids[j] for _, j in found]]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["pivot", "id"])
+
+        for b in batches:
+            for pivot, low, high, block, i, linked, part, text in zip(*[c.to_pylist() for c in b.columns]):
+                if (pivot, low, high) != key:
+                    if len(rows) > 1:
+                        yield done()
+                    key, rows = (pivot, low, high), []
+                if block < 0:
+                    p = shingle_set(text, k)
+                else:
+                    rows.append((i, linked, part, block, shingle_set(text, k)))
+        if len(rows) > 1:
+            yield done()
+
+    d = open_.join(texts, "id").repartition(F.col("pivot"), F.col("low"), F.col("high"))
+    d = d.sortWithinPartitions("pivot", "low", "high", "block", "id")
+    d = d.select("pivot", "low", "high", "block", "id", "linked", "part", "text")
+    return d.mapInArrow(run, "pivot bigint, id bigint")
 
 
 def find_links(reps: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(pivot, id) of linked documents; reps: id, left, right; texts: id, text."""
+    """(pivot, id): links that join all linked documents; reps: id, left, right; texts: id, text."""
     members = _buckets(reps)
     rank = C.stored(members.groupBy("id").agg(F.sum("size").alias("score")), "near-rank")
     texts = C.stored(texts.join(rank, "id", "left_semi"), "near-texts")
-    stars = C.stored(_stars(members.select("bucket", "id"), rank), "near-stars")
-    seen, done = None, None
-    while True:
-        got = C.stored(_compare(stars, texts, k, num, den), "near-compared")
-        seen = got if seen is None else seen.unionByName(got)
-        done = stars if done is None else done.unionByName(stars)
-        stars = C.stored(_stars(_open(seen), rank).join(done, ["pivot", "id"], "left_anti"), "near-stars")
-        if stars.isEmpty():
-            return seen.where("linked").select("pivot", "id")
-
-
-def _open(seen: DataFrame) -> DataFrame:
-    """(bucket, id): members whose differences to a pivot meet in a prefix and may still link.
-
-    Two linked members are settled by their pivot.  Two unlinked ones must meet in their
-    short prefixes; a linked one's short prefix must meet an unlinked one's long prefix.
-    """
-    open_pivots = seen.groupBy("pivot").agg(F.count("*").alias("n"), F.min("linked").alias("all"))
-    rows = seen.join(open_pivots.where("n > 1 and not all").select("pivot"), "pivot", "left_semi")
-    rows = rows.select("pivot", "id", "linked", "short", F.posexplode("tokens").alias("at", "token"))
-    rows = rows.select(F.xxhash64("pivot", "token").alias("bucket"), "id", "linked", (F.col("at") < F.col("short")).alias("short"))
-    met = rows.groupBy("bucket").agg(
-        F.count(F.when(F.col("linked"), 1)).alias("linked_ones"),
-        F.count(F.when(~F.col("linked"), 1)).alias("others"),
-        F.count(F.when(~F.col("linked") & F.col("short"), 1)).alias("short_others"),
-    )
-    met = met.where("(linked_ones > 0 and others > 0) or short_others > 1")
-    return rows.join(met, "bucket").where("linked_ones > 0 or short").select("bucket", "id")
+    stars = _stars(members.select("bucket", "id"), rank)
+    seen = C.stored(_compare(stars, texts, k, num, den), "near-compared")
+    links = seen.where("linked").select("pivot", "id")
+    parts = connected_components(links, "pivot", "id")
+    more = C.stored(_settle(_open_members(seen, parts), texts, k, num, den), "near-settled")
+    return links.unionByName(more)
 
 
 def near_duplicates(
