@@ -16,16 +16,48 @@ unit of work.  The unit is a patient's day:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from caseflow.functions import timegrid as tg
 
-_TRANSFER = "array<struct<s:bigint,e:bigint>>"
+_TRANSFER = T.ArrayType(T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType())]))
 
 
-def _walk(times: Column, start: Column, gap: int) -> Column:
-    """Last anchor after walking over sorted times from an anchor."""
-    return F.aggregate(times, start, lambda a, x: F.when(x > a + F.lit(gap), x).otherwise(a))
+def _exits(times: np.ndarray, gap: int) -> np.ndarray:
+    """For each of a day's sorted times, the last anchor of the walk that begins there.
+
+    The next anchor of each time is found by one search; following them two, four, ...
+    at a time reaches the day's end in a few steps, whatever the number of times.
+    """
+    after = np.searchsorted(times, times + gap, side="right")
+    to = np.where(after < len(times), after, np.arange(len(times)))
+    while True:
+        further = to[to]
+        if (further == to).all():
+            return times[to]
+        to = further
+
+
+def _steps(days: DataFrame, key: list[str], gap: int) -> DataFrame:
+    """Step functions of days, from rows (key, _day, _us): for each time that a carried anchor
+    may leave as the day's first anchor, the anchor carried out.  Runs in Arrow batches."""
+    cell = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+
+    def run(batches):
+        for b in batches:
+            made = []
+            for day, us in zip(b.column(len(key)).to_pylist(), b.column(len(key) + 1)):
+                t = us.values.to_numpy(zero_copy_only=False)
+                ends = _exits(t, gap)
+                n = int(np.searchsorted(t, day * tg.DAY + gap)) + 1
+                made.append([{"s": s, "e": e} for s, e in zip(t[:n].tolist(), ends[:n].tolist())])
+            cols = [b.column(i) for i in range(len(key) + 1)]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(made, cell)], names=[*key, "_day", "_step"])
+
+    out = T.StructType([*[days.schema[k] for k in key], days.schema["_day"]]).add("_step", _TRANSFER)
+    return days.select(*key, "_day", "_us").mapInArrow(run, out)
 
 
 def densify_anchor(
@@ -36,19 +68,8 @@ def densify_anchor(
     d = df.withColumn("_day", tg.bucket(F.col(time_us)))
     days = d.groupBy(*key, "_day").agg(F.sort_array(F.collect_set(time_us)).alias("_us"))
 
-    first, last = F.element_at("_us", 1), F.element_at("_us", -1)
-    reach = F.col("_day") * F.lit(tg.DAY) + F.lit(gap)
-    starts = F.filter(
-        "_us", lambda x, i: (i == 0) | (F.element_at("_us", F.greatest(i, F.lit(1))) < reach)
-    )
     slim = days.select(
-        *key,
-        "_day",
-        first.alias("_first"),
-        last.alias("_last"),
-        F.transform(
-            starts, lambda s: F.struct(s.alias("s"), _walk(F.col("_us"), s, gap).alias("e"))
-        ).cast(_TRANSFER).alias("_step"),
+        *key, "_day", F.element_at("_us", 1).alias("_first"), F.element_at("_us", -1).alias("_last")
     )
     by_day = W.partitionBy(*key).orderBy("_day")
     before = F.lag("_last").over(by_day)
@@ -56,6 +77,7 @@ def densify_anchor(
         "_fresh", (before.isNull() | (F.col("_first") > before + F.lit(gap))).cast("int")
     )
     slim = slim.withColumn("_run", F.sum("_fresh").over(by_day))
+    slim = slim.join(_steps(days, key, gap), [*key, "_day"])
     runs = slim.groupBy(*key, "_run").agg(
         F.sort_array(F.collect_list(F.struct("_day", "_step"))).alias("_days"),
         F.count(F.lit(1)).alias("_n"),

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from caseflow.config import Rule, Stage
 from caseflow.functions.rng import uniform
-from caseflow.plans.spread import rank_rows
+from caseflow.plans.spread import rank_rows, row_order, stored
+from caseflow.sources.store import finished
 
 IDS = ["PID", "ObsDT"]
 KEEP_SEED = 42
-_TOP_K = 10_000
 
 
 def trigger_from_record(records: DataFrame, pid: str = "PID", time: str = "DT_s") -> DataFrame:
@@ -42,13 +42,20 @@ def keep_ratio(cases: DataFrame, ids: list[str] = IDS, seed: int = KEEP_SEED) ->
 def trigger_from_table(
     triggers: DataFrame, human: DataFrame, key: str, pid: str = "PID", check: bool = True
 ) -> DataFrame:
-    """Outside triggers with the patient id; every trigger must have exactly one patient."""
-    out = triggers.join(human.select(key, pid), key)
-    if check:
-        before, after = triggers.count(), out.count()
-        if before != after:
-            raise ValueError(f"{before} triggers became {after} after the patient join")
-    return out
+    """Outside triggers with the patient id; every trigger must have exactly one patient.
+
+    The test looks at the patients that triggers name, not at the joined rows: once before
+    the join for repeated patients, and row by row for a missing one.
+    """
+    mine = human.select(key, pid)
+    if not check:
+        return triggers.join(mine, key)
+    twice = mine.groupBy(key).count().where("count > 1").join(triggers.select(key), key, "left_semi")
+    if not twice.isEmpty():
+        raise ValueError(f"patients named by triggers occur more than once in the directory, by {key}")
+    name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    lost = F.raise_error(F.concat(F.lit("no patient for the trigger of "), name)).cast(mine.schema[pid].dataType)
+    return triggers.join(mine, key, "left").withColumn(pid, F.coalesce(F.col(pid), lost))
 
 
 def trigger_from_form(forms: DataFrame, drugs: dict[str, list[str]] | None = None) -> DataFrame:
@@ -81,18 +88,19 @@ def trigger_from_form(forms: DataFrame, drugs: dict[str, list[str]] | None = Non
 
 
 def restrict_cases(cases: DataFrame, given: DataFrame, ids: list[str] = IDS) -> DataFrame:
-    """Cases named in a given id set; none at all is an error."""
-    out = cases.join(given.select(*ids), ids, "left_semi")
+    """Cases named in a given id set; none at all is an error.
+
+    The result is written once, so the test does not run what is upstream a second time.
+    """
+    out = stored(cases.join(given.select(*ids), ids, "left_semi"), "cases-restricted")
     if out.isEmpty():
         raise ValueError("no case is in the given id set")
     return out
 
 
 def limit_cases(cases: DataFrame, n: int, ids: list[str] = IDS) -> DataFrame:
-    """First n cases in id order; large n by distributed rank instead of a single-task limit."""
-    if n <= _TOP_K:
-        return cases.orderBy(*ids).limit(n)
-    return rank_rows(cases, ids, "_rank").where(F.col("_rank") <= n).drop("_rank")
+    """First n cases in id order, by distributed rank."""
+    return rank_rows(cases, row_order(cases, ids), "_rank").where(F.col("_rank") <= n).drop("_rank")
 
 
 def record_summary(
@@ -130,15 +138,19 @@ def tag_from_record(
     cols: list[str],
     op: str | None = None,
     label: str = "P-P",
-    check: bool = False,
 ) -> DataFrame:
-    """Cases with a record summary, joined on all columns both have."""
+    """Cases with a record summary, joined on all columns both have.
+
+    A tag table with several rows per case is an error.  Summaries grouped by the shared
+    columns have one; others are tested, by keys of the tag table alone.
+    """
     tags = record_summary(records, group, cols, op, label)
     shared = [c for c in cases.columns if c in tags.columns]
-    out = cases.join(tags, shared, "left")
-    if check and out.count() != cases.count():
-        raise ValueError("the tag table has several rows per case")
-    return out
+    if op is None or not set(group) <= set(shared):
+        twice = tags.groupBy(*shared).count().where("count > 1").join(cases.select(*shared), shared, "left_semi")
+        if not twice.isEmpty():
+            raise ValueError("the tag table has several rows per case")
+    return cases.join(tags, shared, "left")
 
 
 def _test(df: DataFrame, rule: Rule, strict: bool) -> Column:
@@ -193,15 +205,29 @@ def named_filter(df: DataFrame, name: str, filters: dict[str, list[Rule]], stric
 
 
 def run_stages(
-    cases: DataFrame, stages: list[Stage], steps: dict[str, Callable[..., DataFrame]]
+    cases: DataFrame,
+    stages: list[Stage],
+    steps: dict[str, Callable[..., DataFrame]],
+    folder: str | None = None,
 ) -> DataFrame:
     """Cases through tag, filter and feature stages in order.
 
     Filters stay before the features they spare: Catalyst does not move a filter
-    through a window.
+    through a window.  With ``folder`` every stage is stored, and a run begins after the
+    last stage that was stored whole.
     """
-    for s in stages:
-        cases = steps[s.kind](cases, **s.args)
+    if folder is None:
+        for s in stages:
+            cases = steps[s.kind](cases, **s.args)
+        return cases
+    spark = cases.sparkSession
+    paths = [f"{folder.rstrip('/')}/stage-{i:03d}-{s.kind}" for i, s in enumerate(stages)]
+    done = max((i + 1 for i, path in enumerate(paths) if finished(spark, path)), default=0)
+    if done:
+        cases = spark.read.parquet(paths[done - 1])
+    for s, path in list(zip(stages, paths))[done:]:
+        steps[s.kind](cases, **s.args).write.mode("overwrite").parquet(path)
+        cases = spark.read.parquet(path)
     return cases
 
 

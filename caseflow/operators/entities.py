@@ -59,7 +59,8 @@ def entity_slice(df: DataFrame, key: str, part: str) -> DataFrame:
 def assign_entity_id(df: DataFrame, key: str, label: int, width: int = 10) -> DataFrame:
     """``PID``: the cohort label followed by the zero-padded rank of the raw id, as a number."""
     ranked = rank_rows(df, [key], "_rank")
-    pid = F.concat(F.lit(str(label)), F.lpad(F.col("_rank").cast("string"), width, "0"))
+    rank = F.col("_rank").cast("string")
+    pid = F.concat(F.lit(str(label)), F.lpad(rank, F.greatest(F.lit(width), F.length(rank)), F.lit("0")))
     return ranked.withColumn("PID", pid.cast("bigint")).drop("_rank")
 
 

@@ -12,7 +12,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from caseflow.plans.spread import running
+from caseflow.plans.spread import join_null_safe, running
 
 # Glucose regions by upper bound (the first two exclude it).
 REGIONS = ["VeryLow", "Low", "TIR", "High", "VeryHigh"]
@@ -214,7 +214,7 @@ def threshold_metrics(
     """Accuracy, precision, recall, F1 and counts at a threshold; null where undefined."""
     hit = F.col(score) >= threshold
     real = F.col(label) == 1
-    sums = df.groupBy(*(group or [])).agg(
+    sums = df.where(F.col(score).isNotNull()).groupBy(*(group or [])).agg(
         F.count(F.lit(1)).alias("SampleNum"),
         F.count(F.when(real, 1)).alias("_pos"),
         F.count(F.when(real & hit, 1)).alias("_tp"),
@@ -241,7 +241,7 @@ def score_counts(df: DataFrame, label: str, score: str, group: list[str] | None
 def _attach(df: DataFrame, one: DataFrame, group: list[str]) -> DataFrame:
     """Rows with their group's single row; the single row of a whole table is a scalar subquery."""
     if group:
-        return df.join(one, group)
+        return join_null_safe(df, one, group)
     row = one.select(F.struct(*[F.col(f"`{c}`") for c in one.columns])).scalar()
     return df.withColumn("_one", row).select("*", "_one.*").drop("_one")
 
@@ -317,34 +317,34 @@ def binary_summary(df: DataFrame, label: str, score: str, group: list[str] | Non
     return _summarise(running(counts, ["score"], {"cum_n": F.col("n"), "cum_pos": F.col("pos")}, group), group)
 
 
-def _curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Per distinct score: rows and true positives at or above it, with the totals."""
-    counts = score_counts(df, label, score)
+def _curve(df: DataFrame, label: str, score: str, group: list[str]) -> DataFrame:
+    """Per group and distinct score: rows and true positives at or above it, with the totals."""
+    counts = score_counts(df, label, score, group)
     down = counts.withColumn("_neg_score", -F.col("score"))
-    r = running(down, ["_neg_score"], {"pp": F.col("n"), "tp": F.col("pos")})
-    total = counts.agg(F.sum("n").alias("N"), F.sum("pos").alias("P"))
-    return r.withColumns(
-        {"N": total.select("N").scalar(), "P": total.select("P").scalar()}
-    ).drop("_neg_score")
+    r = running(down, ["_neg_score"], {"pp": F.col("n"), "tp": F.col("pos")}, group)
+    total = r.groupBy(*group).agg(F.sum("n").alias("rows"), F.sum("pos").alias("positives"))
+    return _attach(r.drop("_neg_score"), total, group)
 
 
-def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
+def roc_curve(df: DataFrame, label: str, score: str, group: list[str] | None = None) -> DataFrame:
     """False and true positive rate at each distinct score, all points kept."""
-    c = _curve(df, label, score)
+    c = _curve(df, label, score, list(group or []))
     return c.select(
+        *(group or []),
         F.col("score").alias("threshold"),
-        F.when(F.col("N") > F.col("P"), (F.col("pp") - F.col("tp")) / (F.col("N") - F.col("P"))).alias("fpr"),
-        F.when(F.col("P") > 0, F.col("tp") / F.col("P")).alias("tpr"),
+        F.when(F.col("rows") > F.col("positives"), (F.col("pp") - F.col("tp")) / (F.col("rows") - F.col("positives"))).alias("fpr"),
+        F.when(F.col("positives") > 0, F.col("tp") / F.col("positives")).alias("tpr"),
     )
 
 
-def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
+def pr_curve(df: DataFrame, label: str, score: str, group: list[str] | None = None) -> DataFrame:
     """Precision and recall at each distinct score, all points kept."""
-    c = _curve(df, label, score)
+    c = _curve(df, label, score, list(group or []))
     return c.select(
+        *(group or []),
         F.col("score").alias("threshold"),
         (F.col("tp") / F.col("pp")).alias("precision"),
-        F.when(F.col("P") > 0, F.col("tp") / F.col("P")).alias("recall"),
+        F.when(F.col("positives") > 0, F.col("tp") / F.col("positives")).alias("recall"),
     )
 
 
@@ -389,12 +389,17 @@ def threshold_table(
 def score_band_table(
     df: DataFrame, label: str, score: str, step: float = 0.05, group: list[str] | None = None
 ) -> DataFrame:
-    """Binary summary of each score band ``[s, s + step)`` that has rows; a score of 1 is in none."""
+    """Binary summary of each score band ``[s, s + step)``, 0 samples where it has no rows; a score
+    of 1 is in none."""
     levels = _levels(step, 1.0)
     lines = F.array(*[F.lit(x) for x in levels])
     band = F.size(F.filter(lines, lambda t: t <= F.col(score))) - 1
     d = df.where((F.col(score) >= levels[0]) & (F.col(score) < round(levels[-1] + step, 3)))
-    out = binary_summary(d.withColumn("band", band), label, score, [*(group or []), "band"])
+    found = binary_summary(d.withColumn("band", band), label, score, [*(group or []), "band"])
+    groups = df.select(*group).distinct() if group else df.sparkSession.range(1).select()
+    bands = groups.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(len(levels) - 1))))
+    out = join_null_safe(bands, found, [*(group or []), "band"], "left")
+    out = out.fillna(0, ["SampleNum", "RealPosNum"])
     name = F.create_map(
         *[
             x
@@ -405,16 +410,18 @@ def score_band_table(
     return out.withColumn("SubGroup", name[F.col("band")])
 
 
-def nth_group(df: DataFrame, label: str, score: str, n: int, tie: list[str]) -> DataFrame:
+def nth_group(
+    df: DataFrame, label: str, score: str, n: int, tie: list[str], by: list[str] | None = None
+) -> DataFrame:
     """Equal-count group 1..n by ascending score (the first groups are larger by one), with the
-    running counts of rows and positives."""
+    running counts of rows and positives; inside each subgroup ``by``."""
+    by = list(by or [])
     known = df.where(F.col(score).isNotNull())
     positive = F.coalesce((F.col(label) == 1).cast("bigint"), F.lit(0))
     ranked = running(
-        known, [score, *tie], {"cum_n": F.lit(1).cast("bigint"), "cum_pos": positive}
+        known, [score, *tie], {"cum_n": F.lit(1).cast("bigint"), "cum_pos": positive}, by
     )
-    total = known.agg(F.count(F.lit(1)).alias("n")).scalar()
-    d = ranked.withColumn("_n", total)
+    d = _attach(ranked, ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), by)
     size, extra = F.floor(F.col("_n") / F.lit(n)), F.col("_n") % F.lit(n)
     big = extra * (size + 1)
     group = F.when(F.col("cum_n") <= big, F.ceil(F.col("cum_n") / (size + 1))).otherwise(
@@ -423,9 +430,9 @@ def nth_group(df: DataFrame, label: str, score: str, n: int, tie: list[str]) ->
     return d.withColumn("group", group.cast("int")).drop("_n")
 
 
-def _group_counts(grouped: DataFrame, label: str, score: str) -> DataFrame:
+def _group_counts(grouped: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
     """Distinct scores per equal-count group; the running counts go on from the ranking."""
-    return grouped.groupBy("group", F.col(score).alias("score")).agg(
+    return grouped.groupBy(*by, "group", F.col(score).alias("score")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(F.col(label) == 1, 1)).alias("pos"),
         F.max("cum_n").alias("cum_n"),
@@ -433,17 +440,23 @@ def _group_counts(grouped: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
-def nth_group_table(df: DataFrame, label: str, score: str, tie: list[str], n: int = 10) -> DataFrame:
-    """Binary summary of each equal-count group."""
-    return _summarise(_group_counts(nth_group(df, label, score, n, tie), label, score), ["group"])
+def nth_group_table(
+    df: DataFrame, label: str, score: str, tie: list[str], n: int = 10, by: list[str] | None = None
+) -> DataFrame:
+    """Binary summary of each equal-count group, inside each subgroup ``by``."""
+    by = list(by or [])
+    return _summarise(_group_counts(nth_group(df, label, score, n, tie, by), label, score, by), [*by, "group"])
 
 
-def bottom_top_tables(df: DataFrame, label: str, score: str, tie: list[str], n: int = 10) -> DataFrame:
+def bottom_top_tables(
+    df: DataFrame, label: str, score: str, tie: list[str], n: int = 10, by: list[str] | None = None
+) -> DataFrame:
     """Binary summary of the lowest and of the highest 1..n groups together (``Btm``/``Top`` k).
 
     Distinct scores per group, not rows, are copied to the at most n + 1 sets they belong to.
     """
-    counts = _group_counts(nth_group(df, label, score, n, tie), label, score)
+    by = list(by or [])
+    counts = _group_counts(nth_group(df, label, score, n, tie, by), label, score, by)
     g = F.col("group")
     sets = F.concat(
         F.transform(F.sequence(g, F.lit(n)), lambda k: F.struct(F.lit("Btm").alias("side"), k.alias("k"))),
@@ -452,14 +465,14 @@ def bottom_top_tables(df: DataFrame, label: str, score: str, tie: list[str], n:
             lambda k: F.struct(F.lit("Top").alias("side"), k.alias("k")),
         ),
     )
-    spread = counts.select("score", "n", "pos", "cum_n", "cum_pos", F.inline(sets))
-    merged = spread.groupBy("side", "k", "score").agg(
+    spread = counts.select(*by, "score", "n", "pos", "cum_n", "cum_pos", F.inline(sets))
+    merged = spread.groupBy(*by, "side", "k", "score").agg(
         F.sum("n").alias("n"),
         F.sum("pos").alias("pos"),
         F.max("cum_n").alias("cum_n"),
         F.max("cum_pos").alias("cum_pos"),
     )
-    return _summarise(merged, ["side", "k"])
+    return _summarise(merged, [*by, "side", "k"])
 
 
 def report_by_subgroup(df: DataFrame, label: str, score: str, subgroups: list[list[str]]) -> DataFrame:
@@ -468,6 +481,23 @@ def report_by_subgroup(df: DataFrame, label: str, score: str, subgroups: list[li
     return binary_summary(subgroup_sets(df.select(*need), subgroups), label, score, ["set_name", "set_value"])
 
 
+def tables_by_subgroup(
+    df: DataFrame, label: str, score: str, subgroups: list[list[str]], tie: list[str], n: int = 10
+) -> dict[str, DataFrame]:
+    """The whole report of every subgroup of every set, a table per part."""
+    need = list(dict.fromkeys([label, score, *tie, *[c for s in subgroups for c in s]]))
+    d, by = subgroup_sets(df.select(*need), subgroups), ["set_name", "set_value"]
+    return {
+        "summary": binary_summary(d, label, score, by),
+        "roc": roc_curve(d, label, score, by),
+        "pr": pr_curve(d, label, score, by),
+        "thresholds": threshold_table(d, label, score, group=by),
+        "bands": score_band_table(d, label, score, group=by),
+        "groups": nth_group_table(d, label, score, tie, n, by),
+        "bottom_top": bottom_top_tables(d, label, score, tie, n, by),
+    }
+
+
 def score_percentile(df: DataFrame, ref: DataFrame, score: str, out: str = "percentile") -> DataFrame:
     """Percentile of a score within reference scores: (reference scores below + 0.5) / n.
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from caseflow.functions.rng import uniform
 from caseflow.operators.evaluate import score_percentile
-from caseflow.sources.store import _exists
+from caseflow.sources.store import finished
 
 # Fixed value: probabilities below this count as zero.
 SMALLEST = 1e-07
@@ -234,7 +234,7 @@ def batch_infer_stored(
     spark = df.sparkSession
     for i in range(parts):
         where = f"{path.rstrip('/')}/part={i}"
-        if not _exists(spark, where):
+        if not finished(spark, where):
             mine = df.where(F.pmod(F.xxhash64(*ids), F.lit(parts)) == i)
             batch_infer(mine, load_model, ids, outputs).write.mode("overwrite").parquet(where)
     return spark.read.parquet(*[f"{path.rstrip('/')}/part={i}" for i in range(parts)])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from caseflow.functions import timegrid as tg
 from caseflow.operators.anchors import densify_anchor
 from caseflow.operators.shaping import first_value, ordered_join
-from caseflow.plans.spread import previous_time, rank_rows, running
+from caseflow.plans.spread import previous_time, rank_rows, row_order, running
 
 # Time formats met in raw tables, the time at or before which a
 # clock was unset, the offset (minutes) from which a value is invalid, and the
@@ -89,7 +89,8 @@ def glucose_5min(df: DataFrame, key: str = "PatientID", value: str = "BGValue")
 
 def densify(df: DataFrame, key: str = "PatientID", gap_minutes: int = 31) -> DataFrame:
     """``DT_s`` replaced by its anchor's time; the time before is kept as ``DT_o``."""
-    d = df.withColumn("_us", tg.micros("DT_s"))
+    missing = F.concat(F.lit("no time DT_s in an event record of patient "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    d = df.withColumn("_us", F.coalesce(tg.micros("DT_s"), F.raise_error(missing).cast("bigint")))
     d = densify_anchor(d, [key], "_us", gap_minutes, "_anchor")
     return d.withColumn("DT_o", F.col("DT_s")).withColumn("DT_s", tg.from_micros("_anchor")).drop(
         "_us", "_anchor"
@@ -154,13 +155,16 @@ def attach_parent(df: DataFrame, parent: DataFrame, raw_key: str, chain: list[st
 def assign_record_id(df: DataFrame, out: str, pid: str = "PID", time: str = "DT_s") -> DataFrame:
     """``PID-0000000``: running number of the record in its patient by time.
 
-    Numbers are counted per patient-day first, so a patient is never one task.
+    Numbers are counted per patient-day first, so a patient is never one task.  Equal
+    times are ordered by the other columns, a null time comes first, and numbers beyond
+    seven digits keep all of them.
     """
     if out in df.columns:
         return df
     d = df.withColumn("_us", tg.micros(time))
-    d = rank_rows(d, ["_us"], "_n", group=[pid], chunk=tg.bucket(F.col("_us")))
-    number = F.lpad((F.col("_n") - 1).cast("string"), 7, "0")
+    d = rank_rows(d, row_order(d, ["_us"]), "_n", group=[pid], chunk=tg.bucket(F.col("_us")))
+    number = (F.col("_n") - 1).cast("string")
+    number = F.lpad(number, F.greatest(F.lit(7), F.length(number)), F.lit("0"))
     return d.withColumn(out, F.concat_ws("-", F.col(pid).cast("string"), number)).drop("_us", "_n")
 
 

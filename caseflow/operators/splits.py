@@ -10,16 +10,20 @@ from caseflow.config import Rule
 from caseflow.functions import timegrid as tg
 from caseflow.functions.rng import uniform
 from caseflow.operators.cases import IDS, filter_test
-from caseflow.plans.spread import rank_by_hash, rank_rows
+from caseflow.plans.spread import rank_by_hash, rank_rows, row_order
 
 
 def random_tags(df: DataFrame, seed: int, pid: str = "PID", obs: str = "ObsDT") -> DataFrame:
-    """Uniforms per row and per patient, and the row's relative place in its patient by time."""
+    """Uniforms per row and per patient, and the row's relative place in its patient by time.
+
+    Equal times are ordered by the other columns; a null time comes first.
+    """
     ids = [pid, obs]
-    per = df.groupBy(pid).agg(F.count(F.lit(1)).alias("_count"))
-    placed = rank_rows(df, [obs], "_n", group=[pid], chunk=tg.bucket(tg.micros(obs)))
+    per = df.groupBy(F.col(pid).alias("_pid")).agg(F.count(F.lit(1)).alias("_count"))
+    placed = rank_rows(df, row_order(df, [obs]), "_n", group=[pid], chunk=tg.bucket(tg.micros(obs)))
     return (
-        placed.join(per, pid)
+        placed.join(per, F.col(pid).eqNullSafe(F.col("_pid")))
+        .drop("_pid")
         .withColumn("CaseRltLocInP", (F.col("_n") - 1) / F.col("_count"))
         .withColumn("RandDownSample", uniform(ids, seed))
         .withColumn("RandInOut", uniform([pid], seed + 1))

@@ -93,7 +93,7 @@ def _bin_tokens(a: str, low, high, step) -> Column:
     label = F.concat(
         F.lit(f"{a}:"), _zfill(floor, width), F.lit("~"), _zfill((floor + F.lit(step)).cast("bigint"), width)
     )
-    place = F.round((x - floor) / F.lit(float(step)), 4)
+    place = F.bround((x - floor) / F.lit(float(step)), 4)
     inside = F.concat(_one(label), _one(F.concat(label, F.lit("Itv")), place))
     return (
         F.when(x.isNull(), _one(f"{a}:None"))
@@ -201,9 +201,9 @@ def describe_numeric(df: DataFrame, attrs: list[str]) -> DataFrame:
     def quartile(q):
         place = (F.col("count") - 1) * F.lit(q / 100)
         low, high = F.col(f"_lo{q}"), F.col(f"_hi{q}")
-        return F.round(low + (high - low) * (place - F.floor(place)), 2).alias(f"q{q}")
+        return F.bround(low + (high - low) * (place - F.floor(place)), 2).alias(f"q{q}")
 
-    rounded = lambda c: F.round(c, 2).alias(c)
+    rounded = lambda c: F.bround(c, 2).alias(c)
     return out.select(
         "attr",
         "count",

@@ -4,7 +4,7 @@ A window ordered over a whole table, or over one very large group, runs in one
 task.  Here the order is cut into chunks, each chunk is summarised, the
 summaries (one row per chunk) are summed in order, and the running value inside
 a chunk starts from its chunk's base.  Chunks are either given (a day of a
-patient's timeline) or cut at keys sampled from the data.
+patient's timeline) or ranges of the keys, as many as the rows ask for.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from caseflow.functions import timegrid as tg
 
 _CHUNK, _BASE = "_chunk", "_base"
-_SAMPLES_PER_CHUNK = 32
-_MAX_CHUNKS = 512
+#: Rows of a chunk, on average: what one task sorts.
+ROWS_PER_CHUNK = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,54 +42,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _order_value(keys: list[str]) -> Column:
-    return F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write below the shared folder and read back: what is upstream runs once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut_points(df: DataFrame, keys: list[str], chunks: int) -> list[tuple]:
-    """At most ``chunks - 1`` keys that split the table into near-even ranges.
+def with_chunks(df: DataFrame, keys: list[str], chunks: int | None = None) -> DataFrame:
+    """Add ``_chunk``, increasing with the keys; nulls come first.
 
-    The sample is the rows with the smallest key hash: bounded in size,
-    distributed (top-k per task), and the same on every run.
+    As many ranges as the row count asks for (or ``chunks``).  The rows are written, so
+    their upstream runs once and their ranges stay what they are.
     """
-    want = chunks * _SAMPLES_PER_CHUNK
-    rows = (
-        df.select(*keys)
-        .dropna()
-        .orderBy(F.xxhash64(*keys), *keys)
-        .limit(want)
-        .collect()
-    )
-    ordered = sorted({tuple(r) for r in rows})
-    if not ordered or chunks < 2:
-        return []
-    at = sorted({len(ordered) * i // chunks for i in range(1, chunks)})
-    return [ordered[i] for i in at if 0 < i < len(ordered)]
-
+    rows = stored(df, "spread-rows")
+    n = chunks or -(-rows.count() // ROWS_PER_CHUNK)
+    if n <= 1:
+        return rows.withColumn(_CHUNK, F.lit(0))
+    ranges = rows.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
+    return stored(ranges.withColumn(_CHUNK, F.spark_partition_id()), "spread-ranges")
 
-def chunk_of(df: DataFrame, keys: list[str], cuts: list[tuple]) -> Column:
-    """Number of the range a row falls in, by binary search over literal cut points."""
-    value = _order_value(keys)
-    types = [df.schema[k].dataType for k in keys]
-    bounds = []
-    for cut in cuts:
-        lits = [F.lit(v).cast(t).alias(k) for v, t, k in zip(cut, types, keys)]
-        bounds.append(lits[0] if len(keys) == 1 else F.struct(*lits))
 
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value < bounds[mid], search(lo, mid)).otherwise(search(mid + 1, hi))
-
-    return search(0, len(bounds))
-
-
-def with_chunks(df: DataFrame, keys: list[str], chunks: int | None = None) -> DataFrame:
-    """Add ``_chunk``, increasing with the keys."""
-    if chunks is None:
-        chunks = min(_MAX_CHUNKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.withColumn(_CHUNK, chunk_of(df, keys, cut_points(df, keys, chunks)))
+def join_null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join on columns where null meets null; the right side's copies leave."""
+    other = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    test = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on]
+    return left.join(other, test, how).drop(*[f"_right_{c}" for c in on])
 
 
 def running(
@@ -102,7 +80,8 @@ def running(
     """Add running sums of ``totals`` in ``order`` inside ``group``, this row included.
 
     ``order`` must identify a row inside its group.  ``chunk`` must not decrease
-    along ``order``; without it chunks are cut from a sample of the order keys.
+    along ``order``; without it chunks are ranges of the order keys.  Null keys come
+    first, null groups are groups, and no row is lost.
     """
     group = list(group or [])
     d = with_chunks(df, order) if chunk is None else df.withColumn(_CHUNK, chunk)
@@ -116,7 +95,7 @@ def running(
     for out in totals:
         name = f"{_BASE}_{out}"
         sums = sums.withColumn(f"{name}_", F.coalesce(F.sum(name).over(outer), F.lit(0))).drop(name)
-    joined = d.join(sums, group + [_CHUNK])
+    joined = join_null_safe(d, sums, group + [_CHUNK])
     for out, expr in totals.items():
         name = f"{_BASE}_{out}_"
         joined = joined.withColumn(out, F.col(name) + F.sum(expr).over(inner))
@@ -135,10 +114,14 @@ def rank_rows(
 
 
 def rank_by_hash(df: DataFrame, hash_col: str, tie: list[str], out: str) -> DataFrame:
-    """Row number from 1 by a uniform in [0, 1); the uniform itself gives even chunks."""
-    parts = min(_MAX_CHUNKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    chunk = F.floor(F.col(hash_col) * F.lit(parts)).cast("int")
-    return rank_rows(df, [hash_col, *tie], out, chunk=chunk)
+    """Row number from 1 by a uniform in [0, 1)."""
+    return rank_rows(df, [hash_col, *tie], out)
+
+
+def row_order(df: DataFrame, first: list[str]) -> list[str]:
+    """``first``, then every other column that has an order, so that equal keys are told apart."""
+    rest = [f.name for f in df.schema.fields if f.name not in first and "map<" not in f.dataType.simpleString()]
+    return [*first, *[f"`{c}`" for c in rest]]
 
 
 def previous_time(df: DataFrame, key: list[str], time_us: str, out: str) -> DataFrame:
@@ -152,7 +135,7 @@ def previous_time(df: DataFrame, key: list[str], time_us: str, out: str) -> Data
     days = days.withColumn("_before", F.lag("_last").over(W.partitionBy(*key).orderBy(_CHUNK)))
     inner = W.partitionBy(*key, _CHUNK).orderBy(time_us)
     return (
-        d.join(days.drop("_last"), [*key, _CHUNK])
+        join_null_safe(d, days.drop("_last"), [*key, _CHUNK])
         .withColumn(out, F.coalesce(F.lag(time_us).over(inner), F.col("_before")))
         .drop(_CHUNK, "_before")
     )

@@ -42,16 +42,22 @@ def hook(kind: str, name: str):
 
 
 def per_patient_batch(
-    df: DataFrame, key: str, fn: Callable, schema: str, time: str = "DT_s", batch_rows: int = 50_000
+    df: DataFrame, key: str, fn: Callable, schema: str, time: str = "DT_s", days_before: int = 0
 ) -> DataFrame:
-    """A user's pandas function of a batch of whole patient-days.
+    """A user's pandas function of one patient-day, with as many days before it as it asks for.
 
-    Batches are hash buckets of (patient, day), as many as the row count asks
-    for, so a batch grows neither with the table nor with a patient's history.
+    ``fn`` gets the rows of the day and of ``days_before`` days before it; with look-back
+    the column ``in_day`` tells the day's own rows apart.  Days without rows of their own
+    are not called for.  A group is never larger than a patient's few days.
     """
-    batches = max(1, -(-df.count() // batch_rows))
-    bucket = F.pmod(F.xxhash64(key, F.to_date(time)), F.lit(batches)).alias("_bucket")
-    return df.groupBy(bucket).applyInPandas(lambda pdf: fn(pdf), schema)
+    day = F.to_date(time)
+    if not days_before:
+        return df.groupBy(F.col(key), day.alias("_day")).applyInPandas(lambda pdf: fn(pdf), schema)
+    seen_by = F.transform(F.sequence(F.lit(0), F.lit(days_before)), lambda i: F.date_add(day, i.cast("int")))
+    sent = df.withColumn("_day", F.explode(seen_by)).withColumn("in_day", F.col("_day") == day)
+    own = df.select(F.col(key).alias("_own"), day.alias("_own_day")).distinct()
+    sent = sent.join(own, F.col(key).eqNullSafe(F.col("_own")) & (F.col("_day") == F.col("_own_day")), "left_semi")
+    return sent.groupBy(key, "_day").applyInPandas(lambda pdf: fn(pdf.drop(columns="_day")), schema)
 
 
 def build_directory(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def finished(spark: SparkSession, path: str) -> bool:
     """Whether a finished write lies at ``path`` (the commit marker is written last)."""
     jvm = spark.sparkContext._jvm
     marker = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
@@ -24,7 +25,7 @@ def load_or_compute(
 
     A write that was cut off has no commit marker and is done again.
     """
-    if not _exists(spark, path):
+    if not finished(spark, path):
         compute().write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
     return spark.read.parquet(path)
 
@@ -38,22 +39,40 @@ def load_missing(
 ) -> DataFrame:
     """Cases with one column group per feature function, stored per function.
 
-    Stored rows are joined on the case ids; cases without a stored row are found
-    by anti join, computed and appended, so a run that stops half-way goes on
-    from what it finished.
+    Stored rows are joined on the case ids, null meeting null; the distinct ids without a
+    stored row are found by anti join, computed and written to a folder of their own.
+    Only folders whose write was committed are read, so a run that stops half-way leaves
+    nothing that counts, and the next one goes on from what was finished.
     """
     out = cases
     for name, fn in features.items():
         path = f"{folder.rstrip('/')}/{name}"
-        todo = cases.select(*ids)
-        if _exists(spark, path):
-            todo = todo.join(spark.read.parquet(path).select(*ids), ids, "left_anti")
+        todo = cases.select(*ids).distinct()
+        runs = _runs(spark, path)
+        if runs:
+            known = spark.read.parquet(*runs).select(*[F.col(i).alias(f"_known_{i}") for i in ids])
+            todo = todo.join(known, [F.col(i).eqNullSafe(F.col(f"_known_{i}")) for i in ids], "left_anti")
         if not todo.isEmpty():
-            fn(todo).write.mode("append").parquet(path)
-        out = out.join(spark.read.parquet(path), ids, "left")
+            run = f"{path}/run-{uuid.uuid4().hex}"
+            fn(todo).write.parquet(run)
+            runs = [*runs, run]
+        made = spark.read.parquet(*runs).withColumnsRenamed({i: f"_made_{i}" for i in ids})
+        out = out.join(made, [F.col(i).eqNullSafe(F.col(f"_made_{i}")) for i in ids], "left")
+        out = out.drop(*[f"_made_{i}" for i in ids])
     return out
 
 
+def _runs(spark: SparkSession, path: str) -> list[str]:
+    """Folders below ``path`` whose write was committed."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    found = [str(s.getPath()) for s in fs.listStatus(top) if s.isDirectory()]
+    return sorted(f for f in found if finished(spark, f))
+
+
 def union_datasets(parts: list[DataFrame]) -> DataFrame:
     """Rows of several cohort data sets; their column names must agree."""
     first = sorted(parts[0].columns)

@@ -16,16 +16,35 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from caseflow.config import BF24H
 from caseflow.functions import timegrid as tg
-from caseflow.operators.features import HIGH, LOW
+from caseflow.operators.features import HIGH, LOW, TINY
+from caseflow.operators.records import localize, resolve_tz
+
+
+def stream_glucose_record(
+    raw: DataFrame, human: DataFrame, value: str = "BGValue", watermark: str = "30 minutes"
+) -> DataFrame:
+    """Raw glucose entries to 5-minute means in local time, as the batch record makes them.
+
+    Rows that are equal in full are one reading if they come within the watermark.
+    """
+    d = raw.join(human.select("PatientID", "user_tz"), "PatientID", "left")
+    d = localize(resolve_tz(d, "TimezoneOffset"), "ObservationDateTime", None)
+    d = d.withColumn("_at", F.col("DT_s").cast("timestamp")).withWatermark("_at", watermark)
+    d = d.dropDuplicatesWithinWatermark(raw.columns)
+    return stream_glucose_5min(d, "PatientID", "_at", value, None)
 
 
 def stream_glucose_5min(
-    events: DataFrame, key: str, time: str, value: str, watermark: str = "30 minutes"
+    events: DataFrame, key: str, time: str, value: str, watermark: str | None = "30 minutes"
 ) -> DataFrame:
-    """Mean reading per patient and 5-minute step; ``time`` is a timestamp."""
+    """Mean reading per patient and 5-minute step; ``time`` is a timestamp.
+
+    In append mode a step comes out once the watermark has passed it; in update mode at
+    once and again when it changes (``run_updates`` keeps the last).
+    """
+    events = events.withWatermark(time, watermark) if watermark else events
     return (
-        events.withWatermark(time, watermark)
-        .groupBy(key, F.window(time, "5 minutes").alias("w"))
+        events.groupBy(key, F.window(time, "5 minutes").alias("w"))
         .agg(F.avg(value).alias(value))
         .select(key, F.col("w.start").alias("DT_s"), value)
     )
@@ -84,11 +103,18 @@ def stream_sliding_info(
 ) -> DataFrame:
     """Every reading with what the 24 hours before it hold (the before-window information).
 
-    Readings are on the 5-minute grid, so a patient's state is at most a day of
-    them; a patient quiet for a day loses it.
+    Readings are on the 5-minute grid, so a patient's state is at most a day and the
+    watermark of them: what the latest reading still accepted can look back to.  A
+    patient quiet for that long loses it.
     """
     kind = readings.schema[key].dataType.simpleString()
     lo, hi = BF24H.lo, BF24H.hi
+    delay = int(pd.Timedelta(watermark) // pd.Timedelta("1us"))
+
+    def at_mode(part: np.ndarray) -> int:
+        """Readings at the smallest most frequent value; one below the least reported value is that value."""
+        values, times = np.unique(part, return_counts=True)
+        return int(times.max()) if values[times.argmax()] >= TINY else int((part == TINY).sum())
 
     def look(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -103,18 +129,18 @@ def stream_sliding_info(
         t, v, is_new = t[order], v[order], is_new[order]
         at = np.flatnonzero(is_new)
         start, end = np.searchsorted(t, t[at] + lo), np.searchsorted(t, t[at] + hi)
-        top = [np.unique(v[a:b], return_counts=True)[1].max() for a, b in zip(start, end)]
+        top = [at_mode(v[a:b]) for a, b in zip(start, end)]
         n = end - start
         inside = lambda test: np.diff(np.concatenate([[0], np.cumsum(test)])[np.c_[start, end]], axis=1)[:, 0]
-        keep = t >= t[-1] + lo
+        keep = t >= t[-1] - delay + lo
         state.update((t[keep].tolist(), v[keep].tolist()))
-        quiet = (int(t[-1]) - lo) // 1000
+        quiet = (int(t[-1]) + delay - lo) // 1000
         state.setTimeoutTimestamp(max(quiet, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(
             {
                 key: [k[0]] * len(at),
                 "obs_us": t[at],
-                "ModePercent": np.round(np.array(top) / n, 6),
+                "ModePercent": np.round(np.maximum(np.array(top) / n, TINY), 6),
                 "ZeroPercent": np.round(inside(v == 0) / n, 6),
                 "Geq400Percent": np.round(inside(v >= HIGH) / n, 6),
                 "Leq20Percent": np.round(inside(v <= LOW) / n, 6),
@@ -172,3 +198,27 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "app
         .start()
     )
     q.awaitTermination()
+
+
+def run_updates(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Run an update-mode stream over what its source holds now; every batch of changes is
+    written under its own id, so a replayed batch replaces itself."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    q = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+
+
+def latest(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """The last version of each row of ``run_updates``."""
+    rest = [c for c in updates.columns if c not in (*keys, "batch")]
+    last = F.max_by(F.struct(*rest), "batch").alias("_last")
+    return updates.groupBy(*keys).agg(last).select(*keys, "_last.*")

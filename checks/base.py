@@ -30,10 +30,11 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- raw events
 
 
-def raw_events(spark: SparkSession, d: str) -> DataFrame:
-    """events as raw rows: patient, time, value, code k, time-zone offset made from k."""
+def raw_events(spark: SparkSession, d: str, events: DataFrame | None = None) -> DataFrame:
+    """events (or a stream of them) as raw rows: patient, time, value, code k, time-zone offset made from k."""
+    events = table(spark, d, "events") if events is None else events
     k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, d, "events").select(
+    return events.select(
         "event_id",
         F.col("user_id").alias("PatientID"),
         F.col("ts").alias("ObservationDateTime"),

@@ -11,6 +11,7 @@ from caseflow.functions import timegrid as tg
 from caseflow.operators import cases as C, features as X, observe as O, records as R
 from caseflow.operators import sequences as Q, splits as P
 from caseflow.plans import timeline as TL
+from caseflow.plans.spread import scratch_path
 from checks.base import (
     CASES,
     PAT,
@@ -98,12 +99,11 @@ def c7b(spark, d):
 @query(
     "c8_tag_from_record",
     f"""WITH {CASES}, t AS (SELECT user_id AS "PID", count(*) AS "P-Ev:count", max(value) AS value,
-          string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS "event_type:unique_join" FROM events
-          WHERE event_type <> 'view' GROUP BY 1)
+          string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS "event_type:unique_join" FROM events GROUP BY 1)
         SELECT cases."PID", "ObsDT", "P-Ev:count", value, "event_type:unique_join" FROM cases LEFT JOIN t ON cases."PID" = t."PID" """,
 )
 def c8(spark, d):
-    e = table(spark, d, "events").where("event_type <> 'view'").withColumnRenamed("user_id", "PID")
+    e = table(spark, d, "events").withColumnRenamed("user_id", "PID")
     c = cases(spark, d).select(*IDS)
     c = C.tag_from_record(c, e, ["PID"], [], "count", "P-Ev")
     c = C.tag_from_record(c, e, ["PID"], ["value"], "max")
@@ -116,7 +116,7 @@ def c8(spark, d):
 )
 def c8b(spark, d):
     p = patients(spark, d).withColumnRenamed("PatientID", "PID")
-    return C.tag_from_record(cases(spark, d).select(*IDS), p, ["PID"], ["Gender", "MRSegmentID"], None, check=True)
+    return C.tag_from_record(cases(spark, d).select(*IDS), p, ["PID"], ["Gender", "MRSegmentID"], None)
 
 
 FILTERS = {
@@ -176,16 +176,26 @@ def _agg_sql(window, source: str, alias: str, exprs: str) -> str:
        ON r."PID" = c."PID" AND r."DT_s" >= {lo} AND r."DT_s" < {hi} GROUP BY 1, 2)"""
 
 
-def info_sql(window, name: str, alias: str) -> str:
-    """The window's rows, their smallest mode, and the shares."""
+#: Readings with many zeros, so that zero is often the most frequent value.
+ZEROS = """zeros AS (SELECT "PID", "DT_s", CASE WHEN "BGValue" < 250 THEN 0 ELSE "BGValue" END AS "BGValue" FROM cgm)"""
+
+
+def with_zeros(glucose):
+    return glucose.withColumn("BGValue", F.when(F.col("BGValue") < 250, 0.0).otherwise(F.col("BGValue")))
+
+
+def info_sql(window, name: str, alias: str, source: str = "cgm") -> str:
+    """The window's rows, their smallest mode (below a millionth: a millionth), and the shares."""
     lo, hi = bounds(window)
     p = f"{name}-" if name else ""
-    return f"""{alias}o AS (SELECT c."PID", c."ObsDT", r."BGValue" AS v FROM cases c LEFT JOIN cgm r
+    tiny = "0.000001::DOUBLE"
+    return f"""{alias}o AS (SELECT c."PID", c."ObsDT", r."BGValue" AS v FROM cases c LEFT JOIN {source} r
        ON r."PID" = c."PID" AND r."DT_s" >= {lo} AND r."DT_s" < {hi}),
-     {alias}m AS (SELECT "PID", "ObsDT", max(n) AS top FROM
-       (SELECT "PID", "ObsDT", v, count(v) AS n FROM {alias}o GROUP BY 1, 2, 3) GROUP BY 1, 2),
+     {alias}c AS (SELECT "PID", "ObsDT", v, count(v) AS n, max(count(v)) OVER (PARTITION BY "PID", "ObsDT") AS most FROM {alias}o GROUP BY 1, 2, 3),
+     {alias}m AS (SELECT "PID", "ObsDT", CASE WHEN min(v) FILTER (WHERE n = most) >= {tiny} THEN max(n)
+       ELSE COALESCE(sum(n) FILTER (WHERE v = {tiny}), 0) END AS top FROM {alias}c GROUP BY 1, 2),
      {alias} AS (SELECT o."PID", o."ObsDT",
-       CASE WHEN count(v) > 0 THEN round_even(max(top) / count(v) * 1000000, 0)::DOUBLE / 1000000 ELSE 0 END AS "{p}ModePercent",
+       CASE WHEN count(v) > 0 THEN round_even(greatest(max(top) / count(v), {tiny}) * 1000000, 0)::DOUBLE / 1000000 ELSE 0 END AS "{p}ModePercent",
        CASE WHEN count(v) > 0 THEN round_even(count(v) FILTER (WHERE v = 0) / count(v) * 1000000, 0)::DOUBLE / 1000000 ELSE 0 END AS "{p}ZeroPercent",
        CASE WHEN count(v) > 0 THEN round_even(count(v) FILTER (WHERE v >= 400) / count(v) * 1000000, 0)::DOUBLE / 1000000 ELSE 0 END AS "{p}Geq400Percent",
        CASE WHEN count(v) > 0 THEN round_even(count(v) FILTER (WHERE v <= 20) / count(v) * 1000000, 0)::DOUBLE / 1000000 ELSE 0 END AS "{p}Leq20Percent",
@@ -412,7 +422,9 @@ def c11(spark, d):
         Stage("filter", {"rules": [("CGMInfoBf24h-RecNum", ">=", 2)]}),
     ]
     steps = {"tag": C.tag_from_record, "filter": C.filter_cases, "features": X.attach_features}
-    return C.run_stages(C.keep_ratio(cases(spark, d).select(*IDS)), stages, steps)
+    start, folder = C.keep_ratio(cases(spark, d).select(*IDS)), scratch_path(spark, "stages")
+    C.run_stages(start, stages[:2], steps, folder)  # a run that ends after two stages
+    return C.run_stages(start, stages, steps, folder)
 
 
 @query(
@@ -431,6 +443,15 @@ def c12(spark, d):
     return C.union_cohort_cases(parts)
 
 
+@query(
+    "f1d_cgm_info_zero_mode",
+    f"""WITH {CASES}, {ZEROS}, {info_sql(BF24H, 'CGMInfoBf24h', 'a', 'zeros')} SELECT * FROM a""",
+)
+def f1d(spark, d):
+    recs = records(spark, d) | {X.CGM: with_zeros(record(spark, d, X.CGM))}
+    return X.attach_features(cases(spark, d).select(*IDS), recs, ["CGMInfoBf24h"])
+
+
 @query(
     "u5_user_feature",
     f"""WITH {CASES}, {_agg_sql(AF2TO8H, 'med', 'o', 'count(r."DT_s") AS "MedLater-n"')} SELECT * FROM o""",

@@ -204,7 +204,13 @@ BANDS = f"""{SCORED}, l AS (SELECT i, round(i * 0.05::DOUBLE, 3) AS a, round((i
   banded AS (SELECT scored.*, CAST(i AS INTEGER) AS band FROM scored JOIN l ON s >= a AND s < b)"""
 
 
-@query("e8_score_band_table", f"WITH {BANDS}, {_summary('banded', ['band'])}")
+def _with_empty_bands(summary: str) -> str:
+    """The summary of bands, with the bands that have no rows."""
+    return f"""SELECT l.i AS band, x.* EXCLUDE (band) REPLACE (COALESCE("SampleNum", 0) AS "SampleNum", COALESCE("RealPosNum", 0) AS "RealPosNum")
+      FROM (SELECT CAST(unnest(range(20)) AS INTEGER) AS i) l LEFT JOIN ({summary}) x ON x.band = l.i"""
+
+
+@query("e8_score_band_table", _with_empty_bands(f"WITH {BANDS}, {_summary('banded', ['band'])}"))
 def e8(spark, d):
     return E.score_band_table(_scored(spark, d), "y", "s").drop("SubGroup")
 
@@ -237,6 +243,34 @@ def e11(spark, d):
     return E.report_by_subgroup(_scored(spark, d), "y", "s", [["lang"], ["source", "lang"], []])
 
 
+SUBS = f"""{SCORED}, subs AS (SELECT *, 'lang' AS set_name, lang AS set_value FROM scored UNION ALL SELECT *, '', '' FROM scored)"""
+
+
+def _tables(spark, d):
+    return E.tables_by_subgroup(_scored(spark, d), "y", "s", [["lang"], []], ["doc_id"])
+
+
+@query(
+    "e11b_roc_by_subgroup",
+    f"""WITH {SUBS}, tot AS (SELECT set_name, set_value, count(*) AS n, sum(y) AS p FROM subs GROUP BY 1, 2),
+        cv AS (SELECT set_name, set_value, s, sum(sum(y)) OVER w AS tp, sum(count(*)) OVER w AS pp FROM subs GROUP BY 1, 2, 3
+               WINDOW w AS (PARTITION BY set_name, set_value ORDER BY s DESC))
+        SELECT set_name, set_value, s AS threshold, CASE WHEN n > p THEN ((pp - tp) / (n - p))::DOUBLE END AS fpr,
+          CASE WHEN p > 0 THEN (tp / p)::DOUBLE END AS tpr FROM cv JOIN tot USING (set_name, set_value)""",
+)
+def e11b(spark, d):
+    return _tables(spark, d)["roc"]
+
+
+@query(
+    "e11c_groups_by_subgroup",
+    f"""WITH {SUBS}, nth AS (SELECT *, CAST(ntile(10) OVER (PARTITION BY set_name, set_value ORDER BY s, doc_id) AS INTEGER) AS "group" FROM subs),
+        {_summary('nth', ['set_name', 'set_value', '"group"'])}""",
+)
+def e11c(spark, d):
+    return _tables(spark, d)["groups"]
+
+
 @query(
     "e12_score_percentile",
     f"""WITH ev AS (SELECT event_id, floor({uni('event_id', seed=2)} * 500) / 500 AS s FROM events),

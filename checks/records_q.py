@@ -27,16 +27,16 @@ def r1(spark, d):
 
 @query(
     "r2_patient_outer_join",
-    """SELECT "PatientID", seg, n_orders FROM
-       (SELECT c_custkey AS "PatientID", c_mktsegment AS seg FROM customer WHERE c_nationkey < 20)
-       FULL OUTER JOIN (SELECT o_custkey AS "PatientID", count(*) AS n_orders FROM orders GROUP BY 1)
+    """SELECT "PatientID", seg, n_events FROM
+       (SELECT c_custkey AS "PatientID", c_mktsegment AS seg FROM customer)
+       FULL OUTER JOIN (SELECT user_id * 2 AS "PatientID", count(*) AS n_events FROM events GROUP BY 1)
        USING ("PatientID")""",
 )
 def r2(spark, d):
-    c = table(spark, d, "customer").where("c_nationkey < 20")
+    c = table(spark, d, "customer")
     c = c.select(F.col("c_custkey").alias("PatientID"), F.col("c_mktsegment").alias("seg"))
-    o = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("PatientID"))
-    return S.patient_outer_join(c, o.agg(F.count(F.lit(1)).alias("n_orders")))
+    e = table(spark, d, "events").groupBy((F.col("user_id") * 2).alias("PatientID"))
+    return S.patient_outer_join(c, e.agg(F.count(F.lit(1)).alias("n_events")))
 
 
 @query(

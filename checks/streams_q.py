@@ -11,8 +11,8 @@ from caseflow.plans import timeline as TL
 from caseflow.plans.spread import scratch_path
 from caseflow.sources import readers as RD
 from caseflow.streaming import streams as ST
-from checks.base import CASES, PAT, patients, query, record, table
-from checks.cases_q import info_sql
+from checks.base import CASES, LOCAL, PAT, human, patients, query, raw_events, record, table
+from checks.cases_q import ZEROS, info_sql, with_zeros
 from checks.records_q import _anchor_sql
 from checks.sources_q import _GLUCOSE, _columnar
 
@@ -35,14 +35,16 @@ def _run(spark, stream, name):
 
 @query(
     "x1_stream_glucose_5min",
-    """WITH g AS (SELECT user_id, ts, value FROM events WHERE event_type IN ('view', 'error')),
-       b AS (SELECT user_id, time_bucket(INTERVAL 5 MINUTE, ts) AS "DT_s", round(avg(value), 6) AS value FROM g GROUP BY 1, 2)
-       SELECT * FROM b WHERE "DT_s" + INTERVAL 5 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 30 MINUTE FROM g)""",
+    f"""WITH {LOCAL} SELECT "PatientID", time_bucket(INTERVAL 5 MINUTE, dt) AS "DT_s", round(avg(value), 6) AS "BGValue"
+        FROM loc WHERE event_type IN ('view', 'error') GROUP BY 1, 2""",
 )
 def x1(spark, d):
-    e = _ts(_stream(spark, d)).where("event_type in ('view', 'error')").select("user_id", "ts", "value")
-    out = _run(spark, ST.stream_glucose_5min(e, "user_id", "ts", "value"), "x1")
-    return out.select("user_id", F.col("DT_s").cast("timestamp_ntz").alias("DT_s"), F.round("value", 6).alias("value"))
+    e = raw_events(spark, d, _stream(spark, d)).where("event_type in ('view', 'error')").withColumnRenamed("value", "BGValue")
+    stream = ST.stream_glucose_record(e, human(spark, d))
+    path = scratch_path(spark, "x1")
+    ST.run_updates(stream, path, scratch_path(spark, "x1-state"))
+    out = ST.latest(spark.read.parquet(path), ["PatientID", "DT_s"])
+    return out.select("PatientID", F.col("DT_s").cast("timestamp_ntz").alias("DT_s"), F.round("BGValue", 6).alias("BGValue"))
 
 
 @query("x2_stream_dedupe", "SELECT DISTINCT user_id, time_bucket(INTERVAL 5 MINUTE, ts) AS slot, event_type FROM events")
@@ -66,12 +68,12 @@ def x3(spark, d):
 
 @query(
     "x4_stream_sliding_info",
-    f"""WITH {CASES}, {info_sql(BF24H, '', 'a')} SELECT "PID", epoch_us("ObsDT") AS obs_us, "ModePercent", "ZeroPercent", "Geq400Percent",
+    f"""WITH {CASES}, {ZEROS}, {info_sql(BF24H, '', 'a', 'zeros')} SELECT "PID", epoch_us("ObsDT") AS obs_us, "ModePercent", "ZeroPercent", "Geq400Percent",
         "Leq20Percent", "RecNum" FROM a""",
 )
 def x4(spark, d):
     path = scratch_path(spark, "readings")
-    g = record(spark, d, X.CGM).withColumn("DT_s", F.col("DT_s").cast("timestamp"))
+    g = with_zeros(record(spark, d, X.CGM)).withColumn("DT_s", F.col("DT_s").cast("timestamp"))
     g.write.parquet(path)
     readings = spark.readStream.schema(g.schema).parquet(path)
     return _run(spark, ST.stream_sliding_info(readings, "PID", "DT_s", "BGValue"), "x4")

@@ -60,7 +60,7 @@ def test_case_guards(spark):
         C.restrict_cases(cases, none)
     twice = spark.createDataFrame([(1, 3), (1, 4)], "PID bigint, x int")
     with pytest.raises(ValueError):
-        C.tag_from_record(cases, twice, ["PID"], ["x"], None, check=True)
+        C.tag_from_record(cases, twice, ["PID"], ["x"], None)
     with pytest.raises(ValueError):
         C.trigger_from_table(cases.withColumnRenamed("PID", "k"), twice.withColumnRenamed("x", "k"), "k")
 

@@ -86,15 +86,65 @@ def test_rank_of_text_keys_and_small_tables(spark):
     assert SP.rank_rows(df.where("k > 'z'"), ["k"], "r").count() == 0
 
 
-def test_global_rank_does_not_use_one_task(spark):
+def test_global_rank_does_not_use_one_task(spark, monkeypatch):
     """Rows are windowed by chunk; only the chunk sums, one row a chunk, meet in one task."""
+    monkeypatch.setattr(SP, "ROWS_PER_CHUNK", 400)
     df = SP.rank_rows(hot_rows(spark), ["k", "id"], "r")
     plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
     assert any("Window [" in line and "windowspecdefinition(_chunk" in line for line in plan)
     single = [i for i, line in enumerate(plan) if "Exchange SinglePartition" in line]
     assert all("HashAggregate(keys=[_chunk" in plan[i + 1] for i in single)
     sums = SP.with_chunks(hot_rows(spark), ["k", "id"]).groupBy("_chunk").count().collect()
-    assert len(sums) <= 8 and max(r["count"] for r in sums) < 3000 * 0.3
+    assert len(sums) == 8 and max(r["count"] for r in sums) < 3000 * 0.3
+
+
+@pytest.mark.parametrize("rows_per_chunk", [10_000, 300])
+def test_ranks_do_not_depend_on_the_cluster(spark, monkeypatch, rows_per_chunk):
+    """Null keys come first, null groups are groups, and settings change no rank."""
+    monkeypatch.setattr(SP, "ROWS_PER_CHUNK", rows_per_chunk)
+    df = hot_rows(spark, 1000).withColumn("k", F.when(F.col("id") % 100 != 0, F.col("k")))
+    df = df.withColumn("g", F.when(F.col("g") != 3, F.col("g")))
+    found = []
+    for parts in ("2", "8"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        whole = {r["id"]: r["r"] for r in SP.rank_rows(df, ["k", "id"], "r").collect()}
+        inside = {r["id"]: r["r"] for r in SP.rank_rows(df, ["k", "id"], "r", ["g"]).collect()}
+        found.append((whole, inside))
+    assert found[0] == found[1]
+    whole, inside = found[0]
+    rows = [(r["g"], r["k"], r["id"]) for r in df.collect()]
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+    assert [whole[r[2]] for r in order] == list(range(1, 1001))
+    for g in {r[0] for r in rows}:
+        mine = [r for r in order if r[0] == g]
+        assert [inside[r[2]] for r in mine] == list(range(1, len(mine) + 1))
+
+
+def test_nulls_ties_and_long_numbers(spark):
+    rows = [(1, None, "a"), (1, BASE, "b"), (1, BASE, "a"), (None, BASE, "c")]
+    df = spark.createDataFrame(rows, "PID bigint, us bigint, x string").withColumn("DT_s", tg.from_micros("us"))
+    got = {(r["PID"], r["us"], r["x"]): r["rid"] for r in R.assign_record_id(df, "rid").collect()}
+    assert got[(1, None, "a")] == "1-0000000" and got[(1, BASE, "a")] == "1-0000001" and got[(1, BASE, "b")] == "1-0000002"
+    assert len(got) == 4
+    assert R.time_to_last_entry(df, "PID").count() == 4
+    many = spark.range(12).select((F.col("id") + 1).alias("k"))
+    wide = {r["k"]: r["PID"] for r in H.assign_entity_id(many, "k", 3, width=1).collect()}
+    assert wide[9] == 39 and wide[12] == 312
+
+
+def test_a_busy_patient_day(spark):
+    """100,000 distinct times in one day: the work per day stays near-linear."""
+    df = spark.range(100_000).select(F.lit(1).alias("p"), (F.col("id") * 800_000 + BASE).alias("t"))
+    out = densify_anchor(df, ["p"], "t").groupBy("anchor_us").count().collect()
+    want = brute_anchor([i * 800_000 + BASE for i in range(100_000)], 31 * MIN)
+    assert {r["anchor_us"] for r in out} == set(want.values())
+    assert sum(r["count"] for r in out) == 100_000
+
+
+def test_a_missing_time_is_named(spark):
+    df = spark.createDataFrame([(7, None)], "PatientID bigint, DT_s timestamp_ntz")
+    with pytest.raises(Exception, match="patient 7"):
+        R.densify(df).collect()
 
 
 def test_previous_time(spark):
