@@ -281,9 +281,12 @@ def near_duplicates(
     sig = C.stored(signatures(docs, id_col, text_col, k, half_tables(num / den)), "near-signatures")
     sig = sig.withColumnRenamed(id_col, "id")
     real = sig.where("n_shingles > 0 and id is not null")
-    classes = real.groupBy("x1", "x2").agg(F.min("id").alias("rep"))
-    # one row per set: any of the rows of the smallest id stands for it
-    reps = real.join(classes, ["x1", "x2"]).where("id = rep").dropDuplicates(["x1", "x2"]).select("id", "left", "right")
+    # one row per set, of its smallest id; copies meet in every task before they are shuffled
+    classes = C.stored(
+        real.groupBy("x1", "x2").agg(F.min(F.struct("id", "left", "right")).alias("rep")).select("x1", "x2", "rep.*"),
+        "near-classes",
+    )
+    reps, classes = classes.select("id", "left", "right"), classes.select("x1", "x2", F.col("id").alias("rep"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     links = find_links(reps, texts, k, num, den)
     copies = real.join(classes, ["x1", "x2"]).where("id <> rep").select(F.col("rep").alias("pivot"), "id").distinct()

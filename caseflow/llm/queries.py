@@ -58,7 +58,49 @@ def op5_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return near_dup.near_duplicates(C.table(spark, d, "documents"), k=3, num=85, den=100)
 
 
-@query("op3_mixing")
+@query(
+    "op3_mixing",
+    """
+WITH RECURSIVE src AS (
+  SELECT COALESCE('=' || source, '-') AS k, doc_id, md5('mix|' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS h,
+    COALESCE(length(text), 0) + 1 AS u FROM documents),
+placed AS (
+  SELECT *, sum(u) OVER (PARTITION BY k ORDER BY h, doc_id, u ROWS UNBOUNDED PRECEDING) - u AS st FROM src),
+w AS (
+  SELECT k, b, greatest(1, CAST(floor(sqrt(b)) AS BIGINT)) AS w
+  FROM (SELECT k, CAST((sum(u) + 65535) // 65536 AS BIGINT) AS b FROM src GROUP BY k)),
+q AS (SELECT *, (w * 1000) // sum(w) OVER () AS whole, (w * 1000) % sum(w) OVER () AS rest FROM w),
+sh AS (
+  SELECT k, b, CAST(greatest(1, whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, k) <= 1000 - sum(whole) OVER ()
+    THEN 1 ELSE 0 END) AS BIGINT) AS c FROM q),
+cuts AS (SELECT DISTINCT unnest([0, b // c, (b + c - 1) // c]) AS cut FROM sh),
+m AS (SELECT cut, k, c, b, greatest(0, least(c, b - c * cut)) AS m FROM cuts, sh),
+stretch AS (
+  SELECT cut, CAST(sum(m) AS BIGINT) AS len, CAST(sum(least(b, c * cut)) AS BIGINT) AS base FROM m GROUP BY cut HAVING sum(m) > 0),
+win AS (
+  SELECT x.cut, x.k, x.j, CAST(sum(least(m.c * x.j, m.m * x.c)) // x.c AS BIGINT) AS released,
+    CAST((sum(least(m.c * (x.j + 1), m.m * x.c)) + x.c - 1) // x.c AS BIGINT) AS due
+  FROM (SELECT cut, k, c, unnest(range(0, m)) AS j FROM m) x JOIN m ON m.cut = x.cut GROUP BY x.cut, x.k, x.j, x.c),
+lists AS (
+  SELECT cut, list(k ORDER BY k) AS ks, list(r ORDER BY k) AS rs, list(d ORDER BY k) AS ds
+  FROM (SELECT cut, k, list(released ORDER BY j) AS r, list(due ORDER BY j) AS d FROM win GROUP BY cut, k) GROUP BY cut),
+edf AS (
+  SELECT cut, CAST(-1 AS BIGINT) AS slot, list_transform(ks, lambda x: 0) AS given, CAST(0 AS BIGINT) AS pick FROM lists
+  UNION ALL
+  SELECT cut, slot + 1, list_transform(given, lambda g, i: g + CASE WHEN i = p THEN 1 ELSE 0 END), p FROM (
+    SELECT e.cut, e.slot, e.given, list_min(list_transform(range(1, len(ks) + 1), lambda i:
+      CASE WHEN e.given[i] < len(rs[i]) AND rs[i][e.given[i] + 1] <= e.slot + 1 THEN ds[i][e.given[i] + 1] * 100000 + i END)) % 100000 AS p
+    FROM edf e JOIN lists USING (cut) JOIN stretch USING (cut) WHERE e.slot + 1 < len)),
+slots AS (
+  SELECT edf.cut, ks[pick] AS k, slot, row_number() OVER (PARTITION BY edf.cut, pick ORDER BY slot) - 1 AS nth
+  FROM edf JOIN lists USING (cut) WHERE slot >= 0),
+docs AS (
+  SELECT placed.*, st // 65536 AS block, (st // 65536) // c AS cyc, c,
+    (SELECT max(cut) FROM stretch WHERE cut <= (st // 65536) // c) AS cut FROM placed JOIN sh USING (k))
+SELECT doc_id, k AS source_key, CAST(u AS BIGINT) AS units, CAST(block AS BIGINT) AS block,
+  CAST(base + (cyc - cut) * len + slot AS BIGINT) AS mix_slot, CAST(st - block * 65536 AS BIGINT) AS mix_offset
+FROM docs JOIN stretch USING (cut) JOIN slots USING (cut, k) WHERE nth = block - cyc * c""",
+)
 def op3_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(C.table(spark, d, "documents"))
 
@@ -68,7 +110,18 @@ def op4_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(C.table(spark, d, "documents"))
 
 
-@query("op6_line_dedup")
+@query(
+    "op6_line_dedup",
+    """
+WITH l AS (
+  SELECT doc_id, source, line, place, trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS bare
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+          unnest(range(len(string_split(text, chr(10))))) AS place FROM documents)),
+often AS (SELECT bare FROM l WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(often.bare) AS n_removed,
+  COALESCE(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE often.bare IS NULL), '') AS text
+FROM l LEFT JOIN often ON often.bare = l.bare GROUP BY doc_id""",
+)
 def op6_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return line_dedup.drop_boilerplate(C.table(spark, d, "documents"))
 
