@@ -61,8 +61,12 @@ def test_case_guards(spark):
     twice = spark.createDataFrame([(1, 3), (1, 4)], "PID bigint, x int")
     with pytest.raises(ValueError):
         C.tag_from_record(cases, twice, ["PID"], ["x"], None)
+    named = cases.withColumnRenamed("PID", "x").withColumn("x", F.lit(3))
     with pytest.raises(ValueError):
-        C.trigger_from_table(cases.withColumnRenamed("PID", "k"), twice.withColumnRenamed("x", "k"), "k")
+        C.trigger_from_table(named, twice.union(twice), "x")
+    with pytest.raises(Exception, match="no patient for the trigger of 5"):
+        C.trigger_from_table(named.withColumn("x", F.lit(5)), twice, "x").collect()
+    assert C.trigger_from_table(named, twice, "x").count() == 1
 
 
 def test_tokens(spark):
