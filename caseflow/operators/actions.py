@@ -66,7 +66,7 @@ def _bands(u: Column, names: list[Column], width: float) -> Column:
 
 
 def assign_treatment(df: DataFrame, ids: list[str], seed: int, model_action: str) -> DataFrame:
-    """Five arms of 0.2: the four fixed messages and the model's own choice."""
+    """Five arms of 0.2: the four fixed messages and the model's own choice, each with its score."""
     u = uniform(ids, seed)
     arms = [F.lit(a) for a in MESSAGE_ACTIONS]
     reasons = [F.lit(f"Treatment Group - {a}") for a in MESSAGE_ACTIONS]
@@ -77,13 +77,31 @@ def assign_treatment(df: DataFrame, ids: list[str], seed: int, model_action: str
             "action_reason",
             _bands(F.col("random_score"), [*reasons, F.lit("Treatment Group - AI Bandit Action")], 0.2),
         )
+        .withColumn("action_score", F.col("random_score") * 100)
     )
 
 
 def assign_treatment_thirds(
-    df: DataFrame, ids: list[str], seed: int, bandit_action: str, tree_action: str
+    df: DataFrame,
+    ids: list[str],
+    seed: int,
+    bandit_action: str,
+    tree_action: str,
+    probs: dict[str, str],
+    trees: dict[str, str],
 ) -> DataFrame:
-    """A third each: a message drawn in quarters by a second uniform, the bandit's, the tree model's."""
+    """A third each: a message drawn in quarters by a second uniform, the bandit's, the tree model's.
+
+    ``probs`` and ``trees`` map names to the score columns of the bandit's actions and of
+    the tree models; the arm's own scores are its predictions (the random arm's are 0),
+    and the tree arm's action has the best tree's score.
+    """
+
+    def listed(scores: dict[str, str], known: bool = True) -> Column:
+        cells = [(n, _pct(F.col(f"`{c}`")) if known else F.lit(0.0)) for n, c in scores.items()]
+        return F.array(*[F.struct(F.lit(n).alias("name"), x.cast("double").alias("score")) for n, x in cells])
+
+    best = reduce(lambda a, c: F.greatest(a, F.col(f"`{c}`")), list(trees.values())[1:], F.col(f"`{list(trees.values())[0]}`"))
     u, v = F.col("random_score"), F.col("random_score_v2")
     quarter = _bands(v, [F.lit(a) for a in MESSAGE_ACTIONS], 0.25)
     reason = _bands(v, [F.lit(f"Treatment Group - Random - {a}") for a in MESSAGE_ACTIONS], 0.25)
@@ -101,6 +119,11 @@ def assign_treatment_thirds(
             .when(u <= two, "Treatment Group - AI Bandit Action")
             .otherwise("Treatment Group - XGBoost Action"),
         )
+        .withColumn("action_score", F.when(u <= two, u * 100).otherwise(best * 100))
+        .withColumn(
+            "predictions",
+            F.when(u < third, listed(probs, known=False)).when(u <= two, listed(probs)).otherwise(listed(trees)),
+        )
     )
 
 

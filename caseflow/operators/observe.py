@@ -263,10 +263,12 @@ def observe_frame(
             val.cast("double").alias(_VAL),
         )
 
-    rows = cases.where(F.col(pid).isNotNull() & F.col(obs).isNotNull()).select(
-        F.col(pid).alias(_PID),
-        tg.bucket(tg.micros(obs)).alias(_CHUNK),
-        tg.micros(obs).alias(_US),
+    lost = F.raise_error(F.lit(f"a case without {pid} or {obs}"))
+    at = F.coalesce(tg.micros(obs), lost.cast("bigint"))
+    rows = cases.select(
+        F.coalesce(F.col(pid), lost.cast(cases.schema[pid].dataType)).alias(_PID),
+        tg.bucket(at).alias(_CHUNK),
+        at.alias(_US),
         F.lit(None).cast("string").alias(_KIND),
         F.lit(None).cast("double").alias(_VAL),
         F.struct(*cases.columns).alias(_CASE),

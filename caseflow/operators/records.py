@@ -36,8 +36,13 @@ def restrict_to_entities(raw: DataFrame, human: DataFrame, key: str) -> DataFram
     return raw.join(human.select(key), key, "left_semi")
 
 
-def merge_raws(raws: list[DataFrame], key: str) -> DataFrame:
-    """Raw tables of one record joined on the patient, rows of either side kept."""
+def merge_raws(raws: list[DataFrame], key: str | list[str]) -> DataFrame:
+    """Raw tables of one record joined on the patient, rows of either side kept.
+
+    On the patient alone, tables with many rows of a patient on both sides give every pair
+    of them: that is the rule's meaning.  Where a record allows it, give further keys (a day,
+    an entry id) to keep the pairs of a busy patient apart.
+    """
     return reduce(lambda a, b: a.join(b, key, "full_outer"), raws)
 
 

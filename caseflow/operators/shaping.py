@@ -191,22 +191,53 @@ SECTIONS = {
 }
 
 
+# Columns of the raw tables, in order.
+CANONICAL = {
+    "Patient": [
+        "PatientID", "MRSegmentID", "MRSegmentModifiedDateTime", "DiseaseType", "Gender", "ActivationDate",
+        "UserTimeZoneOffset", "UserTimeZone", "Description", "YearOfBirth",
+    ],
+    "ELogExerciseEntry": [
+        "ExerciseEntryID", "PatientID", "EntryID", "ExerciseDuration", "ExerciseType", "ExerciseIntensity",
+        "TimeSinceExercise", "EntrySourceID", "ActivityTypeID", "ObservationDateTime", "ObservationEntryDateTime",
+        "TimezoneOffset", "Timezone", "EntryCreatedDateTime", "ObservationCreatedBy", "ObservationStatus",
+        "SourceReferenceID", "ModifiedDateTime", "CaloriesBurned", "DistanceInMeters", "ExternalEntryID",
+        "ExternalSourceID",
+    ],
+    "ELogCarbsEntry": [
+        "PatientID", "CarbsEntryID", "EntryID", "CarbsValue", "EntrySourceID", "ActivityTypeID",
+        "ObservationDateTime", "ObservationEntryDateTime", "TimezoneOffset", "Timezone", "EntryCreatedDateTime",
+        "ObservationCreatedBy", "ObservationStatus", "SourceReferenceID", "ModifiedDateTime", "ExternalSourceID",
+        "ExternalEntryID", "TotalCalories",
+    ],
+    "ElogBGEntry": [
+        "BGEntryID", "PatientID", "ObservationDateTime", "BGValue", "IsNormalIndicator", "ObservationEntryDateTime",
+        "TimezoneOffset", "Timezone", "EntryCreatedDateTime", "ActualBGValue", "ExternalSourceID",
+        "UserObservationDateTime",
+    ],
+}
+
+
+def _canonical(df: DataFrame, table: str) -> DataFrame:
+    """The raw table's columns in order; those the source lacks are null text."""
+    known = {f.name: f.dataType for f in df.schema.fields}
+    return conform(df, T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in CANONICAL[table]]))
+
+
 def canonical_sections(sections: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """XML sections as raw tables.
 
-    The running row id is the row's place by (patient, time); its chunks are cut
-    from sampled keys, so no task sorts the whole table.
+    The running row id is the row's place by (patient, time), counted range by range, so
+    no task sorts the whole table.  Every table has all its columns, in order.
     """
     from caseflow.plans.spread import rank_rows
 
     out = {}
     for name, df in sections.items():
         if name == "patient_info":
-            out["Patient"] = df.select(
-                F.col("patient_id").alias("PatientID"),
-                F.lit(1).alias("DiseaseType"),
-                F.lit(0).alias("UserTimeZoneOffset"),
-            )
+            patient = df.withColumnRenamed("patient_id", "PatientID")
+            patient = patient.withColumns({"DiseaseType": F.lit(1), "UserTimeZoneOffset": F.lit(0)})
+            out["Patient"] = _canonical(patient, "Patient")
             continue
         table, renames, constants, row_id, copy = SECTIONS[name]
         raw = df.withColumnsRenamed({**renames, "patient_id": "PatientID"})
@@ -215,5 +246,5 @@ def canonical_sections(sections: dict[str, DataFrame]) -> dict[str, DataFrame]:
         order = ["PatientID", "ObservationDateTime"]
         ties = [c for c in renames.values() if c not in order]
         ranked = rank_rows(raw, order + ties, row_id)
-        out[table] = ranked.withColumn(row_id, F.col(row_id) - 1)
+        out[table] = _canonical(ranked.withColumn(row_id, F.col(row_id) - 1), table)
     return out

@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseflow.config import Cohort, Rule
-from caseflow.functions import timegrid as tg
+from caseflow.config import Cohort, Rule, Stage
 from caseflow.operators import cases as C, entities as H, features as X, records as R
 from caseflow.operators import sequences as Q, tokens as T
+from caseflow.sources import readers as RD
 
 # Hooks a user may replace, by kind: source readers, record builders, tokenizers,
 # triggers, case functions, and split / input / label / response steps.
 REGISTRY: dict[str, dict[str, Callable]] = {
-    "source": {},
-    "record": {},
+    "source": {"csv": RD.scan_csv, "parquet": RD.scan_parquet},
+    "record": {
+        "glucose": R.glucose_record,
+        "diet": R.diet_record,
+        "medication": R.medication_record,
+        "exercise": R.exercise_record,
+    },
     "tokenizer": {
         "category": T.tokenize_category,
         "bins": T.tokenize_numeric_bins,
@@ -23,7 +28,14 @@ REGISTRY: dict[str, dict[str, Callable]] = {
     },
     "trigger": {"record": C.trigger_from_record, "table": C.trigger_from_table, "form": C.trigger_from_form},
     "feature": dict(X.FEATURES),
-    "step": {"causal": Q.causal_labels, "future": Q.future_labels, "mask": Q.mask_labels},
+    "step": {
+        "tag": C.tag_from_record,
+        "filter": C.filter_cases,
+        "features": X.attach_features,
+        "causal": Q.causal_labels,
+        "future": Q.future_labels,
+        "mask": Q.mask_labels,
+    },
 }
 
 
@@ -60,6 +72,21 @@ def per_patient_batch(
     return sent.groupBy(key, "_day").applyInPandas(lambda pdf: fn(pdf.drop(columns="_day")), schema)
 
 
+def read_sources(spark: SparkSession, wanted: dict[str, tuple[str, dict]]) -> dict[str, DataFrame]:
+    """Raw tables by name, each read by the source hook named for it with its arguments."""
+    return {name: hook("source", kind)(spark, **args) for name, (kind, args) in wanted.items()}
+
+
+def tokenize(df: DataFrame, kind: str, *args, **kwargs) -> DataFrame:
+    """Tokens and weights by the tokenizer hook of that name."""
+    return hook("tokenizer", kind)(df, *args, **kwargs)
+
+
+def run_case_stages(cases: DataFrame, stages: list[Stage], folder: str | None = None) -> DataFrame:
+    """Stages whose kinds are names of step hooks; stored and resumed below ``folder``."""
+    return C.run_stages(cases, stages, {s.kind: hook("step", s.kind) for s in stages}, folder)
+
+
 def build_directory(
     raw: dict[str, DataFrame], cohort: Cohort, key: str, excluded: list[str], patients: DataFrame, offset: str
 ) -> DataFrame:
@@ -74,10 +101,10 @@ def build_directory(
     return H.attach_user_tz(human, patients, key, offset).withColumn("CohortLabel", F.lit(cohort.label))
 
 
-def build_record(rows: DataFrame, human: DataFrame, record: str, key: str = "PatientID") -> DataFrame:
-    """Processed rows with the patient id chain and record ids."""
-    d = R.attach_parent(rows, human, key, ["PID"])
-    return R.assign_record_id(d, f"{record}ID")
+def build_record(rows: DataFrame, human: DataFrame, kind: str, name: str, key: str = "PatientID") -> DataFrame:
+    """Raw rows through the record hook ``kind``, with the patient id chain and record ids."""
+    d = R.attach_parent(hook("record", kind)(rows, human), human, key, ["PID"])
+    return R.assign_record_id(d, f"{name}ID")
 
 
 def build_cases(
@@ -87,12 +114,17 @@ def build_cases(
     features: list[str],
     before: list[Rule] | None = None,
     after: list[Rule] | None = None,
+    trigger: str = "record",
 ) -> DataFrame:
-    """Every glucose record as a case: sampling uniform, first filter, features, second filter."""
-    cases = C.keep_ratio(C.trigger_from_record(glucose.select("PID", "DT_s")))
+    """Cases of a trigger hook: sampling uniform, first filter, features, second filter.
+
+    Features are resolved among the feature hooks.
+    """
+    cases = C.keep_ratio(hook("trigger", trigger)(glucose.select("PID", "DT_s")))
     if before:
         cases = C.filter_cases(cases, before)
-    cases = X.attach_features(cases, {**records, X.CGM: glucose}, features, patients)
+    extra = {n: hook("feature", n) for n in features if n in REGISTRY["feature"]}
+    cases = X.attach_features(cases, {**records, X.CGM: glucose}, features, patients, extra=extra)
     return C.filter_cases(cases, after) if after else cases
 
 
@@ -112,9 +144,3 @@ def answer_forms(
     records = {k: v for k, v in parts.items() if k != "triggers"}
     cases = X.attach_features(parts["triggers"], records, names, parts.get("patients"))
     return respond(cases)
-
-
-def five_minute_cases(events: DataFrame, key: str, time: str, value: str) -> DataFrame:
-    """Readings as (PID, DT_s, BGValue) on the 5-minute grid."""
-    d = events.select(F.col(key).alias("PID"), tg.floor_5min(time).alias("DT_s"), F.col(value).alias("BGValue"))
-    return R.glucose_5min(d, "PID")

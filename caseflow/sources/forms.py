@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from caseflow.operators.shaping import zip_timezone
+
 # The parts of a form, as named by the sender.  A type name is a
 # leaf, a dict a struct, a one-element list a list of that element.
 _ADDRESS = {"zipCode": "string"}
@@ -257,6 +259,10 @@ def age_by5(age: Column) -> Column:
     return (F.bround(age / F.lit(5.0), 0) * 5).cast("int")
 
 
+#: What a zip code tells of a patient's place.
+PLACE = ["state", "timezone", "UserTimeZoneOffset"]
+
+
 def patient_table(inv: DataFrame) -> DataFrame:
     """One row per patient: first non-null value of each attribute over the invitations by date."""
     zip_code = F.col("patient.address.zipCode")
@@ -277,11 +283,20 @@ def patient_table(inv: DataFrame) -> DataFrame:
     )
 
 
-def scan_invitation_json(texts: DataFrame, text: str) -> dict[str, DataFrame]:
-    """Invitation, prescription and patient tables of a set of forms."""
+def scan_invitation_json(texts: DataFrame, text: str, geo: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Invitation, prescription and patient tables of a set of forms.
+
+    ``geo`` gives state, timezone and UserTimeZoneOffset by zipcode3 or zipcode5; without
+    it the patients' place is null.
+    """
     inv = invitations(parse_forms(texts, text))
+    patients = patient_table(inv)
+    if geo is None:
+        patients = patients.withColumns({c: F.lit(None).cast("string") for c in PLACE})
+    else:
+        patients = zip_timezone(patients, geo, PLACE)
     return {
         "invitation": invitation_table(inv),
         "Rx": flatten_prescriptions(inv),
-        "Ptt": patient_table(inv),
+        "Ptt": patients.withColumnRenamed("state", "state_code"),
     }

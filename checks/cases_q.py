@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from caseflow.config import AF2H, AF2TO8H, BF24H, Stage
+from caseflow.config import AF2H, AF2TO8H, BF24H, Cohort, Stage
 from caseflow.functions import timegrid as tg
 from caseflow.operators import cases as C, features as X, observe as O, records as R
 from caseflow.operators import sequences as Q, splits as P
@@ -14,12 +14,15 @@ from caseflow.plans import timeline as TL
 from caseflow.plans.spread import scratch_path
 from checks.base import (
     CASES,
+    LOCAL,
     PAT,
     REC,
     bounds,
     cases,
+    human,
     patients,
     query,
+    raw_events,
     record,
     records,
     table,
@@ -421,10 +424,9 @@ def c11(spark, d):
         Stage("features", {"records": recs, "names": ["CGMInfoBf24h"]}),
         Stage("filter", {"rules": [("CGMInfoBf24h-RecNum", ">=", 2)]}),
     ]
-    steps = {"tag": C.tag_from_record, "filter": C.filter_cases, "features": X.attach_features}
     start, folder = C.keep_ratio(cases(spark, d).select(*IDS)), scratch_path(spark, "stages")
-    C.run_stages(start, stages[:2], steps, folder)  # a run that ends after two stages
-    return C.run_stages(start, stages, steps, folder)
+    TL.run_case_stages(start, stages[:2], folder)  # a run that ends after two stages
+    return TL.run_case_stages(start, stages, folder)
 
 
 @query(
@@ -726,3 +728,33 @@ def q10(spark, d):
     x = Q.generation_split(Q.causal_labels(_sequences(spark, d)), 24)
     x = x.withColumn("n_mask", F.aggregate("attention_mask", F.lit(0), lambda a, v: a + v)).drop("attention_mask")
     return _flat(x, ["input_ids", "labels"])
+
+
+@query(
+    "u1_raw_to_split",
+    f"""WITH {LOCAL}, ids AS (SELECT "PatientID", CAST('1' || lpad(CAST(row_number() OVER (ORDER BY "PatientID") AS VARCHAR), 10, '0') AS BIGINT) AS "PID"
+          FROM (SELECT DISTINCT user_id AS "PatientID" FROM events WHERE event_type IN ('view', 'error', 'purchase'))),
+        cgm AS (SELECT "PID", time_bucket(INTERVAL 5 MINUTE, dt) AS "DT_s", avg(value) AS "BGValue" FROM loc JOIN ids USING ("PatientID")
+          WHERE event_type IN ('view', 'error') GROUP BY 1, 2),
+        cases AS (SELECT "PID", "DT_s" AS "ObsDT" FROM cgm WHERE {uni('"PID"', '"DT_s"', seed=42)} <= 0.8),
+        n AS (SELECT c."PID", c."ObsDT", count(r."DT_s") AS n FROM cases c LEFT JOIN cgm r ON r."PID" = c."PID"
+          AND r."DT_s" >= {bounds(BF24H)[0]} AND r."DT_s" < {bounds(BF24H)[1]} GROUP BY 1, 2)
+        SELECT "PID", "ObsDT", n, {uni('"PID"', '"ObsDT"', seed=44)} >= 0.8 AS "Test" FROM n WHERE n >= 2""",
+)
+def u1(spark, d):
+    """Sources, directory, record, cases, features, split: every step by its hook."""
+    TL.register("source", "event_types", lambda spark, path, types: raw_events(spark, path).where(F.col("event_type").isin(types)))
+    raw = TL.read_sources(
+        spark,
+        {
+            "Glucose": ("event_types", {"path": d, "types": ["view", "error"]}),
+            "Diet": ("event_types", {"path": d, "types": ["purchase"]}),
+        },
+    )
+    people = TL.build_directory(raw, Cohort("events", 1, d, "event_types"), "PatientID", [], human(spark, d), "user_tz")
+    rows = raw["Glucose"].withColumnRenamed("value", "BGValue")
+    glucose = TL.build_record(rows, people, "glucose", "CGM5Min")
+    kept = [("_keep_ratio", "<=", 0.8)]
+    made = TL.build_cases(glucose, {}, None, ["CGMInfoBf24h"], kept, [("CGMInfoBf24h-RecNum", ">=", 2)])
+    tagged = P.split_tags(made, 0.1, 0.2, 0.1)
+    return tagged.select("PID", "ObsDT", F.col("CGMInfoBf24h-RecNum").alias("n"), "Test")

@@ -639,7 +639,7 @@ _WHY = " ".join(
 @query(
     "a3_assign_treatment",
     f"""SELECT event_id, random_score, CASE {_ARMS} ELSE event_type END AS action,
-        CASE {_WHY} ELSE 'Treatment Group - AI Bandit Action' END AS action_reason
+        CASE {_WHY} ELSE 'Treatment Group - AI Bandit Action' END AS action_reason, random_score * 100 AS action_score
         FROM (SELECT event_id, event_type, {_U} AS random_score FROM events)""",
 )
 def a3(spark, d):
@@ -655,13 +655,26 @@ _QUARTER = " ".join(f"WHEN v <= {0.25 * (i + 1)} THEN '{a}'" for i, a in enumera
     f"""SELECT event_id, CASE WHEN u < 1.0::DOUBLE / 3 THEN CASE {_QUARTER} ELSE 'Education' END WHEN u <= 2.0::DOUBLE / 3 THEN event_type
           ELSE 'tree' END AS action,
         CASE WHEN u < 1.0::DOUBLE / 3 THEN 'Treatment Group - Random - ' || CASE {_QUARTER} ELSE 'Education' END
-          WHEN u <= 2.0::DOUBLE / 3 THEN 'Treatment Group - AI Bandit Action' ELSE 'Treatment Group - XGBoost Action' END AS action_reason
-        FROM (SELECT event_id, event_type, {_U} AS u, {uni('event_id', seed=13)} AS v FROM events)""",
+          WHEN u <= 2.0::DOUBLE / 3 THEN 'Treatment Group - AI Bandit Action' ELSE 'Treatment Group - XGBoost Action' END AS action_reason,
+        round(CASE WHEN u <= 2.0::DOUBLE / 3 THEN u * 100 ELSE greatest(a, b) * 100 END, 6) AS action_score,
+        CASE WHEN u < 1.0::DOUBLE / 3 THEN 'Save:0.00,Default:0.00'
+          WHEN u <= 2.0::DOUBLE / 3 THEN 'Save:' || CAST(round_even(a * 100, 2) AS DECIMAL(10, 2)) || ',Default:' || CAST(round_even(b * 100, 2) AS DECIMAL(10, 2))
+          ELSE 'first:' || CAST(round_even(a * 100, 2) AS DECIMAL(10, 2)) || ',second:' || CAST(round_even(b * 100, 2) AS DECIMAL(10, 2)) END AS predictions
+        FROM (SELECT event_id, event_type, {_U} AS u, {uni('event_id', seed=13)} AS v, event_id % 128 / 128 AS a, event_id % 64 / 64 AS b FROM events)""",
 )
 def a3b(spark, d):
-    e = table(spark, d, "events").select("event_id", "event_type", F.lit("tree").alias("tree"))
-    x = A.assign_treatment_thirds(e, ["event_id"], 12, "event_type", "tree")
-    return x.select("event_id", "action", "action_reason")
+    e = table(spark, d, "events").select(
+        "event_id", "event_type", F.lit("tree").alias("tree"),
+        (F.col("event_id") % 128 / 128).alias("a"), (F.col("event_id") % 64 / 64).alias("b"),
+    )
+    x = A.assign_treatment_thirds(
+        e, ["event_id"], 12, "event_type", "tree", {"Save": "a", "Default": "b"}, {"first": "a", "second": "b"}
+    )
+    cell = lambda p: F.concat(p["name"], F.lit(":"), p["score"].cast("decimal(10,2)").cast("string"))
+    told = F.array_join(F.transform("predictions", cell), ",")
+    return x.select(
+        "event_id", "action", "action_reason", F.round("action_score", 6).alias("action_score"), told.alias("predictions")
+    )
 
 
 @query(

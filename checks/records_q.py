@@ -289,7 +289,9 @@ def r18(spark, d):
     "r19_canonical_sections",
     """SELECT CAST(user_id AS VARCHAR) AS "PatientID", ts AS "ObservationDateTime", value AS "BGValue", 0 AS "TimezoneOffset",
        18 AS "ExternalSourceID", ts AS "EntryCreatedDateTime",
-       row_number() OVER (ORDER BY lpad(CAST(user_id AS VARCHAR), 12, '0'), ts, value) - 1 AS "BGEntryID" FROM events""",
+       row_number() OVER (ORDER BY lpad(CAST(user_id AS VARCHAR), 12, '0'), ts, value) - 1 AS "BGEntryID",
+       CAST(NULL AS VARCHAR) AS "IsNormalIndicator", CAST(NULL AS VARCHAR) AS "ObservationEntryDateTime", CAST(NULL AS VARCHAR) AS "Timezone",
+       CAST(NULL AS VARCHAR) AS "ActualBGValue", CAST(NULL AS VARCHAR) AS "UserObservationDateTime" FROM events""",
 )
 def r19(spark, d):
     e = table(spark, d, "events").select(

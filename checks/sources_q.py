@@ -232,11 +232,23 @@ def s7(spark, d):
     "s7b_invitation_patients",
     """SELECT CAST(o_custkey AS VARCHAR) AS patient_id_encoded, CASE WHEN o_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS patient_gender,
        lpad(CAST(o_custkey AS VARCHAR), 5, '0')[1:3] AS zipcode3, lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS zipcode5,
-       CAST(year(min(o_orderdate)) - (1940 + o_custkey % 75) AS INTEGER) AS patient_age FROM orders GROUP BY o_custkey""",
+       CAST(year(min(o_orderdate)) - (1940 + o_custkey % 75) AS INTEGER) AS patient_age, any_value(n_name) AS state_code,
+       any_value('Zone ' || n_regionkey) AS timezone, CAST(any_value(-60 * n_regionkey) AS INTEGER) AS "UserTimeZoneOffset"
+       FROM orders LEFT JOIN nation ON lpad(CAST(n_nationkey AS VARCHAR), 3, '0') = lpad(CAST(o_custkey AS VARCHAR), 5, '0')[1:3]
+       GROUP BY o_custkey""",
 )
 def s7b(spark, d):
-    p = FM.scan_invitation_json(_invitations(spark, d), "form")["Ptt"]
-    return p.select("patient_id_encoded", "patient_gender", "zipcode3", "zipcode5", "patient_age")
+    geo = table(spark, d, "nation").select(
+        F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("zipcode3"),
+        F.col("n_name").alias("state"),
+        F.concat(F.lit("Zone "), F.col("n_regionkey").cast("string")).alias("timezone"),
+        (F.col("n_regionkey") * -60).cast("int").alias("UserTimeZoneOffset"),
+    )
+    p = FM.scan_invitation_json(_invitations(spark, d), "form", geo)["Ptt"]
+    return p.select(
+        "patient_id_encoded", "patient_gender", "zipcode3", "zipcode5", "patient_age", "state_code", "timezone",
+        "UserTimeZoneOffset",
+    )
 
 
 @query(
