@@ -21,6 +21,7 @@ documents are never contaminated, as nothing could name them.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,6 +58,22 @@ _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1
 NUM, UNIT, NAME, MEASURE = (np.uint64(k) for k in (1, 2, 3, 4))
 
 
+_NAME = int(NAME)
+_MARKS = string.punctuation
+_STOPS = (".", "!", "?", ":", ";")
+
+
+def _kind(bare: str, low: str) -> int:
+    """The placeholder of a number, unit or measure; 0 for other words."""
+    if bare.isalpha():
+        return int(NUM) if low in NUMBERS else int(UNIT) if low in UNITS else 0
+    if _NUMBER.match(bare):
+        return int(NUM)
+    if (m := _MEASURE.match(bare)) and m[2].lower() in UNITS:
+        return int(MEASURE)
+    return 0
+
+
 def _hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace")) | 1 << 63
 
@@ -71,46 +88,48 @@ class Words:
     def clear(self):
         self.number: dict[str, int] = {}
         self.bare: list[str] = []
-        self.rows: list[tuple[int, int, int, bool]] = []
-
-    def add(self, raw: str) -> int:
-        bare = _EDGES.sub("", raw)
-        low = bare.lower()
-        plain = _hash(low) if bare else 0
-        kind = None
-        if bare:
-            if low in NUMBERS or _NUMBER.match(bare):
-                kind = int(NUM)
-            elif low in UNITS:
-                kind = int(UNIT)
-            elif (m := _MEASURE.match(bare)) and m[2].lower() in UNITS:
-                kind = int(MEASURE)
-        inside = kind
-        if kind is None:
-            kind = inside = plain
-            if len(bare) > 1 and bare[0].isupper() and any(c.islower() for c in bare[1:]):
-                inside = int(NAME)
-        self.number[raw] = len(self.rows)
-        self.bare.append(bare)
-        self.rows.append((plain, kind, inside, raw.rstrip("\"')]}*").endswith((".", "!", "?", ":", ";"))))
-        return self.number[raw]
-
-    def tokens(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
+        self.hashes = np.zeros((1024, 3), np.uint64)
+        self.ends = np.zeros(1024, bool)
+
+    def learn(self, words: set[str]) -> None:
+        """Add words not met before."""
+        n = len(self.bare)
+        rows, ends = [], []
+        for raw in words:
+            bare = raw if raw.isalpha() else raw.strip(_MARKS)
+            if not bare.isalnum():
+                bare = _EDGES.sub("", bare)
+            low = bare.lower()
+            plain = kind = inside = _hash(low) if bare else 0
+            fixed = _kind(bare, low)
+            if fixed:
+                kind = inside = fixed
+            elif bare[:1].isupper() and not bare.isupper():
+                inside = _NAME
+            self.number[raw] = n + len(rows)
+            self.bare.append(bare)
+            rows.append((plain, kind, inside))
+            ends.append(not raw[-1].isalnum() and raw.rstrip("\"')]}*").endswith(_STOPS))
+        while n + len(rows) > len(self.ends):
+            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.hashes[n : n + len(rows)] = np.array(rows, np.uint64)
+        self.ends[n : n + len(rows)] = ends
+
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word numbers, plain hashes and template hashes of the tokens of a text."""
-        if len(self.rows) > _CACHE:
+        if len(self.bare) > _CACHE:
             self.clear()
-        known, add = self.number, self.add
-        numbers = [known[w] if w in known else add(w) for w in text.split()]
-        rows = [self.rows[i] for i in numbers]
-        plain = np.fromiter((r[0] for r in rows), np.uint64, len(rows))
-        kind = np.fromiter((r[1] for r in rows), np.uint64, len(rows))
-        inside = np.fromiter((r[2] for r in rows), np.uint64, len(rows))
-        ends = np.fromiter((r[3] for r in rows), bool, len(rows))
-        first = np.ones(len(rows), bool)
+        words = text.split()
+        if new := set(words).difference(self.number):
+            self.learn(new)
+        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        hashes, ends = self.hashes[numbers], self.ends[numbers]
+        first = np.ones(len(numbers), bool)
         first[1:] = ends[:-1]
-        real = plain != 0
-        numbers = np.asarray(numbers, np.int64)[real]
-        return numbers, plain[real], np.where(first, kind, inside)[real]
+        template = np.where(first, hashes[:, 1], hashes[:, 2])
+        real = hashes[:, 0] != 0
+        return numbers[real], hashes[real, 0], template[real]
 
 
 def windows(tokens: np.ndarray, size: int) -> np.ndarray:
