@@ -542,6 +542,34 @@ def m11(spark, d):
     )
 
 
+CUSTOMERS = """cust AS (SELECT c.*, CAST(COALESCE(spent, 0) > 2.5e6 AS INTEGER) AS y, CAST(c_nationkey % 3 AS INTEGER) AS act FROM customer c
+  LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS spent FROM orders GROUP BY 1) o ON o_custkey = c_custkey)"""
+
+
+@query("m1b_summary_counts", f'WITH {CUSTOMERS} SELECT count(*) AS "SampleNum", sum(y)::BIGINT AS "RealPosNum", TRUE AS told_apart FROM cust')
+def m1b(spark, d):
+    """What does not depend on the fit: counts, and that the fit tells the classes apart on its own rows."""
+    return m1(spark, d).select("SampleNum", "RealPosNum", (F.col("roc_auc") > 0.8).alias("told_apart"))
+
+
+@query("m2b_score_ranges", f"WITH {CUSTOMERS} SELECT c_custkey, y, TRUE AS in_range, TRUE AS ranked FROM cust")
+def m2b(spark, d):
+    p, r = F.col("y_pred_score"), F.col("y_pred_score_percentile")
+    return m2(spark, d).select("c_custkey", "y", p.between(0, 1).alias("in_range"), r.between(0, 100).alias("ranked"))
+
+
+@query("m5b_reward_shapes", f"WITH {CUSTOMERS} SELECT c_custkey, act, CAST(3 AS INTEGER) AS n, TRUE AS finite FROM cust")
+def m5b(spark, d):
+    finite = F.forall("rewards", lambda x: x.isNotNull() & ~F.isnan(x))
+    return m5(spark, d).select("c_custkey", "act", F.size("rewards").alias("n"), finite.alias("finite"))
+
+
+@query("m11b_propensity_ranges", f"WITH {CUSTOMERS} SELECT c_custkey, act, TRUE AS in_range FROM cust")
+def m11b(spark, d):
+    p = F.col("propensity")
+    return m11(spark, d).select("c_custkey", "act", ((p > 0) & (p <= 1)).alias("in_range"))
+
+
 @query(
     "m12_predict_with_reward",
     f"""WITH {DRAWN} SELECT event_id, CAST(act AS INTEGER) AS "Action", {_TYPES!r}[act + 1] AS "ActionName", round(rewards[act + 1], 6) AS "Reward",

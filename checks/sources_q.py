@@ -21,6 +21,15 @@ def s1(spark, d):
     return files.select(F.substring_index("path", "/", -1).alias("name"), "length")
 
 
+@query(
+    "s1b_source_names",
+    "SELECT unnest(['benchmark', 'conversations', 'customer', 'documents', 'embeddings', 'events', 'labels', 'lineitem', 'nation', 'orders', 'pages', 'part', 'region', 'supplier']) || '.parquet' AS name, TRUE AS has_bytes",
+)
+def s1b(spark, d):
+    files = RD.list_sources(spark, d, ["parquet"])
+    return files.select(F.substring_index("path", "/", -1).alias("name"), (F.col("length") > 0).alias("has_bytes"))
+
+
 @query(
     "s2_raw_name",
     """SELECT c_custkey, c_mktsegment AS last_part, c_name AS before_df, 'f' || CAST(c_custkey AS VARCHAR) AS after_form FROM customer""",
