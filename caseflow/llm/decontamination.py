@@ -1,6 +1,6 @@
 """Benchmark decontamination by template windows.
 
-Tokens are words without the punctuation around them.  Numbers, units and names become
+Tokens are words without their punctuation.  Numbers, units and names become
 typed placeholders; other words count in lower case.  Windows of ``WINDOW`` tokens, of
 which ``LITERAL`` at least are plain words, are hashed for every benchmark item and every
 document and joined by hash; so a question with other numbers or names still meets its
@@ -21,12 +21,11 @@ documents are never contaminated, as nothing could name them.
 from __future__ import annotations
 
 import re
-import string
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from caseflow.llm import common as C
@@ -35,7 +34,8 @@ WINDOW = 8
 LITERAL = 4
 RUN = 13
 BITS = 1 << 22
-_CACHE = 400_000
+#: Characters read at once.
+_AT_ONCE = 200_000
 #: Words taken as units. Fixed values.
 UNITS = frozenset(
     "km m cm mm mi ft in yd kg g mg lb lbs oz l ml s sec min h hr hrs mph kmh ms gb mb kb hz khz "
@@ -50,97 +50,127 @@ NUMBERS = frozenset(
     "fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty "
     "ninety hundred thousand million billion".split()
 )
-_NUMBER = re.compile(r"[$€£]?\d[\d.,:/]*[%°]?$")
-_MEASURE = re.compile(r"(\d[\d.,]*)([^\W\d_]{1,4})$")
-_EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+_MEASURE = re.compile(r"\d+([^\W\d_]{1,4})$")
+#: Punctuation and blanks beyond ASCII; they part words.
+_ODD = re.compile("[\u00a0-\u00bf\u2000-\u206f\u3000-\u303f]")
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9)]
 #: Placeholders; words hash elsewhere.
 NUM, UNIT, NAME, MEASURE = (np.uint64(k) for k in (1, 2, 3, 4))
+_BASE = 0x2545F4914F6CDD1D
 
 
-_NAME = int(NAME)
-_MARKS = string.punctuation
-_STOPS = (".", "!", "?", ":", ";")
+def _bytes(wanted: bytes) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(wanted)] = True
+    return table
 
 
-def _kind(bare: str, low: str) -> int:
-    """The placeholder of a number, unit or measure; 0 for other words."""
-    if bare.isalpha():
-        return int(NUM) if low in NUMBERS else int(UNIT) if low in UNITS else 0
-    if _NUMBER.match(bare):
-        return int(NUM)
-    if (m := _MEASURE.match(bare)) and m[2].lower() in UNITS:
-        return int(MEASURE)
-    return 0
+_SPACE = _bytes(b" \t\n\x0b\x0c\r")
+_DIGIT = _bytes(b"0123456789")
+_WORD = _DIGIT | _bytes(bytes(range(97, 123)) + bytes(range(128, 256)))
+_STOP = _bytes(b".!?:;")
 
 
-def _hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace")) | 1 << 63
+class Tokens(NamedTuple):
+    """Plain and template hashes of the tokens of some texts, the number of the text each comes
+    from, and where it lies in ``letters``."""
 
+    plain: np.ndarray
+    template: np.ndarray
+    text: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    letters: np.ndarray
 
-class Words:
-    """Per distinct raw word: its plain hash, its hash as a template word at the start of a
-    sentence and inside one, and whether a sentence ends with it."""
+    def value(self, i: int) -> str:
+        return self.letters[self.starts[i] : self.ends[i]].tobytes().decode("utf-8", "replace")
+
+
+class Reader:
+    """Turns texts into tokens, all bytes of several texts at once."""
 
     def __init__(self):
-        self.clear()
-
-    def clear(self):
-        self.number: dict[str, int] = {}
-        self.bare: list[str] = []
-        self.hashes = np.zeros((1024, 3), np.uint64)
-        self.ends = np.zeros(1024, bool)
-
-    def learn(self, words: set[str]) -> None:
-        """Add words not met before."""
-        n = len(self.bare)
-        rows, ends = [], []
-        for raw in words:
-            bare = raw if raw.isalpha() else raw.strip(_MARKS)
-            if not bare.isalnum():
-                bare = _EDGES.sub("", bare)
-            low = bare.lower()
-            plain = kind = inside = _hash(low) if bare else 0
-            fixed = _kind(bare, low)
-            if fixed:
-                kind = inside = fixed
-            elif bare[:1].isupper() and not bare.isupper():
-                inside = _NAME
-            self.number[raw] = n + len(rows)
-            self.bare.append(bare)
-            rows.append((plain, kind, inside))
-            ends.append(not raw[-1].isalnum() and raw.rstrip("\"')]}*").endswith(_STOPS))
-        while n + len(rows) > len(self.ends):
-            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.hashes[n : n + len(rows)] = np.array(rows, np.uint64)
-        self.ends[n : n + len(rows)] = ends
-
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word numbers, plain hashes and template hashes of the tokens of a text."""
-        if len(self.bare) > _CACHE:
-            self.clear()
-        words = text.split()
-        if new := set(words).difference(self.number):
-            self.learn(new)
-        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        hashes, ends = self.hashes[numbers], self.ends[numbers]
-        first = np.ones(len(numbers), bool)
-        first[1:] = ends[:-1]
-        template = np.where(first, hashes[:, 1], hashes[:, 2])
-        real = hashes[:, 0] != 0
-        return numbers[real], hashes[real, 0], template[real]
-
-
-def windows(tokens: np.ndarray, size: int) -> np.ndarray:
-    """A hash per window of ``size`` tokens; 0 where too few of them are plain words."""
-    n = len(tokens) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
+        self.powers = self.inverses = np.ones(1, np.uint64)
+        self.units, self.numbers = (np.sort(self.read([" ".join(sorted(x))]).plain) if x else None for x in (UNITS, NUMBERS))
+
+    units = numbers = None
+
+    def _grow(self, n: int) -> None:
+        if n > len(self.powers):
+            n = 1 << n.bit_length()
+            one = np.ones(1, np.uint64)
+            self.powers = np.concatenate([one, np.cumprod(np.full(n - 1, _BASE, np.uint64))])
+            self.inverses = np.concatenate([one, np.cumprod(np.full(n - 1, pow(_BASE, -1, 1 << 64), np.uint64))])
+
+    def read(self, texts: list[str | None]) -> Tokens:
+        """Words without punctuation; a word's hash does not depend on where it stands."""
+        raws, smalls = [], []
+        for text in texts:
+            if not text:
+                raws.append(b"")
+                smalls.append(b"")
+                continue
+            if _ODD.search(text):
+                text = _ODD.sub(" ", text)
+            raw, small = text.encode("utf-8", "replace"), text.lower().encode("utf-8", "replace")
+            if len(raw) != len(small):  # the few letters whose small form has another length stay
+                same = (c.lower() if len(c.lower().encode()) == len(c.encode()) else c for c in text)
+                small = "".join(same).encode("utf-8", "replace")
+            raws.append(raw)
+            smalls.append(small)
+        raw, b = (np.frombuffer(b"\n".join(x), np.uint8) for x in (raws, smalls))
+        bounds = np.cumsum([len(x) + 1 for x in raws])
+        word = _WORD[b]
+        kept = np.nonzero(word | _SPACE[b])[0]
+        letters, small, inside = raw[kept], b[kept], word[kept]
+        edge = np.diff(np.concatenate([[False], inside, [False]]).view(np.int8))
+        starts, ends = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
+        if not len(starts):
+            none = np.zeros(0, np.uint64)
+            return Tokens(none, none, starts, starts, ends, letters)
+        self._grow(len(small))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((small + np.uint64(1)) * self.powers[: len(small)])])
+        h = (sums[ends] - sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64) * _K[1]
+        h = (h ^ (h >> np.uint64(31))) * _K[2]
+        plain = (h ^ (h >> np.uint64(29))) | np.uint64(1 << 63)
+        template = plain.copy()
+
+        # a capital first, small letters later, and no sentence begins here: a name
+        capital = letters != small
+        second = np.minimum(starts + 1, len(small) - 1)
+        first = capital[starts] | (letters[starts] >= 0xC0) & capital[second]
+        is_small = ~capital & ((small >= 97) & (small < 123) | (small >= 0x80) & (small < 0xC0))
+        named = first & (np.add.reduceat(is_small, starts, dtype=np.int64) > 0)
+        stop = _STOP[b]
+        stop[:-1] &= ~word[1:]
+        after = np.searchsorted(kept[starts], np.nonzero(stop)[0])  # words begun before a stop
+        owner = np.searchsorted(bounds, kept[starts], side="right")
+        begins = np.zeros(len(starts) + 1, bool)
+        begins[0] = True
+        begins[1:-1] = owner[1:] != owner[:-1]
+        begins[after[after > 0]] = True
+        template[named & ~begins[:-1]] = NAME
+
+        digits = np.add.reduceat(_DIGIT[small], starts, dtype=np.int64)
+        template[digits == ends - starts] = NUM
+        for mark, known in ((NUM, self.numbers), (UNIT, self.units)):
+            if known is not None:
+                at = np.minimum(np.searchsorted(known, plain), len(known) - 1)
+                template[known[at] == plain] = mark
+        for i in np.nonzero((digits > 0) & (digits < ends - starts))[0].tolist():
+            m = _MEASURE.match(small[starts[i] : ends[i]].tobytes().decode("utf-8", "replace"))
+            if m and m[1] in UNITS:
+                template[i] = MEASURE
+        return Tokens(plain, template, owner, starts, ends, letters)
+
+
+def windows(tokens: np.ndarray, size: int, begins: np.ndarray | None = None) -> np.ndarray:
+    """A hash for each window of ``size`` tokens (or those at ``begins``); 0 where too few are plain words."""
+    n = max(0, len(tokens) - size + 1) if begins is None else len(begins)
     h = np.full(n, size, np.uint64) * _K[1]
-    literal = np.zeros(n, np.int64)
+    literal = np.zeros(n, np.int8)
     for i in range(size):
-        t = tokens[i : n + i]
+        t = tokens[i : n + i] if begins is None else tokens[begins + i]
         h = h * _K[0] + t
         h = (h ^ (h >> np.uint64(31))) * _K[2]
         literal += t > MEASURE
@@ -148,22 +178,27 @@ def windows(tokens: np.ndarray, size: int) -> np.ndarray:
     return np.where(literal >= LITERAL, h | np.uint64(1), 0)
 
 
-def _found(words: Words, text: str | None, sizes: list[int], bitmap: np.ndarray | None):
-    """(hash, place, size, slot values) of the windows of a text, of both kinds."""
-    if not text:
-        return
-    numbers, plain, template = words.tokens(text)
-    other = (plain != template).any()
+def _found(tokens: Tokens, sizes: list[int], bitmap: np.ndarray | None):
+    """(text, hash, place in the text, size, slot values) of the windows of texts: of their
+    templates, and of their plain words where these differ."""
+    n = len(tokens.plain)
+    marked = np.concatenate([[0], np.cumsum(tokens.plain != tokens.template)])
+    heads = np.searchsorted(tokens.text, tokens.text)  # first token of each token's text
     for size in sizes:
-        for kind, tokens in enumerate((template, plain) if other else (template,)):
-            h = windows(tokens, size)
-            good = h != 0
-            if bitmap is not None and len(h):
+        if n < size:
+            continue
+        inside = tokens.text[: n - size + 1] == tokens.text[size - 1 :]
+        changed = np.nonzero(inside & (marked[size:] > marked[: n - size + 1]))[0]
+        for kind, part, at in ((0, tokens.template, None), (1, tokens.plain, changed)):
+            h = windows(part, size, at)
+            good = (h != 0) & inside if at is None else h != 0
+            if bitmap is not None:
                 good &= bitmap[(h >> np.uint64(20)) & np.uint64(len(bitmap) - 1)]
-            for at in np.nonzero(good)[0].tolist():
-                part = tokens[at : at + size]
-                slots = [words.bare[numbers[at + i]] for i in np.nonzero(part <= MEASURE)[0].tolist()] if not kind else []
-                yield int(h[at].view(np.int64)), at, size, slots
+            for k in np.nonzero(good)[0].tolist():
+                i = k if at is None else int(at[k])
+                slots = np.nonzero(part[i : i + size] <= MEASURE)[0].tolist()
+                values = [tokens.value(i + j) for j in slots]
+                yield int(tokens.text[i]), int(h[k].view(np.int64)), i - int(heads[i]), size, values
 
 
 _SCHEMA = "id bigint, hash bigint, at int, size int, slots array<string>, n_tokens int"
@@ -176,19 +211,33 @@ def _emit(df: DataFrame, sizes, bitmap) -> DataFrame:
     names = [c.split()[0] for c in _SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bits = Words(), None
+        reader, bits = Reader(), None
         if shared is not None:
             bits = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
-        for b in batches:
+
+        def batch(ids: list, texts: list) -> pa.RecordBatch:
             rows: list[tuple] = []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if sizes is None:
-                    n = len(words.tokens(text)[1]) if text else 0
-                    rows += [(i, *w, n) for w in _found(words, text, [min(n, WINDOW)], None)] if n >= LITERAL else []
-                else:
-                    rows += [(i, *w, 0) for w in _found(words, text, sizes, bits)]
+            if sizes is None:  # every item has a size of its own
+                for i, text in zip(ids, texts):
+                    tokens = reader.read([text])
+                    n = len(tokens.plain)
+                    if n >= LITERAL:
+                        rows += [(i, *w[1:], n) for w in _found(tokens, [min(n, WINDOW)], None)]
+            else:
+                rows = [(ids[w[0]], *w[1:], 0) for w in _found(reader.read(texts), sizes, bits)]
             cols = list(zip(*rows)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+
+        for b in batches:
+            ids, texts, held = [], [], 0
+            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                ids.append(i)
+                texts.append(text)
+                held += len(text or "")
+                if held > _AT_ONCE:
+                    yield batch(ids, texts)
+                    ids, texts, held = [], [], 0
+            yield batch(ids, texts)
 
     return df.mapInArrow(run, _SCHEMA)
 
