@@ -154,7 +154,8 @@ def _with_grid(packs: DataFrame, kind: str, whole: bool, reach: tuple[int, int])
     """Lay a day's packed records on 5-minute slots, as values or as whole numbers.
 
     One walk: each record adds the empty slots since the record before it and
-    then itself, so the work goes with the records and not with the slots.
+    then itself, so the work goes with the records and not with the slots.  Of several
+    records in a slot the first counts, so no later slot moves.
     """
     base = grid_base(reach)
     slots = (tg.DAY + reach[1] - base) // tg.STEP + 1
@@ -176,7 +177,8 @@ def _with_grid(packs: DataFrame, kind: str, whole: bool, reach: tuple[int, int])
 
     def lay(x):
         gap = F.coalesce(x["here"], F.lit(slots)) - x["before"] - 1
-        here = F.slice(F.array(own(x["v"])), F.lit(1), F.when(x["here"].isNull(), 0).otherwise(1))
+        taken = x["here"].isNull() | (x["here"] == x["before"])
+        here = F.slice(F.array(own(x["v"])), F.lit(1), F.when(taken, 0).otherwise(1))
         return F.concat(F.array_repeat(missing, F.greatest(gap, F.lit(0))), here)
 
     laid = F.flatten(F.transform(walk, lay))

@@ -167,3 +167,21 @@ def test_names_and_windows():
         Window("x", 1, 0, "h")
     with pytest.raises(KeyError):
         X.attach_features(None, {}, ["nosuch"])
+
+
+def test_several_records_in_a_slot_move_nothing(spark):
+    """The first record of a slot counts; later slots keep their places."""
+    tidy = [(1, BASE, 140.0), (1, BASE + 3 * STEP, 150.0), (1, BASE + 5 * STEP, 160.0)]
+    extra = [(1, BASE + tg.MINUTE, 77.0), (1, BASE + 3 * STEP + 2 * tg.MINUTE, 88.0), (1, BASE + 3 * STEP + 4 * tg.MINUTE, 99.0)]
+    cases = make(spark, [(1, BASE + 6 * STEP)], False).withColumnRenamed("DT_s", "ObsDT")
+    got = [
+        X.attach_features(cases, {X.CGM: make(spark, rows)}, ["CGMValueBf24h"]).first()["CGMValueBf24h--tid"]
+        for rows in (tidy, tidy + extra)
+    ]
+    assert got[0] == got[1] and got[0][-7:] == [140, 0, 0, 150, 0, 160, 0]
+
+
+def test_a_case_without_an_id_is_an_error(spark):
+    cases = make(spark, [(None, BASE)], False).withColumnRenamed("DT_s", "ObsDT")
+    with pytest.raises(Exception, match="a case without PID or ObsDT"):
+        X.attach_features(cases, {X.CGM: make(spark, [(1, BASE, 1.0)])}, ["CGMValueBf24h"]).collect()
