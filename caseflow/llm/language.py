@@ -49,12 +49,12 @@ def fit_dictionaries(
     room = F.greatest(F.length("_text") - PASSAGE_CHARS, F.lit(0)) + 1
     at = F.pmod(F.crc32(F.concat(F.lit("at|"), F.col("_id").cast("string")).cast("binary")), room) + 1
     cut = rows.select("_id", "_lang", F.col("_text").substr(at.cast("int"), F.lit(PASSAGE_CHARS)).alias("_text"))
-    cut = cut.where(F.col("_text").rlike("\\p{L}"))
     sample = C.bounded_sample(cut, "_lang", "_id", PASSAGES).toArrow().to_pylist()
     sizes = {r["_lang"]: r["count"] for r in rows.groupBy("_lang").count().collect()}
     found: dict[str, list] = {}
     for r in sorted(sample, key=lambda r: (r["_id"], r["_text"])):
-        found.setdefault(r["_lang"], []).append(r["_text"].lower())
+        if _LETTER.search(r["_text"]):
+            found.setdefault(r["_lang"], []).append(r["_text"].lower())
     order = sorted(found, key=lambda k: (-sizes[k], k))
     return [(k, "\n".join(found[k]).encode("utf-8", "replace")) for k in order]
 

@@ -140,7 +140,7 @@ def judge(
     )
     fit = C.bounded_sample(marks.where(C.fold("_id") != CALIBRATION_FOLD), "_good", "_id", TRAIN_ROWS)
     tune = marks.where(C.fold("_id") == CALIBRATION_FOLD)
-    tune = tune.orderBy(C.spread_order("_id"), "_id").limit(CALIBRATION_ROWS)
+    tune = C.bounded_rows(tune, "_id", CALIBRATION_ROWS)
     mine = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
 
     got = mine.join(F.broadcast(fit), "_id").select("_id", "_good", "_text").toArrow().to_pylist()
