@@ -311,23 +311,22 @@ def observe_join(
 ) -> DataFrame:
     """One row per case and record in its window; a case without records has nulls.
 
-    Buckets are as wide as the window (at least an hour), so a case meets the
-    records of at most two buckets and the range test discards little.
+    A case lies in one bucket, as wide as the window (at least an hour); a record goes to
+    the two or three buckets whose cases can see it.  So one outer join tells both what a
+    case sees and that it sees nothing.
     """
     pid, obs = ids
+    payload = payload or []
     width = max(tg.HOUR, window.hi - window.lo)
-    c = cases.select(pid, obs, tg.micros(obs).alias("_t"))
-    lo, hi = F.col("_t") + F.lit(window.lo), F.col("_t") + F.lit(window.hi)
-    reach = F.sequence(tg.bucket(lo, width), tg.bucket(hi - 1, width))
-    c = c.withColumn("_bucket", F.explode(reach))
+    c = cases.select(pid, obs, tg.micros(obs).alias("_t"), tg.bucket(tg.micros(obs), width).alias("_bucket"))
     us = tg.micros(time)
-    r = records.select(
-        pid, us.alias("_u"), F.col(time).alias("_rec_time"), *(payload or [])
-    ).withColumn("_bucket", tg.bucket(F.col("_u"), width))
-    inside = (F.col("_u") >= lo) & (F.col("_u") < hi)
-    hits = c.join(r, [pid, "_bucket"]).where(inside).select(pid, obs, "_rec_time", *(payload or []))
-    none = cases.select(pid, obs).join(hits.select(pid, obs).distinct(), [pid, obs], "left_anti")
-    return hits.unionByName(none, allowMissingColumns=True).withColumnRenamed("_rec_time", time)
+    reach = F.sequence(tg.bucket(us - F.lit(window.hi - 1), width), tg.bucket(us - F.lit(window.lo), width))
+    r = records.where(F.col(time).isNotNull()).select(
+        F.col(pid).alias("_pid"), us.alias("_u"), F.col(time), *payload, F.explode(reach).alias("_at")
+    )
+    inside = (F.col("_u") >= F.col("_t") + F.lit(window.lo)) & (F.col("_u") < F.col("_t") + F.lit(window.hi))
+    met = (F.col(pid) == F.col("_pid")) & (F.col("_bucket") == F.col("_at")) & inside
+    return c.join(r, met, "left").select(pid, obs, time, *payload)
 
 
 def observe_static(cases: DataFrame, records: DataFrame, pid: str = "PID") -> DataFrame:
