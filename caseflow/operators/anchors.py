@@ -41,22 +41,27 @@ def _exits(times: np.ndarray, gap: int) -> np.ndarray:
 
 
 def _steps(days: DataFrame, key: list[str], gap: int) -> DataFrame:
-    """Step functions of days, from rows (key, _day, _us): for each time that a carried anchor
-    may leave as the day's first anchor, the anchor carried out.  Runs in Arrow batches."""
+    """First and last time and step function of days, from rows (key, _day, _us): for each time
+    that a carried anchor may leave as the day's first anchor, the anchor carried out.  Runs
+    in Arrow batches."""
     cell = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
 
     def run(batches):
         for b in batches:
-            made = []
+            first, last, made = [], [], []
             for day, us in zip(b.column(len(key)).to_pylist(), b.column(len(key) + 1)):
                 t = us.values.to_numpy(zero_copy_only=False)
                 ends = _exits(t, gap)
+                first.append(int(t[0]))
+                last.append(int(t[-1]))
                 n = int(np.searchsorted(t, day * tg.DAY + gap)) + 1
                 made.append([{"s": s, "e": e} for s, e in zip(t[:n].tolist(), ends[:n].tolist())])
             cols = [b.column(i) for i in range(len(key) + 1)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(made, cell)], names=[*key, "_day", "_step"])
+            cols += [pa.array(first, pa.int64()), pa.array(last, pa.int64()), pa.array(made, cell)]
+            yield pa.RecordBatch.from_arrays(cols, names=[*key, "_day", "_first", "_last", "_step"])
 
-    out = T.StructType([*[days.schema[k] for k in key], days.schema["_day"]]).add("_step", _TRANSFER)
+    out = T.StructType([*[days.schema[k] for k in key], days.schema["_day"]])
+    out = out.add("_first", T.LongType()).add("_last", T.LongType()).add("_step", _TRANSFER)
     return days.select(*key, "_day", "_us").mapInArrow(run, out)
 
 
@@ -68,16 +73,13 @@ def densify_anchor(
     d = df.withColumn("_day", tg.bucket(F.col(time_us)))
     days = d.groupBy(*key, "_day").agg(F.sort_array(F.collect_set(time_us)).alias("_us"))
 
-    slim = days.select(
-        *key, "_day", F.element_at("_us", 1).alias("_first"), F.element_at("_us", -1).alias("_last")
-    )
+    slim = _steps(days, key, gap)
     by_day = W.partitionBy(*key).orderBy("_day")
     before = F.lag("_last").over(by_day)
     slim = slim.withColumn(
         "_fresh", (before.isNull() | (F.col("_first") > before + F.lit(gap))).cast("int")
     )
     slim = slim.withColumn("_run", F.sum("_fresh").over(by_day))
-    slim = slim.join(_steps(days, key, gap), [*key, "_day"])
     runs = slim.groupBy(*key, "_run").agg(
         F.sort_array(F.collect_list(F.struct("_day", "_step"))).alias("_days"),
         F.count(F.lit(1)).alias("_n"),
