@@ -9,8 +9,9 @@ rare.  A text's evidence is the difference of the two log-likelihoods, normalise
 its length; a logistic curve fitted on labelled rows outside the counts turns it into
 a score between 0 and 1.
 
-Counting is a Spark job over every labelled training row.  What goes to the executors
-is a table of fixed size (``slots``): sequences are hashed into it.
+Counting is a Spark job over every labelled training row.  Counts stay exact, keyed by a
+64-bit hash: what goes to the executors is as long as the sequences are many, about ten bytes
+each, packed where they were counted.
 
 Edge cases: a null or empty text has no words and gets the curve's value for no
 evidence; null or unknown labels are not learned from; a doc_id labelled twice is toxic
@@ -26,13 +27,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard as zstd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from caseflow.llm import common as C
 
 ORDER = 8
-#: Size of the model's tables, a power of two, at most 2**20 (three slots and a flag fit a long).
-SLOTS = 1 << 20
 DISCOUNT = 0.75
 #: Training fold kept out of the counts, for the calibration curve.
 CALIBRATION_FOLD = 4
@@ -42,6 +42,7 @@ _START, _END = b"\x02", b"\x03"
 _DROPPED = "".join(map(chr, (*range(33, 65), *range(91, 97), *range(123, 127))))
 _K = np.uint64(0x9E3779B97F4A7C15)
 _SEED = np.uint64(0x51_7C_C1_B7_27_22_0A_95)
+_UNDO = np.uint64(pow(int(_K), -1, 1 << 64))
 
 
 def _spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,30 +64,18 @@ def _sequences(text: np.ndarray, order: int) -> Iterator[np.ndarray]:
         yield h
 
 
-def _slot(h: np.ndarray, slots: int) -> np.ndarray:
-    return (_mixed(h) & np.uint64(slots - 1)).astype(np.int64)
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
-
-
 def words_of(text: str | None) -> list[bytes]:
     if not text:
         return []
     return text.lower().encode("utf-8", "replace").translate(None, _DROPPED.encode()).split()
 
 
-def count_sequences(words: DataFrame, order: int = ORDER, slots: int = SLOTS) -> DataFrame:
-    """Counts of byte sequences behind the model, from rows (word, c0, c1).
+def count_sequences(words: DataFrame, order: int = ORDER) -> DataFrame:
+    """Occurrences of byte sequences by class, from rows (word, c0, c1).
 
-    A row per sequence (``gram``, a 64-bit hash whose low bits are its slot): the slots of
-    its context (all but the last byte), of its suffix (all but the first) and of the
-    suffix's context; ``top`` where each class keeps its own count (the sequence begins a
-    word or has full length); and the occurrences by class, ``a0`` and ``a1``.
+    A row per sequence: ``gram``, its 64-bit hash; ``shape``, its length, first and last
+    byte, from which the hashes of its parts follow; ``a0`` and ``a1``.
     """
-    bits = slots.bit_length() - 1
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -97,84 +86,117 @@ def count_sequences(words: DataFrame, order: int = ORDER, slots: int = SLOTS) ->
             text, starts, place = _spelled(ws)
             lens = np.diff(np.append(starts, len(text)))
             c0, c1 = np.repeat(c0, lens), np.repeat(c1, lens)
-            hs = list(_sequences(text, order))
-            for n in range(2, order + 1):
+            for n, h in enumerate(_sequences(text, order)):
                 at = np.nonzero(place >= n - 1)[0]
-                if not len(at):
+                if n < 2 or not len(at):
                     continue
-                gram, first, inv = np.unique(_mixed(hs[n][at]), return_index=True, return_inverse=True)
+                gram, first, inv = np.unique(h[at], return_index=True, return_inverse=True)
                 one = at[first]
-                parts = ((place[one] == n - 1) | (n == order)).astype(np.int64)
-                for x in (hs[n - 1][one - 1], hs[n - 1][one], hs[n - 2][one - 1]):
-                    parts = (parts << bits) | _slot(x, slots)
+                shape = (n << 18 | text[one - n + 1].astype(np.int64) << 9 | text[one].astype(np.int64)).astype(np.int32)
                 counts = [np.bincount(inv, c[at], len(gram)).astype(np.int64) for c in (c0, c1)]
-                cols = [gram.view(np.int64), parts, *counts]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["gram", "parts", "c0", "c1"])
-
-    def part(k: int) -> Column:
-        return F.shiftright("parts", k * bits).bitwiseAND(F.lit(slots - 1)).cast("int")
-
-    spelled = words.select("word", "c0", "c1").mapInArrow(spell, "gram bigint, parts bigint, c0 bigint, c1 bigint")
-    grams = spelled.groupBy("gram", "parts").agg(F.sum("c0").alias("a0"), F.sum("c1").alias("a1"))
-    return grams.select(
-        F.col("gram").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot"),
-        part(2).alias("context"),
-        part(1).alias("suffix"),
-        part(0).alias("suffix_context"),
-        (F.shiftright("parts", 3 * bits) == 1).alias("top"),
-        "a0",
-        "a1",
-    )
+                cols = [gram.view(np.int64), shape, *counts]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["gram", "shape", "c0", "c1"])
+
+    spelled = words.select("word", "c0", "c1").mapInArrow(spell, "gram bigint, shape int, c0 bigint, c1 bigint")
+    return spelled.groupBy("gram", "shape").agg(F.sum("c0").alias("a0"), F.sum("c1").alias("a1"))
+
+
+def keyed_counts(sequences: DataFrame, order: int = ORDER) -> DataFrame:
+    """key, context (all but the last byte), a0 and a1 of every sequence the model keeps.
+
+    Each class keeps its own count where the sequence begins a word or has full length;
+    a shorter one counts how many different bytes precede it, whatever the class.
+    """
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(order, _K)]))
+        for b in batches:
+            gram, shape, a0, a1 = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            gram, n = gram.view(np.uint64), shape >> 18
+            first, last = ((shape >> k & 511).astype(np.uint64) for k in (9, 0))
+            suffix = gram - (_SEED * powers[n] + first * powers[n - 1]) + _SEED * powers[n - 1]
+            top = (first == _START[0] + 1) | (n == order)
+            ones = np.ones(len(gram), np.int64)
+            for key, end, x0, x1 in ((gram[top], last[top], a0[top], a1[top]), (suffix, last, ones, ones)):
+                cols = [key.view(np.int64), ((key - end) * _UNDO).view(np.int64), x0, x1]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "context", "a0", "a1"])
+
+    rows = sequences.mapInArrow(entries, "key bigint, context bigint, a0 bigint, a1 bigint")
+    return rows.groupBy("key", "context").agg(F.sum("a0").alias("a0"), F.sum("a1").alias("a1"))
+
+
+class Table:
+    """Counts by 64-bit key, from pieces packed on the executors."""
+
+    def __init__(self, pieces: list[tuple[bytes, bytes]], width: int):
+        keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(k, np.uint64) for k, _ in pieces)])
+        rows = [np.frombuffer(zstd.decompress(c), np.int64).reshape(width, -1).T.astype(np.float32) for _, c in pieces]
+        by = np.argsort(keys)
+        self.keys, self.counts = keys[by], np.concatenate([np.zeros((0, width), np.float32), *rows])[by]
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The counts of each key, 0 where it was never counted."""
+        if not len(self.keys):
+            return np.zeros((len(keys), self.counts.shape[1]), np.float32)
+        one, inv = np.unique(keys, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, one), len(self.keys) - 1)
+        return np.where((self.keys[at] == one)[:, None], self.counts[at], np.float32(0))[inv]
 
 
 class Model:
-    """Tables of fixed size: counts of sequences; totals and kinds of what follows a context."""
+    """Counts of sequences; totals and kinds of what follows a context.  Unpacked at first use."""
 
-    def __init__(self, counts: np.ndarray, totals: np.ndarray, kinds: np.ndarray, order: int):
-        self.counts, self.totals, self.kinds, self.order = counts, totals, kinds, order
+    def __init__(self, sequences: list, contexts: list, order: int):
+        self.packed, self.order, self.tables = (sequences, contexts), order, None
 
     def differences(self, words: list[bytes]) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary), word by word."""
         if not words:
             return np.zeros(0, np.float32)
+        if self.tables is None:
+            self.tables = Table(self.packed[0], 2), Table(self.packed[1], 4)
+        own, after = self.tables
         text, starts, place = _spelled(words)
-        slots = len(self.counts)
         p = np.full((len(text), 2), 1 / 257, np.float32)
+        alive = place > 0  # a context that was never seen has no longer one that was
         before = None
         for n, h in enumerate(_sequences(text, self.order)):
             if n:
-                at = np.nonzero(place >= max(1, n - 1))[0]
-                g, c = _slot(h[at], slots), _slot(before[at - 1], slots)
-                t = self.totals[c]
-                seen = t > 0
-                a = np.maximum(self.counts[g] - DISCOUNT, 0)
-                q = (a + DISCOUNT * self.kinds[c] * p[at]) / np.maximum(t, 1)
-                p[at] = np.where(seen, np.clip(q, 1e-12, 1), p[at])
+                at = np.nonzero(alive & (place >= n - 1))[0]
+                facts = after.of(before[at - 1])
+                seen = facts[:, :2].any(axis=1)
+                alive[at[~seen]] = False
+                at, facts = at[seen], facts[seen]
+                t, kinds = facts[:, :2], facts[:, 2:]
+                a = np.maximum(own.of(h[at]) - np.float32(DISCOUNT), 0)
+                q = (a + np.float32(DISCOUNT) * kinds * p[at]) / np.maximum(t, 1)
+                p[at] = np.where(t > 0, np.clip(q, 1e-12, 1), p[at])
             before = h
         logs = np.log(p)
         diff = np.where(place > 0, logs[:, 1] - logs[:, 0], 0)
         return np.add.reduceat(diff, starts).astype(np.float32)
 
 
-def fit_model(words: DataFrame, order: int = ORDER, slots: int = SLOTS) -> Model:
-    """Kneser-Ney tables from rows (word, c0, c1); at most ``slots`` sums per table reach the driver."""
-    counts = C.stored(count_sequences(words, order, slots), "toxicity-counts")
-    own = counts.where("top").select("slot", "context", "a0", "a1")
-    # shorter sequences: how many different bytes precede them, whatever the class
-    shared = counts.groupBy(F.col("suffix").alias("slot"), F.col("suffix_context").alias("context")).agg(
-        F.count("*").alias("a0")
-    )
-    rows = own.unionByName(shared.withColumn("a1", F.col("a0")))
-    sums = [F.sum(a).cast("float").alias(a) for a in ("a0", "a1")]
-    kinds = [F.sum((F.col(a) > 0).cast("int")).cast("float").alias("k" + a) for a in ("a0", "a1")]
-    made = [np.zeros((slots, 2), np.float32) for _ in range(3)]
-    got = rows.groupBy("slot").agg(*sums).toArrow()
-    made[0][got.column("slot").to_numpy()] = np.column_stack([got.column(a).to_numpy() for a in ("a0", "a1")])
-    got = rows.groupBy("context").agg(*sums, *kinds).toArrow()
-    at = got.column("context").to_numpy()
-    made[1][at] = np.column_stack([got.column(a).to_numpy() for a in ("a0", "a1")])
-    made[2][at] = np.column_stack([got.column(a).to_numpy() for a in ("ka0", "ka1")])
-    return Model(*made, order)
+def _packed(counts: DataFrame) -> list[tuple[bytes, bytes]]:
+    """Rows (key, counts ...) as pieces of bytes: nothing is unpacked on the driver."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, *cols = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns)
+            made = [keys.tobytes(), zstd.compress(np.concatenate(cols).tobytes(), 3)]
+            yield pa.RecordBatch.from_arrays([pa.array([m], pa.binary()) for m in made], names=["keys", "counts"])
+
+    got = counts.mapInArrow(pack, "keys binary, counts binary").toArrow()
+    return list(zip(got.column("keys").to_pylist(), got.column("counts").to_pylist()))
+
+
+def fit_model(words: DataFrame, order: int = ORDER) -> Model:
+    """Kneser-Ney counts from rows (word, c0, c1), every sequence by itself."""
+    counts = C.stored(keyed_counts(count_sequences(words, order), order), "toxicity-counts")
+    sums = [F.sum(a).alias(a) for a in ("a0", "a1")]
+    kinds = [F.sum((F.col(a) > 0).cast("bigint")).alias("k" + a) for a in ("a0", "a1")]
+    own = _packed(counts.select("key", "a0", "a1"))
+    return Model(own, _packed(counts.groupBy("context").agg(*sums, *kinds)), order)
 
 
 FEATURES = ["n_words", "f_mean", "f_clipped", "f_root", "f_rate", "f_top", "f_strong"]
@@ -191,18 +213,12 @@ def _features(d: np.ndarray) -> list[float]:
     ]
 
 
-def evidence(docs: DataFrame, model: Model, keep: list[str], text_col: str) -> DataFrame:
-    """Length-normalised log-likelihood differences of each whole text."""
-    tables = np.concatenate([model.counts, model.totals, model.kinds], axis=1)
-    shared = docs.sparkSession.sparkContext.broadcast(zstd.compress(tables.tobytes(), 3))
-    order = model.order
-    made: list[Model] = []
+def evidence(docs: DataFrame, shared: Broadcast, keep: list[str], text_col: str) -> DataFrame:
+    """Length-normalised log-likelihood differences of each whole text, by the ``Model`` in ``shared``."""
     known: dict[bytes, float] = {}
 
     def measure(texts: list) -> dict:
-        if not made:
-            t = np.frombuffer(zstd.decompress(shared.value), np.float32).reshape(-1, 6)
-            made.append(Model(t[:, :2], t[:, 2:4], t[:, 4:], order))
+        model = shared.value  # a worker unpacks it once, for all its tasks
         rows = []
         for at in range(0, len(texts), 256):
             listed = [words_of(t) for t in texts[at : at + 256]]
@@ -211,7 +227,7 @@ def evidence(docs: DataFrame, model: Model, keep: list[str], text_col: str) -> D
             new = list(set().union(*listed).difference(known))
             for i in range(0, len(new), 50_000):
                 part = new[i : i + 50_000]
-                known.update(zip(part, made[0].differences(part).tolist()))
+                known.update(zip(part, model.differences(part).tolist()))
             rows += [_features(np.fromiter(map(known.__getitem__, ws), np.float64, len(ws))) for ws in listed]
         return {name: [r[k] for r in rows] for k, name in enumerate(FEATURES)}
 
@@ -252,16 +268,16 @@ def score(
             F.sum("_toxic").alias("c1"),
         )
     )
-    model = fit_model(words)
+    shared = docs.sparkSession.sparkContext.broadcast(fit_model(words))
     chosen = C.bounded_sample(
         marks.where((C.fold("_id") == CALIBRATION_FOLD)), "_toxic", "_id", CALIBRATION_ROWS
     )
-    fitted = evidence(mine.join(F.broadcast(chosen), "_id"), model, ["_toxic"], "_text").toArrow()
+    fitted = evidence(mine.join(F.broadcast(chosen), "_id"), shared, ["_toxic"], "_text").toArrow()
     y = fitted.column("_toxic").to_numpy()
     x = _design(*[fitted.column(n).to_numpy() for n in FEATURES])
     weights = C.fit_logistic(x, y).tolist() if 0 < y.sum() < len(y) else None
 
-    got = evidence(docs, model, keep, text_col)
+    got = evidence(docs, shared, keep, text_col)
     if weights is None:
         value = F.lit(0.0)
     else:

@@ -72,6 +72,20 @@ def test_the_model_is_kneser_ney(spark):
         assert abs(float(model.differences([w])[0]) - plain(w)) < 1e-3, w
 
 
+def test_counts_stay_exact_with_many_sequences(spark):
+    """Over a million sequences: each keeps a count of its own."""
+    rnd = random.Random(6)
+    words = {}
+    for _ in range(25_000):
+        w = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(11)).encode()
+        words[w] = [rnd.randint(0, 5), rnd.randint(0, 3) or 1]
+    df = spark.createDataFrame([(w.decode(), *c) for w, c in words.items()], "word string, c0 bigint, c1 bigint")
+    plain = plain_kneser_ney(words, toxicity.ORDER, toxicity.DISCOUNT)
+    asked = [*list(words)[:40], b"abcabc", b"idiot"]
+    got = toxicity.fit_model(df).differences(asked)
+    assert max(abs(float(d) - plain(w)) for d, w in zip(got, asked)) < 1e-3
+
+
 def test_toxicity_held_out(spark):
     got = QUERIES["op8_toxicity"](spark, BIG)
     rows = got.join(C.table(spark, BIG, "labels"), "doc_id").where("held_out").collect()
