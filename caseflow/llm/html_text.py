@@ -7,6 +7,10 @@ their content with ``article`` or ``main``, a bounded sample of them (``LABELLED
 linear scan finds the contiguous region with the largest sum.  The region is widened to
 the article or container it lies in, and blocks inside that are no content leave.
 
+On a page with ``article`` or ``main``, the side (inside or outside these) that holds fewer
+of its words loses the log odds of the two sides, word by word: a mark is evidence, and a
+few teaser cards do not outweigh the text beside them.
+
 A text is made of blocks (paragraphs, headings, list items, cells ...): references are
 decoded, white space inside a block becomes one space, blocks are joined by a newline.
 
@@ -32,6 +36,8 @@ LABELLED = 2_000
 #: Least score of a word, and least cost of a tag: their signs are given, sizes are learned.
 _LEAST, _MOST = 0.1, 4.0
 _NOISE_WORD = -4.0
+#: Share of a page's words from which a form is the page, not a part of it.
+_NEARLY = 0.9
 
 # Elements of the markup language by what they do to the text.
 DROPPED = frozenset("script style noscript template svg math iframe object canvas audio video select textarea title head".split())
@@ -94,14 +100,15 @@ class Page:
 
     elements: (name, parent, kind) with kind 0 plain, 1 noted by its names, 2 no content;
     events: ("t", name) for tags, ("w", block, words, linked) for text;
-    blocks: (element, pieces of text).
+    blocks: (element, pieces of text with the element each lies in);
+    noise: by element, whether it is no content; mark: log odds of words in article or main.
     """
 
     def __init__(self, source: str):
         self.elements: list[list] = [["html", -1, 0]]
-        self.blocks: list[tuple[int, list[str]]] = []
+        self.blocks: list[tuple[int, list[tuple[int, str]]]] = []
         self.events: list[tuple] = []
-        self.inner = set()  # elements with an article or main inside
+        self.forms: dict[int, int] = {}  # visible forms, and their kind if they were none
         stack, fresh, at, links = [0], True, 0, 0
         skip = None  # end of raw text
         pos, n = 0, len(source)
@@ -147,14 +154,56 @@ class Page:
             kind = 2 if hidden or name in EXCLUDED or name in DROPPED else 1 if noted and name not in CONTENT else 0
             self.elements.append([name, stack[-1], kind])
             at = len(self.elements) - 1
-            if name in CONTENT:
-                self.inner.update(stack)
+            if name == "form" and not hidden:
+                self.forms[at] = int(noted)
             stack.append(at)
             links += name == "a"
             self.events.append(("t", name))
             if m[3].rstrip().endswith("/") and name not in BLOCKS:
                 stack.pop()
                 links -= name == "a"
+        self._judge()
+
+    def _held(self, noise: list[bool]) -> list[int]:
+        """Words in each element and below it, without those in noise."""
+        held = [0] * len(self.elements)
+        for e in self.events:
+            if e[0] == "w" and not noise[e[4]]:
+                held[e[4]] += e[2]
+        for k in range(len(held) - 1, 0, -1):
+            held[self.elements[k][1]] += held[k]
+        return held
+
+    def _below(self, own: list[bool]) -> list[bool]:
+        """True at and below elements that are noise of their own."""
+        out = list(own)
+        for k in range(1, len(out)):
+            out[k] |= out[self.elements[k][1]]
+        return out
+
+    def _judge(self) -> None:
+        """Tell noise from content once all words are known."""
+        kinds = [e[2] for e in self.elements]
+        if self.forms:
+            held = self._held(self._below([kind == 2 and k not in self.forms for k, kind in enumerate(kinds)]))
+            for k, kind in self.forms.items():
+                if held[k] > _NEARLY * held[0]:
+                    kinds[k] = self.elements[k][2] = kind
+        content = [k for k, e in enumerate(self.elements) if e[0] in CONTENT]
+        inner = {a for k in content for a in self.above(k)} if 1 in kinds else set()
+        noted = [kind == 2 or kind == 1 and k not in inner for k, kind in enumerate(kinds)]
+        self.noise = self._below(noted)
+        if inner:  # a noted container stays content only around most of the page's words
+            held = self._held(self.noise)
+            inner = {a for k in content if 2 * held[k] > held[0] for a in self.above(k)}
+            self.noise = self._below([kind == 2 or kind == 1 and k not in inner for k, kind in enumerate(kinds)])
+        self.marked = self._below([e[0] in CONTENT for e in self.elements])
+        sides = [0, 0]
+        for e in self.events:
+            if e[0] == "w" and not self.noise[e[4]]:
+                sides[self.marked[e[4]]] += e[2]
+        odds = math.log((sides[1] + 1) / (sides[0] + 1)) if sides[1] else 0.0
+        self.mark = min(_MOST, max(-_MOST, odds))
 
     def _imply(self, name: str, stack: list[int]) -> None:
         """End what this tag ends without saying so."""
@@ -177,21 +226,16 @@ class Page:
         if fresh:
             home = next(e for e in reversed(stack) if e == 0 or self.elements[e][0] in BLOCKS)
             self.blocks.append((home, []))
-        self.blocks[-1][1].append(text)
+        self.blocks[-1][1].append((stack[-1], text))
         if words:
-            # an element inside a line may be noted too
             self.events.append(("w", len(self.blocks) - 1, words, linked, stack[-1]))
-            if self._noise(stack[-1]) and not self._noise(self.blocks[-1][0]):
-                self.blocks[-1][1].pop()
         return False
 
-    def _noise(self, element: int) -> bool:
-        while element > 0:
-            _, parent, kind = self.elements[element]
-            if kind == 2 or kind == 1 and element not in self.inner:
-                return True
-            element = parent
-        return False
+    def _line(self, block: int) -> str:
+        """The text of a block, without words of elements inside the line that are noise."""
+        home, pieces = self.blocks[block]
+        kept = (t for e, t in pieces if self.noise[home] or not self.noise[e] or not t.strip())
+        return " ".join("".join(kept).split())
 
     def home(self, element: int) -> int:
         """The nearest article or main around an element, itself included; 0 if none."""
@@ -214,38 +258,38 @@ class Page:
         return ("link in " if event[3] else "word in ") + (name if name in BLOCKS else "other")
 
     def counts(self) -> dict[str, tuple[int, int]]:
-        """Per kind, how often it lies in marked content and elsewhere; empty without marked content."""
-        if not any(e[0] in CONTENT for e in self.elements):
+        """Per kind, how often it lies in marked content and elsewhere; empty without a mark on most words."""
+        if self.mark <= 0:
             return {}
         out: dict[str, list[int]] = {}
         inside = False
         for e in self.events:
             if e[0] == "w":
-                inside = bool(self.home(e[4])) and not self._noise(e[4])
+                inside = self.marked[e[4]] and not self.noise[e[4]]
             row = out.setdefault(self.kind(e), [0, 0])
             row[not inside] += e[2] if e[0] == "w" else 1
         return {k: (a, b) for k, (a, b) in out.items()}
 
     def main_text(self, weights: dict[str, float]) -> str:
-        marked = any(e[0] in CONTENT and not self._noise(k) for k, e in enumerate(self.elements))
-
-        def outside(element: int) -> bool:
-            return self._noise(element) or marked and not self.home(element)
-
-        best, low, high, total, start = 0.0, 0, -1, 0.0, 0
-        for i, e in enumerate(self.events):
+        scores = [0.0] * len(self.blocks)
+        gains = []
+        for e in self.events:
             if e[0] == "t":
-                gain = weights.get(self.kind(e), -1.0)
-            elif outside(e[4]):
-                gain = _NOISE_WORD * e[2]
+                gains.append(weights.get(self.kind(e), -1.0))
+            elif self.noise[e[4]]:
+                gains.append(_NOISE_WORD * e[2])
             else:
-                gain = weights.get(self.kind(e), 1.0) * e[2]
+                against = max(0.0, -self.mark if self.marked[e[4]] else self.mark)
+                gains.append((weights.get(self.kind(e), 1.0) - against) * e[2])
+                scores[e[1]] += gains[-1]
+        best, low, high, total, start = 0.0, 0, -1, 0.0, 0
+        for i, gain in enumerate(gains):
             if total <= 0:
                 total, start = 0.0, i
             total += gain
             if total > best:
                 best, low, high = total, start, i
-        core = sorted({e[1] for e in self.events[low : high + 1] if e[0] == "w" and not outside(e[4])})
+        core = sorted({e[1] for e, g in zip(self.events[low : high + 1], gains[low : high + 1]) if e[0] == "w" and g > 0})
         if not core:
             return ""
         paths = [self.above(self.blocks[b][0]) for b in core]
@@ -256,11 +300,13 @@ class Page:
         if around:
             chosen = [b for b in range(len(self.blocks)) if around in self.above(self.blocks[b][0])]
         else:  # nothing holds the region but the page
-            chosen = list(range(core[0], core[-1] + 1))
+            homes = {self.home(p[-1]) for p in paths} - {0}
+            whole = [b for b in range(len(self.blocks)) if self.home(self.blocks[b][0]) in homes]
+            chosen = sorted({*range(core[0], core[-1] + 1), *whole})
             while chosen[0] and self.elements[self.blocks[chosen[0] - 1][0]][0] in HEADINGS:
                 chosen.insert(0, chosen[0] - 1)
-        chosen = [b for b in chosen if not outside(self.blocks[b][0])]
-        lines = [" ".join("".join(self.blocks[b][1]).split()) for b in chosen]
+        chosen = [b for b in chosen if not self.noise[self.blocks[b][0]] and scores[b] >= 0]
+        lines = [self._line(b) for b in chosen]
         return "\n".join(x for x in lines if x)
 
 

@@ -102,6 +102,24 @@ def test_main_text(page):
     assert text_of(page) == TEXT
 
 
+LONG = "<p>" + "</p><p>".join(f"Paragraph {i} tells a long story in many plain words." for i in range(12)) + "</p>"
+CARD = "<article><h3>Read next</h3><p>A teaser of a few words</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div><div>{LONG}</div><div class='related'>{CARD}{CARD}</div></div>",
+        f"<div><div>{LONG}</div><div>{CARD}{CARD}</div></div>",
+        f"<article>{LONG}</article><div class='comments'>{CARD}{CARD}</div>",
+        f"<form action='p.aspx'><nav><a>Home</a></nav><div>{LONG}</div></form>",
+    ],
+)
+def test_marks_are_evidence_not_a_gate(page):
+    assert text_of(page) == html_text.Page(LONG).main_text({})
+    assert len(text_of(page).split("\n")) == 12
+
+
 def test_blocks_references_and_white_space():
     page = "<article><h1>A\n  title</h1><p>x<b>y</b>&nbsp;&#233;<br>z<p>&lt;b&gt; &am<ul><li>1<li>2</ul><table><tr><td>c<td>d</table></article>"
     assert text_of(page) == "A title\nxy é z\n<b> &am\n1\n2\nc\nd"
