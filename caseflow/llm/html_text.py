@@ -322,9 +322,9 @@ def learned(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
 
 
 def fit_weights(pages: DataFrame, id_col: str, html_col: str, most: int = LABELLED) -> dict[str, float]:
-    """Weights from the labelled pages among ``most`` pages, first in a fixed pseudo-random order."""
+    """Weights from ``most`` pages with article or main, first in a fixed pseudo-random order."""
     known = pages.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
-    sample = C.bounded_rows(known, "id", most).where(F.col("html").rlike("(?i)<(article|main)[\\s>]")).select("html")
+    sample = C.bounded_rows(known.where(F.col("html").rlike("(?i)<(article|main)[\\s>]")), "id", most).select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -142,6 +142,16 @@ def test_pages_table(spark):
     assert html_text.extract(df.where("page_id > 9")).count() == 0
 
 
+def test_the_bound_is_on_labelled_pages(spark):
+    """Few pages are marked: all of them are learned from, as they are fewer than the bound."""
+    rows = [(i, "<div><p>a b c d</p></div>") for i in range(900)]
+    rows += [(i, "<nav><a>x y</a></nav><article><p>a b c d</p></article>") for i in range(900, 910)]
+    df = spark.createDataFrame(rows, "page_id bigint, html string")
+    marked = df.where("page_id >= 900")
+    assert html_text.fit_weights(df, "page_id", "html", most=20) == html_text.fit_weights(marked, "page_id", "html", most=20)
+    assert html_text.fit_weights(df, "page_id", "html", most=20)["word in p"] > 0
+
+
 def test_weights_learn_signs():
     counts = {"word in p": (900, 20), "link in li": (5, 300), "<nav": (0, 40), "<p": (80, 4)}
     w = html_text.learned(counts)
