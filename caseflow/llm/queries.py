@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from caseflow.llm import (
+    alignment,
     chat,
     common as C,
     decontamination,
+    hard_negatives,
     html_text,
     language,
     line_dedup,
@@ -17,6 +19,7 @@ from caseflow.llm import (
     packing,
     quality,
     toxicity,
+    url_filter,
 )
 
 QUERIES: dict = {}
@@ -190,6 +193,75 @@ def op2_main_text(spark: SparkSession, d: str) -> DataFrame:
     return got.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, d: str) -> DataFrame:
+    got = alignment.align(C.table(spark, d, "documents"), ["doc_id"])
+    got = got.withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)))
+    got = alignment.score(got.drop("groups"))
+    return got.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query(
+    "op12_hard_negatives",
+    """
+WITH q AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM q a JOIN q b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
+positive AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+  n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) <= 5""",
+)
+def op12_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    rows = C.table(spark, d, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved))
+
+
+#: Host, path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query(
+    "op13_url_filter",
+    """
+WITH rules(rule_host, rule_path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+rest AS (
+  SELECT page_id, row_number() OVER () AS n,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hosts AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS given FROM rest),
+parts AS (
+  SELECT n, page_id, translate(given, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(given) + 1), '^[^?#]*') AS path FROM hosts)
+SELECT page_id, host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+  COALESCE(arg_max(verdict, length(rule_host || rule_path)), 'allow') AS verdict
+FROM parts LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+GROUP BY n, page_id, host, path""",
+)
+def op13_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(C.table(spark, d, "pages"), rules, keep=["page_id"])
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     return corpus_pipeline.run(spark, d)
