@@ -13,9 +13,9 @@ other links become rows of (document, pair) and enter the shuffles of pairs.
 
 A piece of a document never leaves its task; arrays of a document hold its *different*
 pairs.  Aligned documents are written once, as counting and scoring both read them: no text
-is encoded twice, and a lost executor costs its own tasks.  The join of pairs with their
-counts carries no hint: Spark broadcasts the counts while they are small, and splits a
-frequent pair's rows beyond that.
+is encoded twice, and a lost executor costs its own tasks.  Pairs meet their counts in a
+merge join at every size, as the table of pairs grows with the corpus; Spark splits the
+rows of a frequent pair.
 
 Edge cases: a null or empty text, and one whose tokens do not spell it (U+2581 in it), has
 no tokens: zeros and no groups; repeated rows count as documents of their own; null ids
@@ -280,7 +280,7 @@ def score(
 
     fast = docs.select("_row", "same_ids", "same_ids_links").mapInArrow(run, "_row bigint, n_best bigint, count_sum bigint")
     links = docs.select("_row", F.explode(F.arrays_zip(F.col("pairs").alias("pair"), F.col("pairs_links").alias("n"))).alias("l"))
-    other = links.select("_row", "l.pair", "l.n").join(counts.where("not same"), "pair")
+    other = links.select("_row", "l.pair", "l.n").join(counts.where("not same").hint("merge"), "pair")
     other = other.select(
         "_row", F.when(F.col("best"), F.col("n")).otherwise(0).alias("n_best"), (F.col("n") * F.col("n_docs")).alias("count_sum")
     )
