@@ -3,20 +3,26 @@
 The question is always: for a case ``(patient, t)``, which records of that
 patient lie in ``[t + a, t + b)``.  Two plans answer it.
 
-*Frame* (the default).  Cases and records of all kinds go through one shuffle by
-(patient, day) and one sort.  A record is sent to each day whose cases can see
-it, the two or three days its windows reach.  Every aggregate is then constant
-work per case:
-
-- counts are differences of two running counts, whose frames only grow;
-- where values are needed, the day's records are packed once into an array, by
-  the same (patient, day), and the two running counts of a case are the ends of
-  its window in that array; on the 5-minute grid the ends follow from the clock.
+*Frame* (the default).  Records of all kinds go through one shuffle by (patient,
+day): a record is sent to each day whose cases can see it, the two or three days
+its windows reach, and the day's records of a kind are packed into one sorted
+array.  Cases are shuffled by the same keys and take their day's packs in a merge
+join.  Every aggregate is then little work per case:
+
+- the ends of a window are found by binary search in the sorted times, so a count
+  is a difference of two places; a count of values that meet a test searches the
+  times of those values, which are sifted once per day;
+- where values are needed, the two ends cut them out of the pack; on the 5-minute
+  grid the ends follow from the clock.
 
 The unit of work is a patient's day, not a patient, so a patient with a third of
 all rows is spread over that patient's days; and a patient-day is bounded, as
 records lie on a 5-minute grid (288 a day).
 
+The patient id stays a plain column from the cases' scan to the result, and the
+records' scans join on it: a later filter on it reaches every scan.  Columns that nobody
+selects are not computed.
+
 *Join*: cases and records meet on (patient, bucket) with the range test on top.
 """
 
@@ -31,7 +37,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from caseflow.config import Observation, Window
 from caseflow.functions import timegrid as tg
 
-_PID, _CHUNK, _US, _KIND, _VAL, _CASE = "_pid", "_chunk", "_us", "_kind", "_val", "_case"
+_PID, _CHUNK, _US, _KIND, _VAL = "_pid", "_chunk", "_us", "_kind", "_val"
+#: Steps of a binary search, halving: enough for 16 million records of a patient-day.
+_HALVES = [1 << k for k in range(23, -1, -1)]
 
 
 @dataclass(frozen=True)
@@ -56,11 +64,11 @@ class FrameReader:
     once however often it is used.
     """
 
-    def __init__(self, order, reach: dict[str, tuple[int, int]]):
-        self._order = order
+    def __init__(self, reach: dict[str, tuple[int, int]]):
         self.reach = reach
         self.frame: dict[str, Column] = {}
-        self.packs: list[str] = []
+        self.values: list[str] = []
+        self.times: dict[str, tuple[str, Callable[[Column], Column] | None]] = {}
         self.grids: list[tuple[str, bool]] = []
         self.stages: list[dict[str, Column]] = []
         self.window: Window | None = None
@@ -70,50 +78,49 @@ class FrameReader:
         """Case time in microseconds."""
         return F.col(_US)
 
-    def _running(self, what: str, test: Column, bound: int) -> Column:
-        """Rows that meet a test from the start of the day's rows up to ``bound``."""
+    def _before(self, kind: str, label: str, test, bound: int) -> Column:
+        """Records of a kind, whose value meets a test, that lie before the case time plus ``bound``."""
+        what = f"{kind}_{label}"
+        self.times.setdefault(what, (kind, test))
         name = f"_w_{what}_to_{bound}"
         if name not in self.frame:
-            frame = self._order.rangeBetween(W.unboundedPreceding, bound)
-            self.frame[name] = F.count(F.when(test, 1)).over(frame)
-        return F.col(name)
+            self.frame[name] = F.expr(
+                f"aggregate(`_h_{what}`, 0, (n, half) -> "
+                f"if(get(`_t_{what}`, n + half - 1) < {_US} + {bound}, n + half, n))"
+            )
+        return F.coalesce(F.col(name), F.lit(0))
 
-    def _ends(self, kind: str) -> tuple[Column, Column]:
+    def _ends(self, kind: str, label: str = "all", test=None) -> tuple[Column, Column]:
         """Records of the kind before the window, and up to its end."""
-        test, what = F.col(_KIND) == kind, f"n_{kind}_all"
-        return (
-            self._running(what, test, self.window.lo - 1),
-            self._running(what, test, self.window.hi - 1),
-        )
+        ends = (self._before(kind, label, test, bound) for bound in (self.window.lo, self.window.hi))
+        return tuple(ends)
 
     def count(self, kind: str, label: str = "all", test: Callable[[Column], Column] | None = None):
         """Records of a kind in the window whose value meets a test."""
-        hit = F.col(_KIND) == kind
         if test is not None:
-            hit = hit & test(F.col(_VAL))
-        what = f"n_{kind}_{label}"
-        before = self._running(what, hit, self.window.lo - 1)
-        return self._running(what, hit, self.window.hi - 1) - before
+            self._pack(kind)
+        before, upto = self._ends(kind, label, test)
+        return (upto - before).cast("bigint")
 
     def _pack(self, kind: str) -> Column:
-        if kind not in self.packs:
-            self.packs.append(kind)
+        if kind not in self.values:
+            self.values.append(kind)
         return F.col(f"_p_{kind}")
 
     def first(self, kind: str) -> Column:
         """Time of the first record in the window; null when none."""
         before, upto = self._ends(kind)
-        return F.when(upto > before, F.get(self._pack(kind), before.cast("int"))["u"])
+        return F.when(upto > before, F.get(_times(f"{kind}_all"), before))
 
     def last(self, kind: str) -> Column:
         """Time of the last record in the window; null when none."""
         before, upto = self._ends(kind)
-        return F.when(upto > before, F.get(self._pack(kind), (upto - 1).cast("int"))["u"])
+        return F.when(upto > before, F.get(_times(f"{kind}_all"), upto - 1))
 
     def collect(self, kind: str) -> Column:
         """Records in the window as an array of (u, v) by time."""
         before, upto = self._ends(kind)
-        whole = F.slice(self._pack(kind), (before + 1).cast("int"), (upto - before).cast("int"))
+        whole = F.slice(self._pack(kind), before + 1, upto - before)
         return F.coalesce(whole, F.array().cast("array<struct<u:bigint,v:double>>"))
 
     def off_grid(self) -> Column:
@@ -141,6 +148,10 @@ class FrameReader:
         return F.col(full)
 
 
+def _times(what: str) -> Column:
+    return F.col(f"_t_{what}")
+
+
 def grid_base(reach: tuple[int, int]) -> int:
     """Offset from the start of a day to the first slot its cases can see."""
     return reach[0] // tg.STEP * tg.STEP
@@ -243,16 +254,42 @@ def observe_frame(
     value = value or {}
     needed = combine_requirements(features)
     reach = {k: (min(w.lo for w in ws), max(w.hi for w in ws)) for k, ws in needed.items()}
-    order = W.partitionBy(_PID, _CHUNK).orderBy(_US)
-    reader = FrameReader(order, reach)
-    out = []
+    reader = FrameReader(reach)
+    out = {}
     for f in features:
         reader.window = f.window
-        out += [c.alias(f"{f.name}-{k}") for k, c in f.columns(reader).items()]
+        out |= {f"{f.name}-{k}": c for k, c in f.columns(reader).items()}
+
+    lost = F.raise_error(F.lit(f"a case without {pid} or {obs}")).cast("bigint")
+    at = F.coalesce(F.when(F.col(pid).isNotNull(), tg.micros(obs)), lost)
+    rows = cases.withColumn(_US, at).withColumn(_CHUNK, tg.bucket(_US))
+    kinds = list(dict.fromkeys([*reader.values, *[kind for kind, _ in reader.times.values()]]))
+    if kinds:
+        packs = _packs({k: records[k] for k in kinds}, reader, pid, time, value)
+        packs = packs.withColumnsRenamed({_PID: "_of", _CHUNK: "_seen"})
+        met = (F.col(pid) == F.col("_of")) & (F.col(_CHUNK) == F.col("_seen"))
+        # Both sides are partitioned by (patient, day), so a merge join moves nothing; a
+        # broadcast would be chosen on the size of the files, and arrays outgrow that.
+        rows = rows.join(packs.hint("merge"), met, "left")
+    for level in [reader.frame, *reader.stages]:
+        rows = rows.withColumns(level)
+    # A frame of one row, over the partitioning at hand: a later filter on a feature stays
+    # above it, where its computation is not unfolded again, one on the patient passes,
+    # and a column that is not selected goes with all that is computed for it alone.
+    own = W.partitionBy(pid, _CHUNK).rowsBetween(0, 0)
+    made = [F.first(c).over(own).alias(n) for n, c in out.items()]
+    return rows.select(*[F.col(c) for c in cases.columns], *made)
+
+
+def _packs(
+    records: dict[str, DataFrame], reader: FrameReader, pid: str, time: str, value: dict[str, str]
+) -> DataFrame:
+    """One row per patient and day with the records its cases can see: for each kind whose
+    values are read a sorted array of (u, v), sorted times for each search, grids."""
 
     def sent(kind: str) -> DataFrame:
         """A kind's records, once for each day whose cases can see them."""
-        lo, hi = reach[kind]
+        lo, hi = reader.reach[kind]
         us = tg.micros(time)
         val = F.col(value[kind]) if kind in value else F.lit(None)
         seen_by = F.sequence(tg.bucket(us - F.lit(hi - 1)), tg.bucket(us - F.lit(lo)))
@@ -265,40 +302,28 @@ def observe_frame(
             val.cast("double").alias(_VAL),
         )
 
-    lost = F.raise_error(F.lit(f"a case without {pid} or {obs}"))
-    at = F.coalesce(tg.micros(obs), lost.cast("bigint"))
-    rows = cases.select(
-        F.coalesce(F.col(pid), lost.cast(cases.schema[pid].dataType)).alias(_PID),
-        tg.bucket(at).alias(_CHUNK),
-        at.alias(_US),
-        F.lit(None).cast("string").alias(_KIND),
-        F.lit(None).cast("double").alias(_VAL),
-        F.struct(*cases.columns).alias(_CASE),
-    )
-    for kind in {k for k in needed if any(f"_w_n_{k}_" in n for n in reader.frame)}:
-        rows = rows.unionByName(sent(kind), allowMissingColumns=True)
-    counted = [c.alias(n) for n, c in reader.frame.items()]
-    framed = rows.select(_PID, _CHUNK, _US, _KIND, _CASE, *counted).where(F.col(_KIND).isNull())
-    if reader.packs:
-        packed = reduce(DataFrame.unionByName, [sent(k) for k in reader.packs])
-        pair = F.struct(F.col(_US).alias("u"), F.col(_VAL).alias("v"))
-        packs = packed.groupBy(_PID, _CHUNK).agg(
-            *[
-                F.sort_array(F.collect_list(F.when(F.col(_KIND) == k, pair))).alias(f"_p_{k}")
-                for k in reader.packs
-            ]
-        )
-        for kind, whole in reader.grids:
-            packs = _with_grid(packs, kind, whole, reach[kind])
-        # Both sides are partitioned by (patient, day), so a merge join moves nothing; a
-        # broadcast would be chosen on the size of the files, and arrays outgrow that.
-        framed = framed.join(packs.hint("merge"), [_PID, _CHUNK], "left")
-    for level in reader.stages:
-        framed = framed.withColumns(level)
-    # As a generated row, the columns stop a later filter from being pushed into
-    # their own computation, where every stage would be unfolded again.
-    made = F.inline_outer(F.array(F.struct(*out)))
-    return framed.select(*[F.col(_CASE)[c].alias(c) for c in cases.columns], made)
+    def sorted_list(kind: str, item: Column) -> Column:
+        return F.sort_array(F.collect_list(F.when(F.col(_KIND) == kind, item)))
+
+    pair = F.struct(F.col(_US).alias("u"), F.col(_VAL).alias("v"))
+    lists = [sorted_list(k, pair).alias(f"_p_{k}") for k in reader.values]
+    for what, (kind, _) in reader.times.items():
+        if kind not in reader.values:
+            lists.append(sorted_list(kind, F.col(_US)).alias(f"_t_{what}"))
+    packs = reduce(DataFrame.unionByName, [sent(k) for k in records]).groupBy(_PID, _CHUNK).agg(*lists)
+    sifted = {}
+    for what, (kind, test) in reader.times.items():
+        if kind in reader.values:
+            hits = F.col(f"_p_{kind}")
+            if test is not None:
+                hits = F.filter(hits, lambda x: test(x["v"]))
+            sifted[f"_t_{what}"] = F.transform(hits, lambda x: x["u"])
+    halves = f"array({', '.join(map(str, _HALVES))})"
+    steps = {f"_h_{w}": F.expr(f"filter({halves}, half -> half <= size(`_t_{w}`))") for w in reader.times}
+    packs = packs.withColumns(sifted).withColumns(steps)
+    for kind, whole in reader.grids:
+        packs = _with_grid(packs, kind, whole, reader.reach[kind])
+    return packs
 
 
 def observe_join(

@@ -185,3 +185,52 @@ def test_a_case_without_an_id_is_an_error(spark):
     cases = make(spark, [(None, BASE)], False).withColumnRenamed("DT_s", "ObsDT")
     with pytest.raises(Exception, match="a case without PID or ObsDT"):
         X.attach_features(cases, {X.CGM: make(spark, [(1, BASE, 1.0)])}, ["CGMValueBf24h"]).collect()
+
+
+@pytest.fixture(scope="module")
+def stored_tables(spark, dense, tmp_path_factory):
+    recs, cases = dense
+    at = tmp_path_factory.mktemp("frame")
+    make(spark, recs).write.parquet(f"{at}/recs")
+    make(spark, cases, value=False).withColumnRenamed("DT_s", "ObsDT").write.parquet(f"{at}/cases")
+    return spark.read.parquet(f"{at}/cases"), spark.read.parquet(f"{at}/recs")
+
+
+EVERY = [X.FEATURES[n] for n in ("CGMInfoBf24h", "CGMInfoAf2h", "CGMValueBf24h", "DMEInfoBf24h", "DMEInfoAf2h")]
+
+
+def test_a_patient_filter_reaches_every_scan(spark, stored_tables):
+    c, r = stored_tables
+    out = O.observe_frame(c, {k: r for k in (X.CGM, X.MED, X.EXERCISE, X.DIET)}, EVERY, value={X.CGM: "BGValue"})
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    plan = _plan(out.where("PID = 7"))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [x for x in plan.splitlines() if "FileScan" in x]
+    assert len(scans) == 5 and all("EqualTo(PID,7)" in x.split("PushedFilters")[1] for x in scans)
+    # one shuffle of all records, one of the cases
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_columns_not_selected_are_not_computed(spark, stored_tables):
+    c, r = stored_tables
+    out = O.observe_frame(c, {k: r for k in (X.CGM, X.MED, X.EXERCISE, X.DIET)}, EVERY, value={X.CGM: "BGValue"})
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    whole, part = _plan(out), _plan(out.select("PID", "ObsDT", "`DMEInfoAf2h-MedRecNum`"))
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert "sort_array(" in whole and "array_repeat" in whole and whole.count("partial_collect_list(") == 4
+    # neither the sorted readings nor grids; only the times of the one kind are listed
+    assert "sort_array(" not in part and "array_repeat" not in part and "BGValue" not in part
+    assert part.count("partial_collect_list(") == 1
+
+
+def test_counts_by_value_search_the_sifted_times(spark):
+    """Ends on and between readings, nulls among values, a day without readings, many kinds of one table."""
+    rows = [(1, BASE + i * STEP, None if i % 5 == 0 else float(i % 3)) for i in range(500)]
+    cases = [(1, BASE + i * 7 * tg.MINUTE) for i in range(400)] + [(2, BASE)]
+    w = Window("w", -50, 17, "min")
+    f = O.Feature("f", w, ("r",), lambda q: {str(k): q.count("r", f"is {k}", lambda v, k=k: v == k) for k in (0, 1, 9)})
+    c = make(spark, cases, False).withColumnRenamed("DT_s", "ObsDT")
+    out = O.observe_frame(c, {"r": make(spark, rows)}, [f], value={"r": "BGValue"})
+    for x in out.withColumn("us", tg.micros("ObsDT")).collect():
+        seen = [v for p, u, v in rows if p == x["PID"] and x["us"] + w.lo <= u < x["us"] + w.hi]
+        assert [x["f-0"], x["f-1"], x["f-9"]] == [seen.count(0.0), seen.count(1.0), 0]
