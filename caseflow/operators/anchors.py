@@ -6,63 +6,105 @@ walks along the timeline, so a patient with very many events must not be one
 unit of work.  The unit is a patient's day:
 
 1.  distinct times of each patient-day are sorted (one shuffle, merged map-side);
-2.  each day is reduced to a step function: for every anchor that may be carried
-    in from the evening before, the anchor that is carried out;
-3.  days that can depend on the evening before are chained through their step
-    functions, a few numbers a day;
-4.  with the carried anchor known, each day lists its anchors (at most one per
-    ``gap``), and every event takes the latest anchor not after it.
+2.  each day is reduced to a step function: for every time that an anchor carried
+    in from the evening before may leave as the day's first anchor, the anchor carried
+    out.  A walk through a day has at most one step per ``gap``, each a binary search;
+3.  days whose first event may still be covered by the evening before form runs.
+    Step functions compose: what two days make of a carried anchor is again a step
+    function, with no more steps than the first day's.  So all prefixes of a run are
+    composed by doubling, two, four, eight days at a time, each round over neighbours
+    at that distance: a row never holds more than a day, and a run of 20 years takes
+    13 rounds;
+4.  with the carried anchor known, each day lists its anchors, and every event takes
+    the latest anchor not after it.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from caseflow.functions import timegrid as tg
+from caseflow.plans.spread import stored
 
-_TRANSFER = T.ArrayType(T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType())]))
+#: Steps of a binary search, halving: enough for 16 million times of a patient-day.
+_HALVES = f"array({', '.join(str(1 << k) for k in range(23, -1, -1))})"
 
 
-def _exits(times: np.ndarray, gap: int) -> np.ndarray:
-    """For each of a day's sorted times, the last anchor of the walk that begins there.
+def _halves(array: str) -> str:
+    """SQL: the steps of a binary search in an array."""
+    return f"filter({_HALVES}, h -> h <= size({array}))"
 
-    The next anchor of each time is found by one search; following them two, four, ...
-    at a time reaches the day's end in a few steps, whatever the number of times.
+
+def _upto(array: str, bound: str, field: str = "", halves: str = "") -> str:
+    """SQL: how many entries of a sorted array are at most ``bound``."""
+    found = f"(n, h) -> if(get({array}, n + h - 1){field} <= {bound}, n + h, n)"
+    return f"aggregate({halves or _halves(array)}, 0, {found})"
+
+
+def _next(anchor: str, gap: int) -> str:
+    """SQL: the anchor after this one in the day's times ``_us``; null when there is none."""
+    return f"get(_us, {_upto('_us', f'{anchor} + {gap}', halves='_halves')})"
+
+
+def _jumps(gap: int) -> str:
+    """SQL: a number for each anchor a day may have."""
+    return f"sequence(1, least({tg.DAY // gap + 1}, size(_us)))"
+
+
+def _day_steps(days: DataFrame, gap: int) -> DataFrame:
+    """Adds _first, _last and the step function _step, an array of (s, e): a carried anchor that
+    leaves s as the day's first anchor is followed by e as the day's last."""
+    starts = f"slice(_us, 1, {_upto('_us', f'_day * {tg.DAY} + {gap - 1}', halves='_halves')} + 1)"
+    walk = f"aggregate({_jumps(gap)}, s, (a, i) -> coalesce({_next('a', gap)}, a))"
+    return days.withColumn("_halves", F.expr(_halves("_us"))).select(
+        "*",
+        F.get("_us", F.lit(0)).alias("_first"),
+        F.element_at("_us", -1).alias("_last"),
+        F.expr(f"transform({starts}, s -> struct(s, {walk} as e))").alias("_step"),
+    )
+
+
+def _applied(step: str, carried: str, gap: int) -> str:
+    """SQL: the anchor carried out of a step function for one carried in."""
+    return f"coalesce(get({step}, {_upto(step, f'{carried} + {gap}', '.s')}).e, {carried})"
+
+
+def _carried(days: DataFrame, key: list[str], gap: int) -> DataFrame:
+    """Adds _carry, the anchor carried into each day; null where none can matter.
+
+    ``days`` is read twice and must be stored.
     """
-    after = np.searchsorted(times, times + gap, side="right")
-    to = np.where(after < len(times), after, np.arange(len(times)))
-    while True:
-        further = to[to]
-        if (further == to).all():
-            return times[to]
-        to = further
-
-
-def _steps(days: DataFrame, key: list[str], gap: int) -> DataFrame:
-    """First and last time and step function of days, from rows (key, _day, _us): for each time
-    that a carried anchor may leave as the day's first anchor, the anchor carried out.  Runs
-    in Arrow batches."""
-    cell = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
-
-    def run(batches):
-        for b in batches:
-            first, last, made = [], [], []
-            for day, us in zip(b.column(len(key)).to_pylist(), b.column(len(key) + 1)):
-                t = us.values.to_numpy(zero_copy_only=False)
-                ends = _exits(t, gap)
-                first.append(int(t[0]))
-                last.append(int(t[-1]))
-                n = int(np.searchsorted(t, day * tg.DAY + gap)) + 1
-                made.append([{"s": s, "e": e} for s, e in zip(t[:n].tolist(), ends[:n].tolist())])
-            cols = [b.column(i) for i in range(len(key) + 1)]
-            cols += [pa.array(first, pa.int64()), pa.array(last, pa.int64()), pa.array(made, cell)]
-            yield pa.RecordBatch.from_arrays(cols, names=[*key, "_day", "_first", "_last", "_step"])
-
-    out = T.StructType([*[days.schema[k] for k in key], days.schema["_day"]])
-    out = out.add("_first", T.LongType()).add("_last", T.LongType()).add("_step", _TRANSFER)
-    return days.select(*key, "_day", "_us").mapInArrow(run, out)
+    by_day = W.partitionBy(*key).orderBy("_day")
+    before = F.lag("_last").over(by_day)
+    d = days.select(*key, "_day", "_first", "_last", "_step")
+    d = d.withColumn("_fresh", before.isNull() | (F.col("_first") > before + F.lit(gap)))
+    # place in its run; the longest run says how often the reach must double
+    place = F.row_number().over(by_day)
+    d = d.withColumn("_n", place).withColumn("_n", F.col("_n") - F.max(F.when(F.col("_fresh"), F.col("_n"))).over(by_day))
+    longest = d.agg(F.max("_n")).first()[0] or 0
+    # _out is known once the composed days reach back to the run's beginning
+    d = d.withColumn("_out", F.when(F.col("_fresh"), F.get("_step", F.lit(0))["e"]))
+    reach = 1
+    while reach <= longest:
+        d = d.withColumn("_back", F.lag(F.struct("_out", "_step"), reach).over(by_day))
+        composed = f"transform(_back._step, p -> struct(p.s, {_applied('_step', 'p.e', gap)} as e))"
+        d = d.withColumns(
+            {
+                "_out": F.expr(f"coalesce(_out, if(_back._out is null, null, {_applied('_step', '_back._out', gap)}))"),
+                "_step": F.expr(f"if(_out is null and _back._out is null, {composed}, _step)"),
+            }
+        )
+        reach *= 2
+    carry = F.when(~F.col("_fresh"), F.lag("_out").over(by_day))
+    return d.select(*key, "_day", carry.alias("_carry"))
+
+
+def _listed(gap: int) -> Column:
+    """The day's anchors in order, the carried one first."""
+    add = f"""(x, i) -> if(x.a is null, x, struct({_next('x.a', gap)} as a, concat(x.l, array(x.a)) as l))"""
+    begin = "struct(coalesce(_carry, _first) as a, cast(array() as array<bigint>) as l)"
+    more = f"concat(array(0), {_jumps(gap)})"
+    return F.expr(f"aggregate({more}, {begin}, {add}, x -> x.l)")
 
 
 def densify_anchor(
@@ -72,51 +114,9 @@ def densify_anchor(
     gap = gap_minutes * tg.MINUTE
     d = df.withColumn("_day", tg.bucket(F.col(time_us)))
     days = d.groupBy(*key, "_day").agg(F.sort_array(F.collect_set(time_us)).alias("_us"))
-
-    slim = _steps(days, key, gap)
-    by_day = W.partitionBy(*key).orderBy("_day")
-    before = F.lag("_last").over(by_day)
-    slim = slim.withColumn(
-        "_fresh", (before.isNull() | (F.col("_first") > before + F.lit(gap))).cast("int")
-    )
-    slim = slim.withColumn("_run", F.sum("_fresh").over(by_day))
-    runs = slim.groupBy(*key, "_run").agg(
-        F.sort_array(F.collect_list(F.struct("_day", "_step"))).alias("_days"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-
-    def carry_on(acc, x):
-        step = F.filter(
-            x["_step"], lambda p: acc["c"].isNull() | (p["s"] > acc["c"] + F.lit(gap))
-        )
-        out_c = F.when(F.size(step) > 0, F.get(step, F.lit(0))["e"]).otherwise(acc["c"])
-        seen = F.concat(acc["l"], F.array(F.struct(x["_day"].alias("_day"), acc["c"].alias("_carry"))))
-        return F.struct(out_c.alias("c"), seen.alias("l"))
-
-    empty = F.struct(
-        F.lit(None).cast("bigint").alias("c"),
-        F.array().cast("array<struct<_day:bigint,_carry:bigint>>").alias("l"),
-    )
-    carried = (
-        runs.where("_n > 1")
-        .select(*key, F.inline(F.aggregate("_days", empty, carry_on, lambda a: a["l"])))
-        .where("_carry is not null")
-    )
-
-    def list_anchors(acc, x):
-        new = acc["a"].isNull() | (x > acc["a"] + F.lit(gap))
-        return F.struct(
-            F.when(new, x).otherwise(acc["a"]).alias("a"),
-            F.when(new, F.concat(acc["l"], F.array(x))).otherwise(acc["l"]).alias("l"),
-        )
-
-    carry = F.col("_carry")
-    seed = F.struct(
-        carry.alias("a"),
-        F.when(carry.isNull(), F.array().cast("array<bigint>")).otherwise(F.array(carry)).alias("l"),
-    )
-    anchors = days.join(carried, [*key, "_day"], "left").select(
-        *key, "_day", F.aggregate("_us", seed, list_anchors, lambda a: a["l"]).alias("_anchors")
-    )
-    latest = F.array_max(F.filter("_anchors", lambda a: a <= F.col(time_us)))
+    days = stored(_day_steps(days, gap), "anchor-days")
+    carried = _carried(days, key, gap).where("_carry is not null")
+    anchors = days.drop("_step").join(carried, [*key, "_day"], "left")
+    anchors = anchors.select(*key, "_day", _listed(gap).alias("_anchors"))
+    latest = F.expr(f"get(_anchors, {_upto('_anchors', f'`{time_us}`')} - 1)")
     return d.join(anchors, [*key, "_day"]).withColumn(out, latest).drop("_day", "_anchors")

@@ -171,3 +171,30 @@ def test_record_ids_of_a_hot_patient(spark):
     out = R.assign_record_id(df, "rid").toPandas().sort_values(["PID", "us"])
     assert out["rid"].tolist() == [f"1-{i:07d}" for i in range(2000)] + ["2-0000000"]
     assert R.assign_record_id(out_df := df.withColumn("rid", F.lit("x")), "rid") is out_df
+
+
+@pytest.mark.parametrize("every, days", [(20, 20 * 365), (1441, 300), (30, 3)])
+def test_an_unbroken_patient_is_composed_day_by_day(spark, every, days):
+    """20 years without a quiet evening, on a grid whose walks never meet: exact, and no row of a
+    composed table is longer than a day's own steps."""
+    n = days * 24 * 60 // every
+    df = spark.range(n).select(F.lit(1).alias("p"), (F.col("id") * every * MIN + BASE).alias("t"))
+    got = {r["t"]: r["anchor_us"] for r in densify_anchor(df, ["p"], "t").collect()}
+    assert got == brute_anchor([i * every * MIN + BASE for i in range(n)], 31 * MIN)
+
+
+def test_composed_rows_stay_as_long_as_a_day(spark):
+    from caseflow.operators import anchors as A
+
+    gap = 31 * MIN
+    df = spark.range(200 * 288).select(F.lit(1).alias("p"), (F.col("id") * 5 * MIN + BASE).alias("t"))
+    days = df.groupBy("p", F.expr(f"t div {tg.DAY}").alias("_day")).agg(F.sort_array(F.collect_set("t")).alias("_us"))
+    days = SP.stored(A._day_steps(days, gap), "days")
+    assert days.agg(F.max(F.size("_step"))).first()[0] <= 8
+    carried = A._carried(days, ["p"], gap)
+    plan = carried._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and plan.count("Exchange hashpartitioning") == 1
+    want = brute_anchor([i * 5 * MIN + BASE for i in range(200 * 288)], gap)
+    for r in carried.collect():
+        start = r["_day"] * tg.DAY
+        assert r["_carry"] == (None if start == BASE else want[start - 5 * MIN])
