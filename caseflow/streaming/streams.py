@@ -3,21 +3,25 @@
 Watermarks bound the state.  An event later than the watermark is dropped, and
 an event older than its patient's current anchor is its own anchor: the one
 place where a stream and a batch over the same late data may differ.
+
+Anchors and sliding counts are stateful processors (``processors.py``).  Their state lies
+in RocksDB, which Spark asks for; streams built here choose it for their session.
 """
 
 from __future__ import annotations
 
-from typing import Callable, Iterator
+from typing import Callable
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from caseflow.config import BF24H
 from caseflow.functions import timegrid as tg
-from caseflow.operators.features import HIGH, LOW, TINY
 from caseflow.operators.records import localize, resolve_tz
+from caseflow.streaming.processors import Anchors, SlidingInfo
+
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_glucose_record(
@@ -55,6 +59,19 @@ def stream_dedupe(events: DataFrame, keys: list[str], time: str, watermark: str
     return events.withWatermark(time, watermark).dropDuplicatesWithinWatermark(keys)
 
 
+def _processed(events: DataFrame, key: str, time: str, watermark: str, processor, columns: str) -> DataFrame:
+    """Events (key, at_us and others) through a stateful processor, one state per key."""
+    spark = events.sparkSession
+    if "RocksDB" not in spark.conf.get(_STORE):
+        spark.conf.set(_STORE, _ROCKSDB)
+    kind = events.schema[key].dataType.simpleString()
+    return (
+        events.withWatermark(time, watermark)
+        .groupBy(key)
+        .transformWithStateInPandas(processor, f"`{key}` {kind}, {columns}", "Append", "EventTime")
+    )
+
+
 def stream_densify(
     events: DataFrame, key: str, time: str, gap_minutes: int = 31, watermark: str = "1 hour"
 ) -> DataFrame:
@@ -63,39 +80,9 @@ def stream_densify(
     A patient quiet for longer than the gap and the watermark loses its state,
     as its next event is an anchor anyway.
     """
-    gap = gap_minutes * tg.MINUTE
-    kind = events.schema[key].dataType.simpleString()
-
-    def walk(
-        k: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        anchor = state.get[0] if state.exists else None
-        times = sorted(t for b in batches for t in b["_us"].tolist())
-        anchors = []
-        for t in times:
-            if anchor is None or t > anchor + gap:
-                anchor = t
-            anchors.append(anchor if t >= anchor else t)
-        state.update((anchor,))
-        until = anchor // 1000 + 2 * gap // 1000
-        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({key: [k[0]] * len(times), "event_us": times, "anchor_us": anchors})
-
-    return (
-        events.withWatermark(time, watermark)
-        .select(key, time, F.unix_micros(time).alias("_us"))
-        .groupBy(key)
-        .applyInPandasWithState(
-            walk,
-            f"`{key}` {kind}, event_us bigint, anchor_us bigint",
-            "anchor bigint",
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
-    )
+    slim = events.select(key, time, F.unix_micros(time).alias("at_us"))
+    walk = Anchors(key, gap_minutes * tg.MINUTE)
+    return _processed(slim, key, time, watermark, walk, "event_us bigint, anchor_us bigint")
 
 
 def stream_sliding_info(
@@ -107,60 +94,10 @@ def stream_sliding_info(
     watermark of them: what the latest reading still accepted can look back to.  A
     patient quiet for that long loses it.
     """
-    kind = readings.schema[key].dataType.simpleString()
-    lo, hi = BF24H.lo, BF24H.hi
-    delay = int(pd.Timedelta(watermark) // pd.Timedelta("1us"))
-
-    def at_mode(part: np.ndarray) -> int:
-        """Readings at the smallest most frequent value; one below the least reported value is that value."""
-        values, times = np.unique(part, return_counts=True)
-        return int(times.max()) if values[times.argmax()] >= TINY else int((part == TINY).sum())
-
-    def look(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        old_t, old_v = (list(x) for x in state.get) if state.exists else ([], [])
-        new = pd.concat([b[["_us", "_v"]] for b in batches])
-        t = np.array(old_t + new["_us"].tolist(), dtype="int64")
-        v = np.array(old_v + new["_v"].tolist(), dtype="float64")
-        is_new = np.arange(len(t)) >= len(old_t)
-        order = np.argsort(t, kind="stable")
-        t, v, is_new = t[order], v[order], is_new[order]
-        at = np.flatnonzero(is_new)
-        start, end = np.searchsorted(t, t[at] + lo), np.searchsorted(t, t[at] + hi)
-        top = [at_mode(v[a:b]) for a, b in zip(start, end)]
-        n = end - start
-        inside = lambda test: np.diff(np.concatenate([[0], np.cumsum(test)])[np.c_[start, end]], axis=1)[:, 0]
-        keep = t >= t[-1] - delay + lo
-        state.update((t[keep].tolist(), v[keep].tolist()))
-        quiet = (int(t[-1]) + delay - lo) // 1000
-        state.setTimeoutTimestamp(max(quiet, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(
-            {
-                key: [k[0]] * len(at),
-                "obs_us": t[at],
-                "ModePercent": np.round(np.maximum(np.array(top) / n, TINY), 6),
-                "ZeroPercent": np.round(inside(v == 0) / n, 6),
-                "Geq400Percent": np.round(inside(v >= HIGH) / n, 6),
-                "Leq20Percent": np.round(inside(v <= LOW) / n, 6),
-                "RecNum": n,
-            }
-        )
-
-    return (
-        readings.withWatermark(time, watermark)
-        .select(key, time, F.unix_micros(time).alias("_us"), F.col(value).cast("double").alias("_v"))
-        .groupBy(key)
-        .applyInPandasWithState(
-            look,
-            f"`{key}` {kind}, obs_us bigint, ModePercent double, ZeroPercent double, "
-            "Geq400Percent double, Leq20Percent double, RecNum bigint",
-            "t array<bigint>, v array<double>",
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
-    )
+    slim = readings.select(key, time, F.unix_micros(time).alias("at_us"), F.col(value).cast("double").alias("reading"))
+    look = SlidingInfo(key, BF24H.lo, BF24H.hi, int(pd.Timedelta(watermark) // pd.Timedelta("1us")))
+    columns = "obs_us bigint, ModePercent double, ZeroPercent double, Geq400Percent double, Leq20Percent double, RecNum bigint"
+    return _processed(slim, key, time, watermark, look, columns)
 
 
 def stream_static_enrich(events: DataFrame, patients: DataFrame, key: str) -> DataFrame:
