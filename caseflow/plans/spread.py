@@ -102,6 +102,28 @@ def running(
     return joined.drop(_CHUNK, *[f"{_BASE}_{out}_" for out in totals])
 
 
+def carried(
+    df: DataFrame, order: list[str], values: dict[str, Column], group: list[str], chunk: Column
+) -> DataFrame:
+    """Add the last non-null value of each expression among the rows before this one.
+
+    Rows come in ``order``, unique inside ``group``; ``chunk`` must not decrease along it.  A
+    chunk starts from the last values of the chunks before, one row a chunk.
+    """
+    d = df.withColumn(_CHUNK, chunk)
+    at = F.struct(*order)
+    ends = d.groupBy(*group, _CHUNK).agg(
+        *[F.max_by(e, F.when(e.isNotNull(), at)).alias(f"{_BASE}_{out}") for out, e in values.items()]
+    )
+    before = W.partitionBy(*group).orderBy(_CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    for out in values:
+        ends = ends.withColumn(f"{_BASE}_{out}", F.last(f"{_BASE}_{out}", ignorenulls=True).over(before))
+    joined = join_null_safe(d, ends, [*group, _CHUNK])
+    inner = W.partitionBy(*group, _CHUNK).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    seen = {o: F.coalesce(F.last(e, ignorenulls=True).over(inner), F.col(f"{_BASE}_{o}")) for o, e in values.items()}
+    return joined.withColumns(seen).drop(_CHUNK, *[f"{_BASE}_{out}" for out in values])
+
+
 def rank_rows(
     df: DataFrame,
     order: list[str],

@@ -7,6 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from caseflow.plans.spread import scratch_path
+from caseflow.sources import patient_xml
+
 PLACEHOLDER = "$DATA_RAW$"
 PROCESSED = "__processed__"
 
@@ -63,35 +66,18 @@ def scan_patient_xml(
 ) -> dict[str, DataFrame]:
     """Files of ``<patient>`` elements; each section's ``<event>`` list is a table of string attributes.
 
-    Returns ``patient_info`` (id and file path) beside one table per section.  A file
-    that is not well-formed is an error, not a missing patient.
+    Returns ``patient_info`` (id and file path) beside one table per section.  A large file is
+    read by many tasks, once for all sections; one that is not well-formed is an error,
+    not a missing patient.
     """
-    event = {
-        s: T.StructType([T.StructField("_" + a, T.StringType()) for a in attrs])
-        for s, attrs in sections.items()
-    }
-    schema = T.StructType(
-        [T.StructField("_id", T.StringType())]
-        + [
-            T.StructField(s, T.StructType([T.StructField("event", T.ArrayType(e))]))
-            for s, e in event.items()
-        ]
-    )
-    patients = (
-        spark.read.format("xml")
-        .option("rowTag", "patient")
-        .option("mode", "FAILFAST")
-        .option("recursiveFileLookup", "true")
-        .schema(schema)
-        .load(path)
-        .withColumn("file_path", F.col("_metadata.file_path"))
-    )
-    tables = {"patient_info": patients.select(F.col("_id").alias("id"), "file_path")}
+    patients, events = patient_xml.scan(spark, path, sections)
+    path = scratch_path(spark, "xml-events")
+    events.write.partitionBy("section").parquet(path)
+    kept = spark.read.schema(events.schema).parquet(path)
+    tables = {"patient_info": patients}
     for s, attrs in sections.items():
-        rows = patients.select("_id", "file_path", F.explode(F.col(s)["event"]).alias("e"))
-        tables[s] = rows.select(
-            F.col("_id").alias("id"), "file_path", *[F.col("e")["_" + a].alias(a) for a in attrs]
-        )
+        rows = kept.where(F.col("section") == s)
+        tables[s] = rows.select("id", "file_path", *[patient_xml.attribute(F.col("tag"), a).alias(a) for a in attrs])
     return tables
 
 
