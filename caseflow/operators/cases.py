@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from caseflow.config import Rule, Stage
 from caseflow.functions.rng import uniform
-from caseflow.plans.spread import rank_rows, row_order, stored
+from caseflow.plans.selection import first_rows
+from caseflow.plans.spread import row_order, stored
 from caseflow.sources.store import finished
 
 IDS = ["PID", "ObsDT"]
@@ -99,8 +100,8 @@ def restrict_cases(cases: DataFrame, given: DataFrame, ids: list[str] = IDS) ->
 
 
 def limit_cases(cases: DataFrame, n: int, ids: list[str] = IDS) -> DataFrame:
-    """First n cases in id order, by distributed rank."""
-    return rank_rows(cases, row_order(cases, ids), "_rank").where(F.col("_rank") <= n).drop("_rank")
+    """First n cases in id order; nothing is ranked or written for the others."""
+    return first_rows(cases, row_order(cases, ids), n)
 
 
 def record_summary(

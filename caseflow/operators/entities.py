@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from caseflow.plans.selection import rows_between
 from caseflow.plans.spread import rank_rows
 
 
@@ -46,14 +47,9 @@ def entity_slice(df: DataFrame, key: str, part: str) -> DataFrame:
     i, n = [int(x) for x in part.split("/")]
     if not 1 <= i <= n:
         raise ValueError(f"slice {part!r} is not within 1..n")
-    ranked = rank_rows(df, [key], "_rank")
-    total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
-    size = F.floor(F.col("_total") / F.lit(n))
-    low, high = size * (i - 1), size * i
-    keep = F.col("_rank") > low
-    if i < n:
-        keep = keep & (F.col("_rank") <= high)
-    return ranked.withColumn("_total", total).where(keep).drop("_rank", "_total")
+    total = df.count()
+    size = total // n
+    return rows_between(df, [key], size * (i - 1), size * i if i < n else total)
 
 
 def assign_entity_id(df: DataFrame, key: str, label: int, width: int = 10) -> DataFrame:

@@ -10,6 +10,7 @@ from caseflow.config import Rule
 from caseflow.functions import timegrid as tg
 from caseflow.functions.rng import uniform
 from caseflow.operators.cases import IDS, filter_test
+from caseflow.plans.selection import first_rows
 from caseflow.plans.spread import rank_by_hash, rank_rows, row_order
 
 
@@ -137,5 +138,5 @@ def select_splits(
 
 def sample_n(df: DataFrame, n: int, seed: int, ids: list[str] = IDS) -> DataFrame:
     """n rows at random, exact, without gathering them in one task."""
-    ranked = rank_by_hash(df.withColumn("_u", uniform(ids, seed)), "_u", ids, "_rank")
-    return ranked.where(F.col("_rank") <= n).drop("_u", "_rank")
+    drawn = df.withColumn("_u", uniform(ids, seed))
+    return first_rows(drawn, row_order(drawn, ["_u", *ids]), n).drop("_u")
