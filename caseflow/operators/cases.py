@@ -11,7 +11,7 @@ from caseflow.config import Rule, Stage
 from caseflow.functions.rng import uniform
 from caseflow.plans.selection import first_rows
 from caseflow.plans.spread import row_order, stored
-from caseflow.sources.store import finished
+from caseflow.sources.fingerprint import fingerprint, seal, sealed
 
 IDS = ["PID", "ObsDT"]
 KEEP_SEED = 42
@@ -214,8 +214,10 @@ def run_stages(
     """Cases through tag, filter and feature stages in order.
 
     Filters stay before the features they spare: Catalyst does not move a filter
-    through a window.  With ``folder`` every stage is stored, and a run begins after the
-    last stage that was stored whole.
+    through a window.  With ``folder`` every stage is stored with a fingerprint of all it was
+    made of: the cases, and arguments, frames and code of this stage and those before.  A run
+    begins after the last stage that holds what it should; a changed rule, input or
+    function, or a write that was cut off, is computed again from there on.
     """
     if folder is None:
         for s in stages:
@@ -223,11 +225,15 @@ def run_stages(
         return cases
     spark = cases.sparkSession
     paths = [f"{folder.rstrip('/')}/stage-{i:03d}-{s.kind}" for i, s in enumerate(stages)]
-    done = max((i + 1 for i, path in enumerate(paths) if finished(spark, path)), default=0)
+    marks = [fingerprint(cases)]
+    for s in stages:
+        marks.append(fingerprint(marks[-1], s.kind, s.args, steps[s.kind]))
+    done = max((i + 1 for i, path in enumerate(paths) if sealed(spark, path) == marks[i + 1]), default=0)
     if done:
         cases = spark.read.parquet(paths[done - 1])
-    for s, path in list(zip(stages, paths))[done:]:
+    for s, path, mark in list(zip(stages, paths, marks[1:]))[done:]:
         steps[s.kind](cases, **s.args).write.mode("overwrite").parquet(path)
+        seal(spark, path, mark)
         cases = spark.read.parquet(path)
     return cases
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from typing import Callable
+from typing import Any, Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from caseflow.sources.fingerprint import fingerprint, seal, sealed
+
 
 def finished(spark: SparkSession, path: str) -> bool:
     """Whether a finished write lies at ``path`` (the commit marker is written last)."""
@@ -20,13 +22,19 @@ def load_or_compute(
     path: str,
     compute: Callable[[], DataFrame],
     partition_by: list[str] | None = None,
+    holds: Any = None,
 ) -> DataFrame:
     """Read a stored table, or compute and store it.
 
-    A write that was cut off has no commit marker and is done again.
+    ``holds`` says what the table is made of: its inputs, parameters and functions.  A table
+    that was made of something else is computed again.  Without it any finished table
+    counts.  A write that was cut off has no commit marker and is done again.
     """
-    if not finished(spark, path):
+    mark = None if holds is None else fingerprint(holds, partition_by)
+    if (sealed(spark, path) != mark) if mark else not finished(spark, path):
         compute().write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+        if mark:
+            seal(spark, path, mark)
     return spark.read.parquet(path)
 
 
@@ -36,9 +44,12 @@ def load_missing(
     ids: list[str],
     folder: str,
     features: dict[str, Callable[[DataFrame], DataFrame]],
+    holds: dict[str, Any] | None = None,
 ) -> DataFrame:
     """Cases with one column group per feature function, stored per function.
 
+    A function has a folder for each state of its code, the frames it closes over, and
+    what ``holds`` adds by name (its parameters); so a changed one is computed anew.
     Stored rows are joined on the case ids, null meeting null; the distinct ids without a
     stored row are found by anti join, computed and written to a folder of their own.
     Only folders whose write was committed are read, so a run that stops half-way leaves
@@ -46,7 +57,7 @@ def load_missing(
     """
     out = cases
     for name, fn in features.items():
-        path = f"{folder.rstrip('/')}/{name}"
+        path = f"{folder.rstrip('/')}/{name}/{fingerprint(fn, (holds or {}).get(name))[:32]}"
         todo = cases.select(*ids).distinct()
         runs = _runs(spark, path)
         if runs:
