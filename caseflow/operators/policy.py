@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from typing import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any, Callable, Iterator
 
 import pandas as pd
 from pyspark.ml import Pipeline
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from caseflow.functions.rng import uniform
 from caseflow.operators.evaluate import score_percentile
-from caseflow.sources.store import finished
+from caseflow.sources.fingerprint import fingerprint, remove, seal, sealed
 
 # Fixed value: probabilities below this count as zero.
 SMALLEST = 1e-07
@@ -226,18 +227,40 @@ def batch_infer_stored(
     outputs: str,
     path: str,
     parts: int = 4,
+    together: int = 2,
+    holds: Any = None,
 ) -> DataFrame:
-    """Batch inference written part by part; a run that stopped goes on at the first missing part.
+    """Batch inference with a commit per part; a run that stopped goes on with the missing parts.
 
-    A part holds the rows whose id hash falls to it, so parts are even and repeatable.
+    What is upstream runs once: its rows are written with their part, by the hash of their id, so
+    parts are even and repeatable.  Each part is then read alone, scored and committed,
+    ``together`` of them at a time.  A run that goes on reads the rows that are there.  ``holds``
+    names what the results are made of (model version, inputs); results of something
+    else are made again.  The written rows go when all parts are done.
     """
-    spark = df.sparkSession
-    for i in range(parts):
-        where = f"{path.rstrip('/')}/part={i}"
-        if not finished(spark, where):
-            mine = df.where(F.pmod(F.xxhash64(*ids), F.lit(parts)) == i)
-            batch_infer(mine, load_model, ids, outputs).write.mode("overwrite").parquet(where)
-    return spark.read.parquet(*[f"{path.rstrip('/')}/part={i}" for i in range(parts)])
+    spark, top = df.sparkSession, path.rstrip("/")
+    where = [f"{top}/part={i}" for i in range(parts)]
+    mark = fingerprint(holds, parts, ids, outputs)
+    missing = [i for i in range(parts) if sealed(spark, where[i]) != mark]
+    if missing:
+        inputs = f"{top}/inputs"
+        tagged = df.withColumn("_part", F.pmod(F.xxhash64(*ids), F.lit(parts)))
+        if sealed(spark, inputs) != mark:
+            tagged.where(F.col("_part").isin(missing)).write.mode("overwrite").partitionBy("_part").parquet(inputs)
+            seal(spark, inputs, mark)
+        rows = spark.read.schema(tagged.schema).parquet(inputs)
+
+        def one(i: int) -> None:
+            mine = rows.where(F.col("_part") == i).drop("_part")
+            batch_infer(mine, load_model, ids, outputs).write.mode("overwrite").parquet(where[i])
+            seal(spark, where[i], mark)
+
+        with ThreadPoolExecutor(max(1, together)) as pool:
+            done = [pool.submit(one, i) for i in missing]
+        for d in done:
+            d.result()
+        remove(spark, inputs)
+    return spark.read.parquet(*where)
 
 
 def mask_future_events(df: DataFrame, col: str, n: int) -> DataFrame:

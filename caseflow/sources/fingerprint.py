@@ -146,3 +146,9 @@ def sealed(spark: SparkSession, path: str) -> str | None:
         return bytes(stream.readAllBytes()).decode()
     finally:
         stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    at, fs = _place(spark, path)
+    fs.delete(at, True)

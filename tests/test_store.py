@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseflow.config import Stage
-from caseflow.operators import cases as C
+from caseflow.operators import cases as C, policy as M
 from caseflow.sources import fingerprint as FP, store as ST
 
 
@@ -119,3 +119,45 @@ def test_tables_and_features_follow_their_parameters(spark, cases, tmp_path):
 
     assert [feature(2), feature(2), feature(3), feature(2)] == [380, 380, 570, 380]
     assert ran == [2, 5, 20, 20]
+
+
+def test_upstream_of_stored_inference_runs_once(spark, tmp_path):
+    """A model that fails on one part: the others are committed, and the next run scores that part alone,
+    without running what is upstream again."""
+    upstream, scored = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            upstream.add(len(b))
+            yield b
+
+    df = spark.range(1000).mapInPandas(count, "id bigint")
+    part = {r["id"]: r["p"] for r in spark.range(1000).select("id", F.expr("pmod(xxhash64(id), 4)").alias("p")).collect()}
+
+    def load(fails):
+        def model():
+            def predict(b):
+                import pandas as pd
+
+                if fails and any(part[i] == 2 for i in b["id"]):
+                    raise ValueError("no part 2 today")
+                scored.add(len(b))
+                return pd.DataFrame({"twice": b["id"] * 2})
+
+            return predict
+
+        return model
+
+    path = str(tmp_path / "inf")
+    with pytest.raises(Exception, match="no part 2 today"):
+        M.batch_infer_stored(df, load(True), ["id"], "twice bigint", path, parts=4)
+    sizes = [sum(p == k for p in part.values()) for k in range(4)]
+    assert upstream.value == 1000 and scored.value == 1000 - sizes[2]
+    out = M.batch_infer_stored(df, load(False), ["id"], "twice bigint", path, parts=4)
+    assert sorted(map(tuple, out.collect())) == [(i, 2 * i) for i in range(1000)]
+    assert upstream.value == 1000 and scored.value == 1000
+    assert not os.path.exists(os.path.join(path, "inputs"))
+    again = M.batch_infer_stored(df, load(True), ["id"], "twice bigint", path, parts=4)
+    assert again.count() == 1000 and scored.value == 1000
+    M.batch_infer_stored(df, load(False), ["id"], "twice bigint", path, parts=4, holds="another model")
+    assert scored.value == 2000 and upstream.value == 2000
