@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from caseflow.plans.spread import running
+from caseflow.plans.spread import running, stored
 
 TOP = 30
+#: Tokens of a vocabulary that is searched row by row instead of joined.
+SHORT_VOCAB = 500
 
 
 def _pairs(attrs: list[str]) -> Column:
@@ -149,13 +150,47 @@ def build_vocab(spark: SparkSession, kind: str, spec) -> list[str]:
     return sorted(r["t"] for r in found)
 
 
-def tokens_to_ids(df: DataFrame, feat: str, vocab: list[str], keep: list[str]) -> DataFrame:
-    """Token ids ``<feat>_tid`` (place in the vocabulary) and weights; unknown tokens raise."""
-    entries = reduce(list.__add__, [[F.lit(t), F.lit(i)] for i, t in enumerate(vocab)])
-    ids = F.create_map(*entries)
-    lost = lambda x: F.raise_error(F.concat(F.lit("token not in vocabulary: "), x)).cast("int")
-    tid = F.transform(f"{feat}_tkn", lambda x: F.coalesce(ids[x], lost(x)))
-    return df.select(*keep, tid.alias(f"{feat}_tid"), f"{feat}_wgt")
+def vocab_table(spark: SparkSession, vocab: list[str]) -> DataFrame:
+    """(token, tid) of a vocabulary; a token that occurs twice is an error."""
+    if len(set(vocab)) != len(vocab):
+        raise ValueError("a token occurs twice in the vocabulary")
+    table = pa.table({"token": pa.array(vocab, pa.string()), "tid": pa.array(range(len(vocab)), pa.int32())})
+    return spark.createDataFrame(table)
+
+
+def tokens_to_ids(df: DataFrame, feat: str, vocab: list[str] | DataFrame, keep: list[str]) -> DataFrame:
+    """Token ids ``<feat>_tid`` (place in the vocabulary) and weights; unknown tokens raise.
+
+    A short vocabulary is searched row by row.  A long one, or one given as a table (token,
+    tid), is joined: tokens leave their rows with their places, meet the table, and are
+    laid back in order by the row they came from.
+    """
+    tokens = f"{feat}_tkn"
+    lost = lambda x: F.raise_error(F.concat(F.lit("token not in vocabulary: "), x)).cast("int")
+    if not isinstance(vocab, DataFrame):
+        table = vocab_table(df.sparkSession, vocab)
+        if len(vocab) <= SHORT_VOCAB:
+            order = sorted(range(len(vocab)), key=lambda i: vocab[i].encode())
+            known, ids = F.lit([vocab[i] for i in order]), F.lit(order)
+            steps = F.lit([1 << k for k in range(len(vocab).bit_length() - 1, -1, -1)])
+
+            def place(x: Column) -> Column:
+                step = lambda n, half: F.when(F.get(known, n + half - 1) <= x, n + half).otherwise(n)
+                return F.aggregate(steps, F.lit(0), step) - 1
+
+            found = F.transform(tokens, lambda x: F.struct(x.alias("x"), place(x).alias("i")))
+            tid = F.transform(found, lambda f: F.when(F.get(known, f["i"]) == f["x"], F.get(ids, f["i"])).otherwise(lost(f["x"])))
+            return df.select(*keep, tid.cast("array<int>").alias(f"{feat}_tid"), f"{feat}_wgt")
+        vocab = table
+    rows = df.select(*keep, tokens, f"{feat}_wgt").withColumn("_row", F.monotonically_increasing_id())
+    rows = stored(rows, "tokens").repartition("_row")
+    apart = rows.select("_row", F.posexplode(tokens).alias("_at", "_token"))
+    met = apart.join(vocab.select(F.col("token").alias("_token"), F.col("tid").alias("_tid")), "_token", "left")
+    placed = F.struct("_at", F.coalesce("_tid", lost(F.coalesce("_token", F.lit("null")))).alias("_tid"))
+    back = met.groupBy("_row").agg(F.sort_array(F.collect_list(placed)).alias("_ids"))
+    none = F.when(F.col(tokens).isNotNull(), F.array().cast("array<int>"))
+    tid = F.coalesce(F.transform("_ids", lambda x: x["_tid"]), none)
+    return rows.join(back, "_row", "left").select(*keep, tid.alias(f"{feat}_tid"), f"{feat}_wgt")
 
 
 def describe_category(df: DataFrame, attrs: list[str]) -> DataFrame:
