@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from caseflow.functions import timegrid as tg
 from caseflow.operators.anchors import densify_anchor
 from caseflow.operators.shaping import first_value, ordered_join
-from caseflow.plans.spread import previous_time, rank_rows, row_order, running
+from caseflow.plans.spread import join_null_safe, previous_time, rank_rows, row_order, running, stored
 
 # Time formats met in raw tables, the time at or before which a
 # clock was unset, the offset (minutes) from which a value is invalid, and the
@@ -24,6 +24,8 @@ TIME_FORMATS = [
 UNSET_CLOCK = "2010-01-01 00:00:00"
 INVALID_OFFSET = 1000
 EXERCISE_MINUTES = (5, 120)
+#: Rows of one key that meet in one place of a join.
+CELL = 20_000
 
 
 def eligible_entities(human: DataFrame, names: list[str]) -> DataFrame:
@@ -36,14 +38,48 @@ def restrict_to_entities(raw: DataFrame, human: DataFrame, key: str) -> DataFram
     return raw.join(human.select(key), key, "left_semi")
 
 
-def merge_raws(raws: list[DataFrame], key: str | list[str]) -> DataFrame:
+def merge_raws(raws: list[DataFrame], key: str | list[str], cell: int = CELL) -> DataFrame:
     """Raw tables of one record joined on the patient, rows of either side kept.
 
     On the patient alone, tables with many rows of a patient on both sides give every pair
     of them: that is the rule's meaning.  Where a record allows it, give further keys (a day,
     an entry id) to keep the pairs of a busy patient apart.
+
+    A key with more than ``cell`` rows on a side is dealt out on both: its rows fall into
+    slices of about that size, every slice of the one side meets every slice of the other
+    in a cell of its own, and rows without a partner are spread without copies.
     """
-    return reduce(lambda a, b: a.join(b, key, "full_outer"), raws)
+    keys = [key] if isinstance(key, str) else list(key)
+    return reduce(lambda a, b: _outer_join(a, b, keys, cell), raws)
+
+
+def _outer_join(left: DataFrame, right: DataFrame, keys: list[str], cell: int) -> DataFrame:
+    marked = [d.select(*keys, F.lit(l).alias("_l"), F.lit(1 - l).alias("_r")) for d, l in ((left, 1), (right, 0))]
+    busy = marked[0].unionByName(marked[1]).groupBy(*keys).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    busy = busy.where((F.col("_l") > cell) | (F.col("_r") > cell))
+    busy = stored(busy, "busy-keys")
+    if busy.isEmpty():
+        return left.join(right, keys, "full_outer")
+    # a null key has no partner, however many rows have it
+    partner = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]) & (F.col("_l") > 0) & (F.col("_r") > 0)
+    slices = lambda n: F.greatest(F.ceil(F.col(n) / cell), F.lit(1)).cast("int")
+    busy = busy.select(*keys, partner.alias("_split"), slices("_l").alias("_ls"), slices("_r").alias("_rs"))
+
+    def dealt(d: DataFrame, own: str, other: str, mine: str, theirs: str, here: str) -> DataFrame:
+        """Rows with their slice, once for each slice of the other side."""
+        same = F.xxhash64(*[f"`{f.name}`" for f in d.schema.fields if "map<" not in f.dataType.simpleString()])
+        d = join_null_safe(d, busy, keys, "left")
+        copies = F.when(F.col("_split"), F.col(other) - 1).otherwise(0)
+        d = d.withColumn(mine, F.pmod(same, F.coalesce(own, F.lit(1))).cast("int"))
+        d = d.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.coalesce(copies, F.lit(0)))))
+        return d.withColumn(here, F.coalesce("_split", F.lit(False))).drop("_split", "_ls", "_rs")
+
+    a = dealt(left, "_ls", "_rs", "_i", "_j", "_a")
+    b = dealt(right, "_rs", "_ls", "_j", "_i", "_b")
+    joined = a.join(b, [*keys, "_i", "_j"], "full_outer")
+    # of a key that was split both sides exist: a slice that meets an empty one is no lone row
+    alone = (F.col("_a") & F.col("_b").isNull()) | (F.col("_b") & F.col("_a").isNull())
+    return joined.where(~F.coalesce(alone, F.lit(False))).drop("_i", "_j", "_a", "_b")
 
 
 def parse_mixed_ts(col: Column) -> Column:

@@ -405,6 +405,25 @@ def d3(spark, d):
     return R.merge_raws([o, c], "PatientID")
 
 
+@query(
+    "d3b_merge_raws_busy",
+    """SELECT "PatientID", event_id, o_orderkey
+       FROM (SELECT CASE WHEN event_id % 100 = 0 THEN 7 WHEN event_id % 50 = 1 THEN NULL ELSE user_id + 20 END AS "PatientID", event_id FROM events)
+       FULL OUTER JOIN (SELECT CASE WHEN o_orderkey % 100 = 0 THEN 7 WHEN o_orderkey % 50 = 1 THEN NULL ELSE o_custkey END AS "PatientID",
+             o_orderkey FROM orders) USING ("PatientID")""",
+)
+def d3b(spark, d):
+    """Many rows of a patient on both sides, one patient busier than all others, null ids without partner."""
+
+    def busy(df, row, own):
+        hot = F.when(F.col(row) % 100 == 0, 7).when(F.col(row) % 50 == 1, F.lit(None)).otherwise(own)
+        return df.select(hot.cast("bigint").alias("PatientID"), row)
+
+    e = busy(table(spark, d, "events"), "event_id", F.col("user_id") + 20)
+    o = busy(table(spark, d, "orders"), "o_orderkey", F.col("o_custkey"))
+    return R.merge_raws([e, o], "PatientID", cell=30)
+
+
 @query(
     "d4_parse_mixed_ts",
     """SELECT event_id, CASE event_id % 4 WHEN 0 THEN ts WHEN 1 THEN date_trunc('second', ts)
