@@ -12,7 +12,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from caseflow.plans.spread import join_null_safe, running
+from caseflow.plans.spread import join_null_safe, running, stored
 
 # Glucose regions by upper bound (the first two exclude it).
 REGIONS = ["VeryLow", "Low", "TIR", "High", "VeryHigh"]
@@ -328,9 +328,12 @@ def _curve(df: DataFrame, label: str, score: str, group: list[str]) -> DataFrame
 
 def roc_curve(df: DataFrame, label: str, score: str, group: list[str] | None = None) -> DataFrame:
     """False and true positive rate at each distinct score, all points kept."""
-    c = _curve(df, label, score, list(group or []))
+    return _roc(_curve(df, label, score, list(group or [])), list(group or []))
+
+
+def _roc(c: DataFrame, group: list[str]) -> DataFrame:
     return c.select(
-        *(group or []),
+        *group,
         F.col("score").alias("threshold"),
         F.when(F.col("rows") > F.col("positives"), (F.col("pp") - F.col("tp")) / (F.col("rows") - F.col("positives"))).alias("fpr"),
         F.when(F.col("positives") > 0, F.col("tp") / F.col("positives")).alias("tpr"),
@@ -339,9 +342,12 @@ def roc_curve(df: DataFrame, label: str, score: str, group: list[str] | None = N
 
 def pr_curve(df: DataFrame, label: str, score: str, group: list[str] | None = None) -> DataFrame:
     """Precision and recall at each distinct score, all points kept."""
-    c = _curve(df, label, score, list(group or []))
+    return _pr(_curve(df, label, score, list(group or [])), list(group or []))
+
+
+def _pr(c: DataFrame, group: list[str]) -> DataFrame:
     return c.select(
-        *(group or []),
+        *group,
         F.col("score").alias("threshold"),
         (F.col("tp") / F.col("pp")).alias("precision"),
         F.when(F.col("positives") > 0, F.col("tp") / F.col("positives")).alias("recall"),
@@ -362,11 +368,18 @@ def threshold_table(
     threshold are the sums over the levels from it on.
     """
     group = list(group or [])
+    rows = df.where(F.col(score).isNotNull()).select(
+        *group, F.col(score).alias("score"), F.lit(1).alias("n"), (F.col(label) == 1).cast("int").alias("pos")
+    )
+    return _thresholds(rows, step, group)
+
+
+def _thresholds(counts: DataFrame, step: float, group: list[str]) -> DataFrame:
     levels = _levels(step, 1 + step)
     lines = F.array(*[F.lit(x) for x in levels])
-    reached = F.size(F.filter(lines, lambda t: t <= F.col(score)))
-    at = df.where(F.col(score).isNotNull()).groupBy(*group, reached.alias("_level")).agg(
-        F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col(label) == 1, 1)).alias("_p")
+    reached = F.size(F.filter(lines, lambda t: t <= F.col("score")))
+    at = counts.groupBy(*group, reached.alias("_level")).agg(
+        F.sum("n").alias("_n"), F.coalesce(F.sum("pos"), F.lit(0)).alias("_p")
     )
     cells = at.select(
         *group,
@@ -391,14 +404,25 @@ def score_band_table(
 ) -> DataFrame:
     """Binary summary of each score band ``[s, s + step)``, 0 samples where it has no rows; a score
     of 1 is in none."""
+    d = _banded(df, score, step)
+    found = binary_summary(d, label, score, [*(group or []), "band"])
+    groups = df.select(*group).distinct() if group else df.sparkSession.range(1).select()
+    return _every_band(groups, found, step, list(group or []))
+
+
+def _banded(df: DataFrame, score: str, step: float) -> DataFrame:
+    """Rows whose score lies in a band, with its number."""
     levels = _levels(step, 1.0)
     lines = F.array(*[F.lit(x) for x in levels])
-    band = F.size(F.filter(lines, lambda t: t <= F.col(score))) - 1
     d = df.where((F.col(score) >= levels[0]) & (F.col(score) < round(levels[-1] + step, 3)))
-    found = binary_summary(d.withColumn("band", band), label, score, [*(group or []), "band"])
-    groups = df.select(*group).distinct() if group else df.sparkSession.range(1).select()
+    return d.withColumn("band", F.size(F.filter(lines, lambda t: t <= F.col(score))) - 1)
+
+
+def _every_band(groups: DataFrame, found: DataFrame, step: float, group: list[str]) -> DataFrame:
+    """The summary of every band of every group, with 0 samples where it has no rows."""
+    levels = _levels(step, 1.0)
     bands = groups.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(len(levels) - 1))))
-    out = join_null_safe(bands, found, [*(group or []), "band"], "left")
+    out = join_null_safe(bands, found, [*group, "band"], "left")
     out = out.fillna(0, ["SampleNum", "RealPosNum"])
     name = F.create_map(
         *[
@@ -422,12 +446,17 @@ def nth_group(
         known, [score, *tie], {"cum_n": F.lit(1).cast("bigint"), "cum_pos": positive}, by
     )
     d = _attach(ranked, ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), by)
-    size, extra = F.floor(F.col("_n") / F.lit(n)), F.col("_n") % F.lit(n)
+    return d.withColumn("group", _nth(F.col("cum_n"), F.col("_n"), n)).drop("_n")
+
+
+def _nth(rank: Column, rows: Column, n: int) -> Column:
+    """The equal-count group of a rank among so many rows; the first groups are larger by one."""
+    size, extra = F.floor(rows / F.lit(n)), rows % F.lit(n)
     big = extra * (size + 1)
-    group = F.when(F.col("cum_n") <= big, F.ceil(F.col("cum_n") / (size + 1))).otherwise(
-        extra + F.ceil((F.col("cum_n") - big) / F.greatest(size, F.lit(1)))
+    group = F.when(rank <= big, F.ceil(rank / (size + 1))).otherwise(
+        extra + F.ceil((rank - big) / F.greatest(size, F.lit(1)))
     )
-    return d.withColumn("group", group.cast("int")).drop("_n")
+    return group.cast("int")
 
 
 def _group_counts(grouped: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
@@ -456,7 +485,10 @@ def bottom_top_tables(
     Distinct scores per group, not rows, are copied to the at most n + 1 sets they belong to.
     """
     by = list(by or [])
-    counts = _group_counts(nth_group(df, label, score, n, tie, by), label, score, by)
+    return _bottom_top(_group_counts(nth_group(df, label, score, n, tie, by), label, score, by), n, by)
+
+
+def _bottom_top(counts: DataFrame, n: int, by: list[str]) -> DataFrame:
     g = F.col("group")
     sets = F.concat(
         F.transform(F.sequence(g, F.lit(n)), lambda k: F.struct(F.lit("Btm").alias("side"), k.alias("k"))),
@@ -484,20 +516,68 @@ def report_by_subgroup(df: DataFrame, label: str, score: str, subgroups: list[li
 def tables_by_subgroup(
     df: DataFrame, label: str, score: str, subgroups: list[list[str]], tie: list[str], n: int = 10
 ) -> dict[str, DataFrame]:
-    """The whole report of every subgroup of every set, a table per part."""
-    need = list(dict.fromkeys([label, score, *tie, *[c for s in subgroups for c in s]]))
-    d, by = subgroup_sets(df.select(*need), subgroups), ["set_name", "set_value"]
+    """The whole report of every subgroup of every set, a table per part.
+
+    What is upstream runs once: the needed columns are written, counted by subgroup columns
+    and score, and only these counts are copied to the sets and ranked, once.  All tables
+    are read from the ranked counts.  Rows are looked at again only where one score lies
+    across a border of equal-count groups, and ``tie`` must say which of them go where.
+    """
+    cols = list(dict.fromkeys(c for s in subgroups for c in s))
+    by = ["set_name", "set_value"]
+    real = F.coalesce((F.col(label) == 1).cast("bigint"), F.lit(0))
+    rows = df.select(*cols, F.col(score).alias("_score"), real.alias("_pos"), F.struct(*tie).alias("_tie"))
+    rows = stored(rows, "report-rows")
+    slim = rows.where("_score is not null")
+    counts = slim.groupBy(*cols, "_score").agg(F.count(F.lit(1)).alias("_n"), F.sum("_pos").alias("_pos"))
+    counts = subgroup_sets(counts, subgroups).groupBy(*by, F.col("_score").alias("score")).agg(
+        F.sum("_n").alias("n"), F.sum("_pos").alias("pos")
+    )
+    ranked = running(counts, ["score"], {"cum_n": F.col("n"), "cum_pos": F.col("pos")}, by)
+    total = ranked.groupBy(*by).agg(F.sum("n").alias("rows"), F.sum("pos").alias("positives"))
+    ranked = stored(join_null_safe(ranked, total, by), "report-ranks")
+
+    curve = ranked.withColumns(
+        {"pp": F.col("rows") - F.col("cum_n") + F.col("n"), "tp": F.col("positives") - F.col("cum_pos") + F.col("pos")}
+    )
+    plain = ranked.drop("rows", "positives")
+    banded = _summarise(_banded(plain, "score", 0.05), [*by, "band"])
+    every = subgroup_sets(rows.select(*cols).distinct() if cols else rows.limit(1), subgroups)
+    groups = stored(_groups_of_counts(ranked, slim, subgroups, by, n), "report-groups")
     return {
-        "summary": binary_summary(d, label, score, by),
-        "roc": roc_curve(d, label, score, by),
-        "pr": pr_curve(d, label, score, by),
-        "thresholds": threshold_table(d, label, score, group=by),
-        "bands": score_band_table(d, label, score, group=by),
-        "groups": nth_group_table(d, label, score, tie, n, by),
-        "bottom_top": bottom_top_tables(d, label, score, tie, n, by),
+        "summary": _summarise(plain, by),
+        "roc": _roc(curve, by),
+        "pr": _pr(curve, by),
+        "thresholds": _thresholds(plain, 0.05, by),
+        "bands": _every_band(every.select(*by).distinct(), banded, 0.05, by),
+        "groups": _summarise(groups, [*by, "group"]),
+        "bottom_top": _bottom_top(groups, n, by),
     }
 
 
+def _groups_of_counts(ranked: DataFrame, slim: DataFrame, subgroups: list[list[str]], by: list[str], n: int) -> DataFrame:
+    """Ranked counts per equal-count group; scores that lie across a border are split by rows."""
+    before = F.col("cum_n") - F.col("n")
+    ends = ranked.withColumn("group", _nth(before + 1, F.col("rows"), n))
+    ends = ends.withColumn("_last", _nth(F.col("cum_n"), F.col("rows"), n))
+    whole = ends.where(F.col("group") == F.col("_last")).select(*by, "group", "score", "n", "pos", "cum_n", "cum_pos")
+    across = ends.where(F.col("group") < F.col("_last")).select(
+        *by, "score", "rows", before.alias("_n0"), (F.col("cum_pos") - F.col("pos")).alias("_p0")
+    )
+    across = stored(across, "report-borders")
+    if across.isEmpty():
+        return whole
+    mine = subgroup_sets(slim, subgroups).select(*by, F.col("_score").alias("score"), F.col("_pos").alias("pos"), "_tie")
+    mine = join_null_safe(mine, across, [*by, "score"])
+    at = running(mine, ["_tie"], {"_r": F.lit(1).cast("bigint"), "_p": F.col("pos")}, [*by, "score"])
+    at = at.withColumns({"cum_n": F.col("_n0") + F.col("_r"), "cum_pos": F.col("_p0") + F.col("_p")})
+    at = at.withColumn("group", _nth(F.col("cum_n"), F.col("rows"), n))
+    parts = at.groupBy(*by, "group", "score").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("pos").alias("pos"), F.max("cum_n").alias("cum_n"), F.max("cum_pos").alias("cum_pos")
+    )
+    return whole.unionByName(parts)
+
+
 def score_percentile(df: DataFrame, ref: DataFrame, score: str, out: str = "percentile") -> DataFrame:
     """Percentile of a score within reference scores: (reference scores below + 0.5) / n.
 
