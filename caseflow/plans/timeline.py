@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from typing import Callable
+from typing import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caseflow.config import Cohort, Rule, Stage
 from caseflow.operators import cases as C, entities as H, features as X, records as R
 from caseflow.operators import sequences as Q, tokens as T
+from caseflow.plans.spread import row_order
 from caseflow.sources import readers as RD
 
 # Hooks a user may replace, by kind: source readers, record builders, tokenizers,
@@ -72,6 +74,53 @@ def per_patient_batch(
     return sent.groupBy(key, "_day").applyInPandas(lambda pdf: fn(pdf.drop(columns="_day")), schema)
 
 
+def walk_patients(
+    df: DataFrame,
+    key: str,
+    step: Callable,
+    schema: str,
+    order: list[str] | str = "DT_s",
+    begin: Callable = lambda patient: None,
+    end: Callable | None = None,
+) -> DataFrame:
+    """A user's pandas function over whole patients, in order, a stretch of rows at a time.
+
+    Rows are dealt out by patient and sorted inside the tasks by Spark, which spills; equal
+    keys of the order follow the other columns.  A patient is then read as a stream:
+    ``state = begin(patient)``, for each stretch ``rows, state = step(rows, state)``, and
+    ``rows = end(patient, state)``.  ``step`` and ``end`` may return None for no rows.  What
+    is in memory is a stretch and the state, however long the patient's history; where stretches
+    are cut is Spark's choice, so ``step`` must carry in its state all it needs of the rows
+    before.  A null patient is a patient.
+    """
+    by = [order] if isinstance(order, str) else list(order)
+    dealt = df.repartition(F.col(key)).sortWithinPartitions(key, *row_order(df, by))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        patient, state, walking = None, None, False
+
+        def left():
+            rows = end(patient, state) if walking and end else None
+            return [] if rows is None else [rows]
+
+        for b in batches:
+            ids = b[key]
+            missing = ids.isna()
+            other = (ids != ids.shift()) & ~(missing & missing.shift(fill_value=False))
+            cuts = [*other.to_numpy().nonzero()[0].tolist(), len(b)]
+            for at, to in zip(sorted({0, *cuts[:-1]}), sorted({*cuts} - {0})):
+                own = None if missing.iloc[at] else ids.iloc[at]
+                if not walking or own != patient:
+                    yield from left()
+                    patient, state, walking = own, begin(own), True
+                rows, state = step(b.iloc[at:to].reset_index(drop=True), state)
+                if rows is not None and len(rows):
+                    yield rows
+        yield from left()
+
+    return dealt.mapInPandas(run, schema)
+
+
 def read_sources(spark: SparkSession, wanted: dict[str, tuple[str, dict]]) -> dict[str, DataFrame]:
     """Raw tables by name, each read by the source hook named for it with its arguments."""
     return {name: hook("source", kind)(spark, **args) for name, (kind, args) in wanted.items()}
