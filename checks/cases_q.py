@@ -481,6 +481,28 @@ def u2(spark, d):
     return out.withColumn("total", F.round("total", 4))
 
 
+@query(
+    "u2b_user_record_whole_history",
+    f"""WITH {REC} SELECT "PID", "DT_s", row_number() OVER w AS place, round(max("BGValue") OVER w, 6) AS highest
+        FROM cgm WINDOW w AS (PARTITION BY "PID" ORDER BY "DT_s" ROWS UNBOUNDED PRECEDING)""",
+)
+def u2b(spark, d):
+    """A hook that needs all of a patient's history: the place of a record and the highest value so far."""
+
+    def climb(rows, state):
+        place, top = state
+        out = rows[["PID", "DT_s"]].assign(place=range(place + 1, place + 1 + len(rows)))
+        out["highest"] = rows["BGValue"].cummax().clip(lower=top)
+        return out, (place + len(rows), float(out["highest"].iloc[-1]))
+
+    def hook(df):
+        return TL.walk_patients(df, "PID", climb, "PID bigint, DT_s timestamp_ntz, place bigint, highest double", begin=lambda p: (0, float("-inf")))
+
+    TL.register("record", "climb", hook)
+    out = TL.hook("record", "climb")(record(spark, d, X.CGM))
+    return out.withColumn("highest", F.round("highest", 6))
+
+
 @query(
     "u1_user_source",
     """SELECT c_custkey AS "PatientID", c_acctbal AS "BGValue" FROM customer""",

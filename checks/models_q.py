@@ -151,6 +151,33 @@ def e3b(spark, d):
     return E.seq_report(_metrics(spark, d), ["near_rMSE", "far_MAE"], [["label"], []])
 
 
+def _interval_sql() -> str:
+    """Student t bounds by the expansion of the quantile in 1/degrees of freedom, exact to 1e-8 from 40 on."""
+    z, d = 1.959963984540054, "(n - 1)"
+    terms = [
+        (z**3 + z) / 4,
+        (5 * z**5 + 16 * z**3 + 3 * z) / 96,
+        (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+        (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160,
+    ]
+    t = f"({z}::DOUBLE + " + " + ".join(f"{c}::DOUBLE / power({d}, {k})" for k, c in enumerate(terms, 1)) + ")"
+    parts = []
+    for m in ("near_rMSE", "far_MAE"):
+        for name, val, gb in (("label", "CAST(label AS VARCHAR)", "GROUP BY label"), ("", "''", "")):
+            parts.append(
+                f"""SELECT '{name}' AS set_name, {val} AS set_value, '{m}' AS metric, count("{m}") AS n, avg("{m}") AS mean,
+                stddev_samp("{m}") / sqrt(count("{m}")) AS sem FROM metrics {gb}"""
+            )
+    made = _metrics_sql() + ", r AS (" + " UNION ALL ".join(parts) + ")"
+    return f"""{made} SELECT set_name, set_value, metric, n, round(mean - {t} * sem, 5) AS ci_lower, round(mean + {t} * sem, 5) AS ci_upper FROM r"""
+
+
+@query("e3c_seq_report_bounds", _interval_sql())
+def e3c(spark, d):
+    out = E.seq_report(_metrics(spark, d), ["near_rMSE", "far_MAE"], [["label"], []])
+    return out.drop("mean", "sem").withColumns({c: F.round(c, 5) for c in ("ci_lower", "ci_upper")})
+
+
 # ---------------------------------------------------------------- binary
 
 
@@ -271,6 +298,26 @@ def e11c(spark, d):
     return _tables(spark, d)["groups"]
 
 
+@query(
+    "e11d_thresholds_by_subgroup",
+    f"""WITH {SUBS}, l AS (SELECT round(i * 0.05::DOUBLE, 3) AS threshold FROM (SELECT unnest(range(21)) AS i)),
+        t AS (SELECT set_name, set_value, threshold, count(*) AS n, sum(y)::BIGINT AS pos,
+              COALESCE(sum(y) FILTER (WHERE s >= threshold), 0)::BIGINT AS tp, count(*) FILTER (WHERE s >= threshold) AS pp
+              FROM subs, l GROUP BY 1, 2, 3)
+        SELECT set_name, set_value, threshold, n AS "SampleNum", {_thr('n', 'pos', 'tp', 'pp')} {_FULL} FROM t""",
+)
+def e11d(spark, d):
+    return _tables(spark, d)["thresholds"]
+
+
+@query(
+    "e11e_summary_of_one_ranking",
+    f"""WITH {SUBS}, {_summary('subs', ['set_name', 'set_value'])}""",
+)
+def e11e(spark, d):
+    return _tables(spark, d)["summary"]
+
+
 @query(
     "e12_score_percentile",
     f"""WITH ev AS (SELECT event_id, floor({uni('event_id', seed=2)} * 500) / 500 AS s FROM events),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F, types as T
 from caseflow.functions import codes, timegrid as tg
 from caseflow.operators import entities as H, records as R, shaping as S, tokens as K
 from caseflow.operators.anchors import densify_anchor
+from caseflow.plans.spread import rank_rows
 from checks.base import LOCAL, PAT, RAW, REC, human, patients, query, raw_events, record, table
 from caseflow.operators.features import CGM
 
@@ -824,6 +825,25 @@ def t6(spark, d):
     return x.select("event_id", F.array_join(F.transform("f_tid", lambda v: v.cast("string")), ",").alias("tid"))
 
 
+@query(
+    "t6b_tokens_to_ids_table",
+    """WITH voc AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS tid FROM
+         (SELECT 'c' || c_custkey AS token FROM customer UNION SELECT 's' || o_orderstatus FROM orders))
+       SELECT o_orderkey, a.tid || ',' || b.tid || ',' || a.tid AS tid
+       FROM orders JOIN voc a ON a.token = 's' || o_orderstatus JOIN voc b ON b.token = 'c' || o_custkey""",
+)
+def t6b(spark, d):
+    """A vocabulary that grows with the data, as a table."""
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    customer, status = (F.concat(F.lit(x), F.col(k).cast("string")) for x, k in (("c", "o_custkey"), ("s", "o_orderstatus")))
+    known = c.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("token"))
+    known = known.unionByName(o.select(status.alias("token"))).distinct()
+    vocab = rank_rows(known, ["token"], "n").select("token", (F.col("n") - 1).cast("int").alias("tid"))
+    x = o.select("o_orderkey", F.array(status, customer, status).alias("f_tkn"), F.array(F.lit(1.0)).alias("f_wgt"))
+    x = K.tokens_to_ids(x, "f", vocab, ["o_orderkey"])
+    return x.select("o_orderkey", F.array_join(F.transform("f_tid", lambda v: v.cast("string")), ",").alias("tid"))
+
+
 def _describe_sql(attr: str, source: str) -> str:
     return f"""SELECT '{attr}' AS attr, count(*) AS count, round(avg({attr}), 2) AS mean, round(stddev_samp({attr}), 2) AS std,
        round(CAST(min({attr}) AS DOUBLE), 2) AS min, round(quantile_cont({attr}, 0.25), 2) AS q25, round(quantile_cont({attr}, 0.5), 2) AS q50,
