@@ -11,12 +11,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from typing import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from caseflow.functions import timegrid as tg
 
 _CHUNK, _BASE = "_chunk", "_base"
+#: Paths handed out by scratch_path, in order.
+_made: list[str] = []
 #: Rows of a chunk, on average: what one task sorts.
 ROWS_PER_CHUNK = 1_000_000
 
@@ -39,7 +43,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    made = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(made)
+    return made
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside the block are removed at its end, so results must be
+    written or collected inside it."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _made[before:]:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+        del _made[before:]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

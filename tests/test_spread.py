@@ -198,3 +198,20 @@ def test_composed_rows_stay_as_long_as_a_day(spark):
     for r in carried.collect():
         start = r["_day"] * tg.DAY
         assert r["_carry"] == (None if start == BASE else want[start - 5 * MIN])
+
+
+def test_scratch_tables_go_when_the_caller_says_so(spark):
+    import os
+
+    folder = SP.shared_dir(spark)
+    kept = SP.scratch_path(spark, "kept")
+    hot_rows(spark, 50).write.parquet(kept)
+    before = set(os.listdir(folder))
+    with SP.scratch(spark):
+        got = SP.rank_rows(hot_rows(spark, 50), ["k", "id"], "r").count()
+        assert set(os.listdir(folder)) > before
+    assert got == 50 and set(os.listdir(folder)) == before and spark.read.parquet(kept).count() == 50
+    with pytest.raises(KeyError), SP.scratch(spark):
+        SP.stored(hot_rows(spark, 5), "x")
+        raise KeyError
+    assert set(os.listdir(folder)) == before
