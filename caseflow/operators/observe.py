@@ -66,6 +66,7 @@ class FrameReader:
 
     def __init__(self, reach: dict[str, tuple[int, int]]):
         self.reach = reach
+        self.bounds: dict[str, Column] = {}
         self.frame: dict[str, Column] = {}
         self.values: list[str] = []
         self.times: dict[str, tuple[str, Callable[[Column], Column] | None]] = {}
@@ -84,10 +85,10 @@ class FrameReader:
         self.times.setdefault(what, (kind, test))
         name = f"_w_{what}_to_{bound}"
         if name not in self.frame:
-            self.frame[name] = F.expr(
-                f"aggregate(`_h_{what}`, 0, (n, half) -> "
-                f"if(get(`_t_{what}`, n + half - 1) < {_US} + {bound}, n + half, n))"
-            )
+            # the last place known to lie before the bound, from none on
+            self.bounds[f"_at_{bound}"] = F.col(_US) + F.lit(bound)
+            step = f"if(get(`_t_{what}`, n + half) < `_at_{bound}`, n + half, n)"
+            self.frame[name] = F.expr(f"aggregate(`_h_{what}`, -1, (n, half) -> {step}) + 1")
         return F.coalesce(F.col(name), F.lit(0))
 
     def _ends(self, kind: str, label: str = "all", test=None) -> tuple[Column, Column]:
@@ -271,7 +272,7 @@ def observe_frame(
         # Both sides are partitioned by (patient, day), so a merge join moves nothing; a
         # broadcast would be chosen on the size of the files, and arrays outgrow that.
         rows = rows.join(packs.hint("merge"), met, "left")
-    for level in [reader.frame, *reader.stages]:
+    for level in [reader.bounds, reader.frame, *reader.stages]:
         rows = rows.withColumns(level)
     # A frame of one row, over the partitioning at hand: a later filter on a feature stays
     # above it, where its computation is not unfolded again, one on the patient passes,
