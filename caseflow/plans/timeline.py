@@ -58,15 +58,18 @@ def hook(kind: str, name: str):
 def per_patient_batch(
     df: DataFrame, key: str, fn: Callable, schema: str, time: str = "DT_s", days_before: int = 0
 ) -> DataFrame:
-    """A user's pandas function of one patient-day, with as many days before it as it asks for.
+    """A user's pandas function of whole patient-days, with as many days before as it asks for.
 
-    ``fn`` gets the rows of the day and of ``days_before`` days before it; with look-back
-    the column ``in_day`` tells the day's own rows apart.  Days without rows of their own
-    are not called for.  A group is never larger than a patient's few days.
+    Without look-back ``fn`` gets many patient-days in one frame, each of them whole and its
+    rows together, so that a call's own cost is shared; it groups by patient and day itself.
+    With it ``fn`` gets one day and ``days_before`` days before it, and the column ``in_day``
+    tells the day's own rows apart; days without rows of their own are not called for.  A
+    frame holds an Arrow batch and a patient's few days at most.
     """
     day = F.to_date(time)
     if not days_before:
-        return df.groupBy(F.col(key), day.alias("_day")).applyInPandas(lambda pdf: fn(pdf), schema)
+        dealt = df.withColumn("_day", day).repartition(F.col(key), F.col("_day")).sortWithinPartitions(key, "_day")
+        return dealt.mapInPandas(lambda batches: _whole_days(batches, key, fn), schema)
     seen_by = F.transform(F.sequence(F.lit(0), F.lit(days_before)), lambda i: F.date_add(day, i.cast("int")))
     sent = df.withColumn("_day", F.explode(seen_by)).withColumn("in_day", F.col("_day") == day)
     own = df.select(F.col(key).alias("_own"), day.alias("_own_day")).distinct()
@@ -74,6 +77,25 @@ def per_patient_batch(
     return sent.groupBy(key, "_day").applyInPandas(lambda pdf: fn(pdf.drop(columns="_day")), schema)
 
 
+def _whole_days(batches: Iterator[pd.DataFrame], key: str, fn: Callable) -> Iterator[pd.DataFrame]:
+    """``fn`` of successive frames cut between patient-days; rows come sorted by key and _day."""
+    rest = None
+    for b in batches:
+        rows = b if rest is None else pd.concat([rest, b], ignore_index=True)
+        if not len(rows):
+            continue
+        last = pd.Series(True, index=rows.index)
+        for c in (key, "_day"):
+            end = rows[c].iloc[-1]
+            last &= rows[c].isna() if pd.isna(end) else rows[c] == end
+        own = rows[~last].drop(columns="_day").reset_index(drop=True)
+        if len(own):
+            yield fn(own)
+        rest = rows[last]
+    if rest is not None:
+        yield fn(rest.drop(columns="_day").reset_index(drop=True))
+
+
 def walk_patients(
     df: DataFrame,
     key: str,
