@@ -63,7 +63,6 @@ def schema_of(spec) -> T.DataType:
     return _LEAF[spec]
 
 
-_EARLIER = schema_of({**_INVITATION, **_PARTS})
 FORM = schema_of(
     {
         "models": ["string"],
@@ -104,30 +103,54 @@ def null_to_empty_list(value: Column, dt: T.DataType) -> Column:
     return value
 
 
-def parse_forms(texts: DataFrame, text: str, keep: list[str] | None = None) -> DataFrame:
+def only(dt: T.DataType, paths: list[str]) -> T.DataType:
+    """The part of a nested type that the dotted paths name; a path to a struct names all of it."""
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(only(dt.elementType, paths))
+    below: dict[str, list[str]] = {}
+    for p in paths:
+        name, _, rest = p.partition(".")
+        below.setdefault(name, []).append(rest)
+    if unknown := set(below) - set(dt.names):
+        raise KeyError(f"not in a form: {sorted(unknown)}")
+    part = lambda f: f.dataType if "" in below[f.name] else only(f.dataType, below[f.name])
+    return T.StructType([T.StructField(f.name, part(f)) for f in dt if f.name in below])
+
+
+def parse_forms(
+    texts: DataFrame, text: str, keep: list[str] | None = None, paths: list[str] | None = None
+) -> DataFrame:
     """Forms parsed and completed; columns are those of :data:`FORM` plus ``keep``.
 
-    The list of earlier invitations is optional: absent means none.
+    With ``paths`` (dotted, as in ``prescriptions.medication.drugName``) only those parts are
+    parsed and completed.  The list of earlier invitations is optional: absent means none.
     """
-    raw = texts.select(*(keep or []), F.from_json(text, FORM).alias("_f"))
+    form = FORM if paths is None else only(FORM, paths)
+    raw = texts.select(*(keep or []), F.from_json(text, form).alias("_f"))
     top = [
         fill_template(F.col("_f")[f.name], f.dataType).alias(f.name)
-        for f in FORM
         if f.name != "previous_invitations"
+        else F.coalesce(F.col("_f")[f.name], F.array().cast(f.dataType)).alias(f.name)
+        for f in form
     ]
-    earlier = F.coalesce(F.col("_f.previous_invitations"), F.array().cast(FORM[-1].dataType))
-    return raw.select(*(keep or []), *top, earlier.alias("previous_invitations"))
+    return raw.select(*(keep or []), *top)
 
 
-def invitations(forms: DataFrame) -> DataFrame:
-    """One row per invitation, current and earlier, with its patient, eligibility and prescriptions."""
+def invitation_rows(texts: DataFrame, text: str, paths: list[str]) -> DataFrame:
+    """One row per invitation, current and earlier; of its patient, eligibility and prescriptions
+    only what ``paths`` name is parsed.  A missing list is null here."""
+    held = [*[f.name for f in FORM["invitation"].dataType], *paths]
+    form = only(FORM, ["invitation", *paths, *[f"previous_invitations.invitation.{p}" for p in held]])
+    parsed = texts.select(F.from_json(text, form).alias("_f"))
+    parts = [f.name for f in form if f.name in _PARTS]
     now = F.struct(
-        *[F.col("invitation")[f.name].alias(f.name) for f in FORM["invitation"].dataType],
-        *[F.col(p) for p in _PARTS],
+        *[F.col("_f.invitation")[f.name].alias(f.name) for f in FORM["invitation"].dataType],
+        *[F.col("_f")[p].alias(p) for p in parts],
     )
-    before = F.transform("previous_invitations", lambda x: fill_template(x["invitation"], _EARLIER))
+    before = F.transform("_f.previous_invitations", lambda x: x["invitation"])
+    all_ = F.concat(F.array(now), F.coalesce(before, F.array().cast(T.ArrayType(form["previous_invitations"].dataType.elementType["invitation"].dataType))))
     # Outer explode: Spark adds no emptiness test, which would parse the JSON again below it.
-    return forms.select(F.explode_outer(F.concat(F.array(now), before)).alias("i")).select("i.*")
+    return parsed.select(F.explode_outer(all_).alias("i")).select("i.*")
 
 
 def invitation_table(inv: DataFrame) -> DataFrame:
@@ -219,25 +242,37 @@ _RX_NULL = [
 ]
 
 
-def flatten_prescriptions(inv: DataFrame) -> DataFrame:
-    """One flat row per prescription of each invitation."""
-    rx = inv.select(
-        "patientId", "invitationId", "invitationDate", "eligibility", F.explode_outer("prescriptions").alias("r")
-    ).where(F.col("r").isNotNull())
-    return rx.select(
-        F.col("patientId").alias("patient_id_encoded"),
-        F.col("invitationId").alias("invitation_id_encoded"),
-        F.col("r.prescriptionId").alias("prescription_id_encoded"),
-        F.col("invitationDate").alias("invitation_date"),
-        *[F.col(f"r.{src}").alias(out) for out, src in _RX_SOURCE.items()],
-        F.substring("r.pharmacy.address.zipCode", 1, 3).alias("pharmacy_zip_code_3"),
-        F.col("eligibility.group").alias("group_id"),
-        F.col("eligibility.rxBin").alias("rx_bin"),
-        F.col("eligibility.rxPcn").alias("rx_pcn"),
-        F.col("eligibility.planName").alias("plan_name"),
-        *[F.lit(None).cast("string").alias(c) for c in _RX_NULL],
-        *[F.lit(0).alias(c) for c in ("CmpRmd", "CmpLearn", "CmpSave")],
-    )
+def prescription_paths(columns: list[str] | None = None) -> list[str]:
+    """What a form's prescription table reads of a form; ``columns`` names the output columns wanted."""
+    wanted = [src for out, src in _RX_SOURCE.items() if columns is None or out in columns]
+    return ["eligibility", *[f"prescriptions.{p}" for p in ("prescriptionId", "pharmacy.address.zipCode", *wanted)]]
+
+
+def flatten_prescriptions(inv: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """One flat row per prescription of each invitation: all columns, or those named.
+
+    A missing list, or a null entry of a list, is one prescription without values."""
+    held = inv.schema["prescriptions"].dataType.elementType
+    one = F.lit(None).cast(held)
+    # Wrapped, so that an entry without values is told from an empty list without building it anew.
+    entries = F.transform(F.coalesce("prescriptions", F.array(one)), lambda x: F.struct(x.alias("r")))
+    rx = inv.select("patientId", "invitationId", "invitationDate", "eligibility", F.explode_outer(entries).alias("e"))
+    rx = rx.where(F.col("e").isNotNull()).select("*", "e.r")
+    made = {
+        "patient_id_encoded": F.col("patientId"),
+        "invitation_id_encoded": F.col("invitationId"),
+        "prescription_id_encoded": F.col("r.prescriptionId"),
+        "invitation_date": F.col("invitationDate"),
+        **{out: F.col(f"r.{src}") for out, src in _RX_SOURCE.items() if columns is None or out in columns},
+        "pharmacy_zip_code_3": F.substring("r.pharmacy.address.zipCode", 1, 3),
+        "group_id": F.col("eligibility.group"),
+        "rx_bin": F.col("eligibility.rxBin"),
+        "rx_pcn": F.col("eligibility.rxPcn"),
+        "plan_name": F.col("eligibility.planName"),
+        **{c: F.lit(None).cast("string") for c in _RX_NULL},
+        **{c: F.lit(0) for c in ("CmpRmd", "CmpLearn", "CmpSave")},
+    }
+    return rx.select(*[made[c].alias(c) for c in columns or made])
 
 
 def age_bucket(age: Column) -> Column:
@@ -283,20 +318,22 @@ def patient_table(inv: DataFrame) -> DataFrame:
     )
 
 
-def scan_invitation_json(texts: DataFrame, text: str, geo: DataFrame | None = None) -> dict[str, DataFrame]:
+def scan_invitation_json(
+    texts: DataFrame, text: str, geo: DataFrame | None = None, rx: list[str] | None = None
+) -> dict[str, DataFrame]:
     """Invitation, prescription and patient tables of a set of forms.
 
-    ``geo`` gives state, timezone and UserTimeZoneOffset by zipcode3 or zipcode5; without
-    it the patients' place is null.
+    Each table parses only the parts of a form it reads; ``rx`` names the prescription
+    columns wanted, if not all.  ``geo`` gives state, timezone and UserTimeZoneOffset by
+    zipcode3 or zipcode5; without it the patients' place is null.
     """
-    inv = invitations(parse_forms(texts, text))
-    patients = patient_table(inv)
+    patients = patient_table(invitation_rows(texts, text, ["patient"]))
     if geo is None:
         patients = patients.withColumns({c: F.lit(None).cast("string") for c in PLACE})
     else:
         patients = zip_timezone(patients, geo, PLACE)
     return {
-        "invitation": invitation_table(inv),
-        "Rx": flatten_prescriptions(inv),
+        "invitation": invitation_table(invitation_rows(texts, text, [])),
+        "Rx": flatten_prescriptions(invitation_rows(texts, text, prescription_paths(rx)), rx),
         "Ptt": patients.withColumnRenamed("state", "state_code"),
     }

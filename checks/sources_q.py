@@ -230,9 +230,10 @@ FORMS = """fm AS (SELECT concat_ws('-', o_orderkey, l_linenumber, l_partkey, l_s
 )
 def s7(spark, d):
     path = scratch_path(spark, "invites")
-    _invitations(spark, d).write.json(path)
-    texts = spark.read.schema("inv_id string, form string").json(path)
-    return FM.scan_invitation_json(texts, "form")["invitation"].select(
+    # Plain JSON lines, compressed; files stay small as a compressed file is read by one task.
+    forms = _invitations(spark, d).select("form")
+    forms.write.option("compression", "gzip").option("maxRecordsPerFile", 200_000).text(path)
+    return FM.scan_invitation_json(spark.read.text(path), "value")["invitation"].select(
         "patient_id_encoded", "invitation_id_encoded", "invitation_date", "invitation_state"
     )
 
@@ -338,7 +339,8 @@ def s14(spark, d):
         CAST(NULL AS VARCHAR) AS rx_bin FROM fm""",
 )
 def r13(spark, d):
-    f = FM.parse_forms(_invitations(spark, d), "form", ["inv_id"])
+    paths = ["prescriptions.prescriptionId", "eligibility.group", "eligibility.rxBin"]
+    f = FM.parse_forms(_invitations(spark, d), "form", ["inv_id"], paths)
     return f.select(
         "inv_id",
         F.size("prescriptions").alias("n_rx"),
@@ -352,8 +354,9 @@ def r13(spark, d):
     f"""WITH {FORMS} SELECT inv_id, CASE WHEN l_partkey IS NULL THEN 0 WHEN l_partkey % 2 = 0 THEN 2 ELSE 1 END AS n_rx FROM fm""",
 )
 def r14(spark, d):
-    f = _invitations(spark, d).select("inv_id", F.from_json("form", FM.FORM).alias("f"))
-    f = f.select("inv_id", FM.null_to_empty_list(F.col("f"), FM.FORM).alias("f"))
+    form = FM.only(FM.FORM, ["models", "prescriptions.prescriptionId"])
+    f = _invitations(spark, d).select("inv_id", F.from_json("form", form).alias("f"))
+    f = f.select("inv_id", FM.null_to_empty_list(F.col("f"), form).alias("f"))
     return f.select("inv_id", F.size("f.prescriptions").alias("n_rx"))
 
 
@@ -369,8 +372,7 @@ _DRUG = "CASE WHEN l_partkey % 3 = 0 THEN 'Jardiance' ELSE 'Quviviq' END"
         CAST(l_linenumber AS INTEGER) AS days_supply, CASE WHEN NOT old THEN o_orderpriority END AS group_id FROM rx""",
 )
 def r15(spark, d):
-    rx = FM.scan_invitation_json(_invitations(spark, d), "form")["Rx"]
-    return rx.select(
+    columns = [
         "patient_id_encoded",
         "invitation_id_encoded",
         "prescription_id_encoded",
@@ -380,7 +382,8 @@ def r15(spark, d):
         "quantity",
         "days_supply",
         "group_id",
-    )
+    ]
+    return FM.scan_invitation_json(_invitations(spark, d), "form", rx=columns)["Rx"]
 
 
 @query(
@@ -390,7 +393,8 @@ def r15(spark, d):
         AND {_DRUG} = CASE WHEN o_orderkey % 4 = 0 THEN 'Quviviq' ELSE 'Jardiance' END""",
 )
 def c5(spark, d):
-    return C.trigger_from_form(FM.parse_forms(_invitations(spark, d), "form"), MODEL_DRUGS)
+    paths = ["models", "invitation", "prescriptions.prescriptionId", "prescriptions.medication.drugName"]
+    return C.trigger_from_form(FM.parse_forms(_invitations(spark, d), "form", paths=paths), MODEL_DRUGS)
 
 
 @query(
@@ -398,4 +402,4 @@ def c5(spark, d):
     f"""WITH {FORMS} SELECT who AS patient_id_encoded, inv_id AS invitation_id_encoded, day AS "DT" FROM fm""",
 )
 def c5b(spark, d):
-    return C.trigger_from_form(FM.parse_forms(_invitations(spark, d), "form"))
+    return C.trigger_from_form(FM.parse_forms(_invitations(spark, d), "form", paths=["invitation"]))
