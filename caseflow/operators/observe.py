@@ -312,6 +312,12 @@ def _packs(
         if kind not in reader.values:
             lists.append(sorted_list(kind, F.col(_US)).alias(f"_t_{what}"))
     packs = reduce(DataFrame.unionByName, [sent(k) for k in records]).groupBy(_PID, _CHUNK).agg(*lists)
+    # A frame of one row sorts the days here, by the keys of the merge join and while their rows
+    # are short: what is laid out below is many times longer and would be sorted in its place.
+    if reader.values:
+        own = W.partitionBy(_PID, _CHUNK).rowsBetween(0, 0)
+        held = [c for c in packs.columns if c not in (_PID, _CHUNK)]
+        packs = packs.select(_PID, _CHUNK, *[F.first(c).over(own).alias(c) for c in held])
     sifted = {}
     for what, (kind, test) in reader.times.items():
         if kind in reader.values:
