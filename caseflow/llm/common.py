@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from caseflow.plans.spread import scratch_path
 
 FOLDS = 5
+#: Texts that are Python objects at once: Arrow hands over batches of thousands.
+TEXTS = 500
 _NAMES = re.compile(r"[^A-Za-z0-9_]+")
 
 
@@ -68,12 +70,19 @@ def bounded_rows(df: DataFrame, id_col: str, most: int) -> DataFrame:
     return df.where(_thinned(id_col, df.count(), most)).orderBy(spread_order(id_col), id_col).limit(most)
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], most: int = TEXTS) -> Iterator[pa.RecordBatch]:
+    """The same rows in views of at most ``most``."""
+    for b in batches:
+        for at in range(0, b.num_rows, most):
+            yield b.slice(at, most)
+
+
 def map_text(
     df: DataFrame, keep: list[str], text_col: str, schema: T.StructType, fn: Callable[[list], dict]
 ) -> DataFrame:
-    """Run ``fn`` over lists of texts, Arrow batch by Arrow batch.
+    """Run ``fn`` over lists of at most ``TEXTS`` texts.
 
-    ``fn`` gets the texts of a batch (None where null) and returns one list or array
+    ``fn`` gets the texts of some rows (None where null) and returns one list or array
     per column of ``schema``; the columns in ``keep`` are passed through unchanged.
     """
     kept = T.StructType([df.schema[k] for k in keep])
@@ -84,7 +93,7 @@ def map_text(
     at = keep.index(text_col) if text_col in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in few_rows(batches):
             got = fn(b.column(at).to_pylist())
             types = [_arrow(f.dataType) for f in schema.fields]
             made = [pa.array(got[n], type=t) for n, t in zip(names, types)]

@@ -109,9 +109,17 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, half: int) -
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
-    """(bucket, id): members of table buckets that hold at least two documents."""
-    keys = F.flatten(F.transform("left", lambda a, i: F.transform("right", lambda b, j: F.xxhash64(i, j, a, b))))
-    rows = reps.select("id", F.explode(keys).alias("bucket"))
+    """(bucket, id, size): members of table buckets that hold at least two documents.
+
+    Both halves of such a bucket's key are shared, so only shared halves are multiplied.
+    """
+    half = lambda side: F.transform(side, lambda key, at: F.xxhash64(F.lit(side), at, key))
+    sides = [reps.select("id", F.lit(s).alias("side"), F.explode(half(s)).alias("half")) for s in ("left", "right")]
+    halves = sides[0].unionByName(sides[1])
+    common = halves.groupBy("half").agg(F.count("*").alias("size")).where("size > 1")
+    halves = C.stored(halves.join(common, "half", "left_semi"), "near-halves")
+    left, right = (halves.where(F.col("side") == s).select("id", F.col("half").alias(s)) for s in ("left", "right"))
+    rows = C.stored(left.join(right, "id").select("id", F.xxhash64("left", "right").alias("bucket")), "near-tables")
     shared = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     return C.stored(rows.join(shared, "bucket"), "near-buckets")
 
@@ -137,21 +145,33 @@ def _compare(stars: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
     kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, p = None, None
-        for b in batches:
+        key, pivots = None, []
+        for b in C.few_rows(batches):
             rows = []
-            for pivot, i, pivot_text, text in zip(*[b.column(x).to_pylist() for x in range(4)]):
-                if pivot != last:
-                    last, p = pivot, shingle_set(pivot_text, k)
+            for pivot, at, i, text in zip(*[c.to_pylist() for c in b.columns]):
+                if (pivot, at) != key:
+                    key, pivots = (pivot, at), []
                 x = shingle_set(text, k)
-                both = len(np.intersect1d(x, p, assume_unique=True))
-                rows.append((pivot, i, _linked(both, len(x), len(p), num, den), len(x)))
+                if i == pivot:
+                    pivots.append(x)  # more than one where an id is repeated
+                    continue
+                for p in pivots:
+                    both = len(np.intersect1d(x, p, assume_unique=True))
+                    rows.append((pivot, i, _linked(both, len(x), len(p), num, den), len(x)))
             cols = list(zip(*rows)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(cols, kinds)], names=names)
 
-    pivots = texts.select(F.col("id").alias("pivot"), F.col("text").alias("pivot_text"))
-    mine = stars.join(texts, "id").join(pivots, "pivot").select("pivot", "id", "pivot_text", "text")
-    return mine.mapInArrow(check, "pivot bigint, id bigint, linked boolean, size bigint")
+    # a pivot's text goes once before each slice of its members
+    slices = stars.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("slices"))
+    heads = slices.select(
+        "pivot", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.col("pivot").alias("id")
+    )
+    mine = stars.join(slices, "pivot")
+    mine = mine.select("pivot", F.pmod(F.xxhash64("id"), "slices").cast("int").alias("slice"), "id")
+    rows = heads.unionByName(mine).join(texts, "id").repartition("pivot", "slice")
+    rows = rows.sortWithinPartitions("pivot", "slice", F.col("id") != F.col("pivot"), "id")
+    rows = rows.select("pivot", "slice", "id", "text")
+    return rows.mapInArrow(check, "pivot bigint, id bigint, linked boolean, size bigint")
 
 
 def _open_members(seen: DataFrame, parts: DataFrame) -> DataFrame:
@@ -237,7 +257,7 @@ def _settle(open_: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> D
             cols = [[ids[i] for i, _ in found], [ids[j] for _, j in found]]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["pivot", "id"])
 
-        for b in batches:
+        for b in C.few_rows(batches):
             for pivot, low, high, block, i, linked, part, text in zip(*[c.to_pylist() for c in b.columns]):
                 if (pivot, low, high) != key:
                     if len(rows) > 1:
@@ -261,7 +281,7 @@ def find_links(reps: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
     members = _buckets(reps)
     rank = C.stored(members.groupBy("id").agg(F.sum("size").alias("score")), "near-rank")
     texts = C.stored(texts.join(rank, "id", "left_semi"), "near-texts")
-    stars = _stars(members.select("bucket", "id"), rank)
+    stars = C.stored(_stars(members.select("bucket", "id"), rank), "near-stars")
     seen = C.stored(_compare(stars, texts, k, num, den), "near-compared")
     links = seen.where("linked").select("pivot", "id")
     parts = connected_components(links, "pivot", "id")
