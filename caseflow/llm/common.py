@@ -14,6 +14,9 @@ from caseflow.plans.spread import scratch_path
 FOLDS = 5
 #: Texts that are Python objects at once: Arrow hands over batches of thousands.
 TEXTS = 500
+#: Bytes of an Arrow batch: thousands of whole texts would stand beside the heap, on both sides of the pipe.
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 _NAMES = re.compile(r"[^A-Za-z0-9_]+")
 
 
@@ -28,6 +31,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches end at ``BATCH_BYTES``, or earlier if it already has them so."""
+    now = int(spark.conf.get(_BATCH_CONF).rstrip("bB"))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
 def fold(id_col: str) -> Column:
     """crc32 of the id as text, modulo 5; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS
@@ -80,7 +90,7 @@ def few_rows(batches: Iterator[pa.RecordBatch], most: int = TEXTS) -> Iterator[p
 def map_text(
     df: DataFrame, keep: list[str], text_col: str, schema: T.StructType, fn: Callable[[list], dict]
 ) -> DataFrame:
-    """Run ``fn`` over lists of at most ``TEXTS`` texts.
+    """Run ``fn`` over lists of at most ``TEXTS`` texts; the session's Arrow batches are bounded for it.
 
     ``fn`` gets the texts of some rows (None where null) and returns one list or array
     per column of ``schema``; the columns in ``keep`` are passed through unchanged.
@@ -89,6 +99,7 @@ def map_text(
     out = T.StructType([*kept.fields, *schema.fields])
     names = [f.name for f in schema.fields]
 
+    bound_batches(df.sparkSession)
     more = [] if text_col in keep else [F.col(text_col)]
     at = keep.index(text_col) if text_col in keep else len(keep)
 

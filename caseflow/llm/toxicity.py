@@ -155,6 +155,7 @@ class Model:
             return np.zeros(0, np.float32)
         if self.tables is None:
             self.tables = Table(self.packed[0], 2), Table(self.packed[1], 4)
+            self.packed = None
         own, after = self.tables
         text, starts, place = _spelled(words)
         p = np.full((len(text), 2), 1 / 257, np.float32)

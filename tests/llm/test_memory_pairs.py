@@ -1,5 +1,6 @@
 """What a task of the text operators holds: few texts at once, and only tables that can be shared."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 from caseflow.llm import common as C, near_dup as N
@@ -13,6 +14,28 @@ def test_texts_come_in_short_lists(spark):
     assert max(r["n"] for r in got) <= 500
 
 
+def test_batches_of_long_texts_are_bounded_by_bytes(spark):
+    """20,000 texts of 3 kB reach Python in batches of about 4 MB; a smaller bound of the session stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(0, 20_000, 1, 1).select("id", F.repeat(F.lit("abc "), 750).alias("text"))
+    schema = T.StructType([T.StructField("n", T.LongType())])
+
+    def held(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["rows", "bytes"])
+
+    try:
+        assert C.map_text(docs, ["id"], "text", schema, lambda ts: {"n": [len(t) for t in ts]}).agg(F.sum("n")).first()[0] == 60_000_000
+        got = docs.mapInArrow(held, "rows long, bytes long").collect()
+        assert sum(r["rows"] for r in got) == 20_000 and max(r["bytes"] for r in got) < 5_000_000
+        spark.conf.set(name, "1000000")
+        C.bound_batches(spark)
+        assert spark.conf.get(name) == "1000000"
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_only_shared_halves_become_tables(spark, monkeypatch):
     """200 unrelated texts and two alike: tables are laid out for the two."""
     made, keep = {}, C.stored
