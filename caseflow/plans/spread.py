@@ -97,12 +97,13 @@ def running(
     totals: dict[str, Column],
     group: list[str] | None = None,
     chunk: Column | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add running sums of ``totals`` in ``order`` inside ``group``, this row included.
 
     ``order`` must identify a row inside its group.  ``chunk`` must not decrease
     along ``order``; without it chunks are ranges of the order keys.  Null keys come
-    first, null groups are groups, and no row is lost.
+    first, null groups are groups, and no row is lost.  ``parts``: see ``carried``.
     """
     group = list(group or [])
     d = with_chunks(df, order) if chunk is None else df.withColumn(_CHUNK, chunk)
@@ -117,6 +118,7 @@ def running(
         name = f"{_BASE}_{out}"
         sums = sums.withColumn(f"{name}_", F.coalesce(F.sum(name).over(outer), F.lit(0))).drop(name)
     joined = join_null_safe(d, sums, group + [_CHUNK])
+    joined = joined.repartition(parts, *group, _CHUNK) if parts else joined
     for out, expr in totals.items():
         name = f"{_BASE}_{out}_"
         joined = joined.withColumn(out, F.col(name) + F.sum(expr).over(inner))
@@ -124,22 +126,25 @@ def running(
 
 
 def carried(
-    df: DataFrame, order: list[str], values: dict[str, Column], group: list[str], chunk: Column
+    df: DataFrame, order: list[str], values: dict[str, Column], group: list[str], chunk: Column, parts: int | None = None
 ) -> DataFrame:
     """Add the last non-null value of each expression among the rows before this one.
 
     Rows come in ``order``, unique inside ``group``; ``chunk`` must not decrease along it.  A
-    chunk starts from the last values of the chunks before, one row a chunk.
+    chunk starts from the last values of the chunks before, one row a chunk.  Chunks are dealt to
+    ``parts`` tasks, if given: Spark joins short partitions by bytes, and a task sorts all of them at once.
     """
     d = df.withColumn(_CHUNK, chunk)
-    at = F.struct(*order)
-    ends = d.groupBy(*group, _CHUNK).agg(
-        *[F.max_by(e, F.when(e.isNotNull(), at)).alias(f"{_BASE}_{out}") for out, e in values.items()]
+    known = d.select(*group, _CHUNK, F.struct(*order).alias("_at"), *[e.alias(f"{_BASE}_{out}") for out, e in values.items()])
+    known = known.repartition(parts, *group, _CHUNK) if parts else known
+    ends = known.groupBy(*group, _CHUNK).agg(
+        *[F.max_by(b, F.when(F.col(b).isNotNull(), F.col("_at"))).alias(b) for b in (f"{_BASE}_{out}" for out in values)]
     )
     before = W.partitionBy(*group).orderBy(_CHUNK).rowsBetween(W.unboundedPreceding, -1)
     for out in values:
         ends = ends.withColumn(f"{_BASE}_{out}", F.last(f"{_BASE}_{out}", ignorenulls=True).over(before))
     joined = join_null_safe(d, ends, [*group, _CHUNK])
+    joined = joined.repartition(parts, *group, _CHUNK) if parts else joined
     inner = W.partitionBy(*group, _CHUNK).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     seen = {o: F.coalesce(F.last(e, ignorenulls=True).over(inner), F.col(f"{_BASE}_{o}")) for o, e in values.items()}
     return joined.withColumns(seen).drop(_CHUNK, *[f"{_BASE}_{out}" for out in values])

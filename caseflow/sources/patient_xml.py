@@ -3,8 +3,8 @@
 ``<`` cannot stand inside a well-formed tag or text, so Spark's text source, with it as the line
 separator, deals a large file to tasks by byte ranges, and every row is one tag and the
 text after it.  What a tag lies in is carried along a file: open patient and section, depth,
-and comments.  The byte ranges are the chunks of these running values, so that no task
-walks a file; a chunk passes on one row.
+and comments.  Stretches of byte ranges are the chunks of these running values, so that no task
+walks a file; a chunk passes on one row, and tasks get about the same number of rows at every size.
 """
 
 from __future__ import annotations
@@ -20,6 +20,11 @@ _QUOTED = r""""[^"]*"|'[^']*'"""
 _ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
 
 
+#: Pieces of a chunk at most, as a power of two, and of a task's chunks on average.
+_CHUNK_BITS = 12
+_TASK_ROWS = 1 << 16
+
+
 def _decoded(text: Column) -> Column:
     """Character references as characters."""
     code = lambda n: F.when(F.startswith(n, F.lit("x")), F.conv(F.substring(n, 2, 8), 16, 10)).otherwise(n).cast("int")
@@ -49,13 +54,18 @@ def _rows(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _without_comments(rows: DataFrame) -> DataFrame:
+def _chunk() -> Column:
+    """Stretches of a block: the order goes on inside a block, so they do not decrease along it."""
+    return F.struct("_block", F.shiftright("_at", _CHUNK_BITS).alias("stretch"))
+
+
+def _without_comments(rows: DataFrame, parts: int) -> DataFrame:
     """Tags alone: no text before the first, no comments, declarations or instructions."""
     begins = F.startswith("_text", F.lit("!--")) | F.startswith("_text", F.lit("![CDATA["))
     ends = F.col("_text").contains("-->") | F.col("_text").contains("]]>")
     mark = F.when(begins & ~ends, 1).when(ends, 0)
     if not rows.where(mark == 1).isEmpty():  # only then does one reach over tags
-        rows = carried(rows, ["_at"], {"_inside": mark}, ["file_path"], F.col("_block"))
+        rows = carried(rows, ["_at"], {"_inside": mark}, ["file_path"], _chunk(), parts)
         rows = rows.where(F.coalesce("_inside", F.lit(0)) == 0)
     blank = F.trim(F.translate("_text", "﻿\t\r\n", "")) == ""
     return rows.where(~(blank | F.startswith("_text", F.lit("!")) | F.startswith("_text", F.lit("?"))))
@@ -66,7 +76,9 @@ def scan(spark: SparkSession, path: str, sections: dict[str, list[str]]) -> tupl
 
     Tags that do not nest, or are no tags, are an error that names the file.
     """
-    rows = _without_comments(stored(_rows(spark, path), "xml-tags"))
+    pieces = stored(_rows(spark, path), "xml-tags")
+    parts = -(-pieces.count() // _TASK_ROWS) or 1
+    rows = _without_comments(pieces, parts)
     bare = F.regexp_replace("_text", _QUOTED, "")
     rows = rows.withColumns(
         {
@@ -79,11 +91,11 @@ def scan(spark: SparkSession, path: str, sections: dict[str, list[str]]) -> tupl
     rows = rows.withColumn("_single", F.endswith("_bare", F.lit("/")))
     rows = rows.withColumn("_bad", ~(F.col("_whole") & F.concat("_bare", F.lit(">")).rlike(_TAG)))
     step = F.when(F.col("_single"), 0).when(F.col("_closing"), -1).otherwise(1)
-    rows = running(rows, ["_at"], {"_depth": step}, ["file_path"], F.col("_block"))
+    rows = running(rows, ["_at"], {"_depth": step}, ["file_path"], _chunk(), parts)
     # the level a tag's element stands on
     level = F.col("_depth") + F.when(F.col("_single") | F.col("_closing"), 1).otherwise(0)
     rows = stored(rows.withColumn("_level", level).drop("_bare", "_whole"), "xml-levels")
-    _check(rows)
+    _check(rows, parts)
 
     opens = ~F.col("_closing")
     named = F.col("_name").isin(list(sections))
@@ -93,7 +105,7 @@ def scan(spark: SparkSession, path: str, sections: dict[str, list[str]]) -> tupl
         "_section": F.when(named, F.struct(F.when(opens & ~F.col("_single"), F.col("_name")).alias("name"), F.col("_level").alias("level"))),
     }
     patients = rows.where(held["_patient"].isNotNull()).select(F.col("_id").alias("id"), "file_path")
-    inside = carried(rows, ["_at"], held, ["file_path"], F.col("_block"))
+    inside = carried(rows, ["_at"], held, ["file_path"], _chunk(), parts)
     mine = (F.col("_name") == "event") & opens
     mine = mine & (F.col("_section.level") == F.col("_patient.level") + 1) & (F.col("_level") == F.col("_section.level") + 1)
     events = inside.where(mine & F.col("_section.name").isNotNull())
@@ -102,11 +114,11 @@ def scan(spark: SparkSession, path: str, sections: dict[str, list[str]]) -> tupl
     )
 
 
-def _check(rows: DataFrame) -> None:
+def _check(rows: DataFrame, parts: int) -> None:
     """Every closing tag ends the element opened last on its level, and all are closed."""
     pairs = rows.where("not _single")
     name = F.when(~F.col("_closing"), F.col("_name")).otherwise(F.lit(""))
-    pairs = carried(pairs, ["_at"], {"_open": name}, ["file_path", "_level"], F.col("_block"))
+    pairs = carried(pairs, ["_at"], {"_open": name}, ["file_path", "_level"], _chunk(), parts)
     expected = F.when(F.col("_closing"), F.col("_name")).otherwise(F.lit(""))
     wrong = pairs.where(F.coalesce("_open", F.lit("")) != expected).select("file_path")
     unclosed = rows.groupBy("file_path").agg(

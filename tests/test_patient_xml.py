@@ -81,6 +81,27 @@ def test_a_large_file_is_read_by_many_tasks_once(spark, tmp_path):
     assert "Scan text" not in plan and plan.count("FileScan") == 1  # sections read what the one pass left
 
 
+def test_tasks_get_stretches_of_a_file_whatever_its_size(spark, tmp_path, monkeypatch):
+    """One file of one block: 40 times the rows are dealt to 40 times the tasks, each with a few stretches."""
+    monkeypatch.setattr(patient_xml, "_CHUNK_BITS", 4)
+    monkeypatch.setattr(patient_xml, "_TASK_ROWS", 250)
+    dealt, keep = [], patient_xml.stored
+
+    def seen(df, name):
+        if name == "xml-levels":
+            sizes = df.groupBy(F.spark_partition_id()).count().collect()
+            dealt.append((len(sizes), max(r["count"] for r in sizes)))
+        return keep(df, name)
+
+    monkeypatch.setattr(patient_xml, "stored", seen)
+    for n in (100, 4000):
+        (tmp_path / str(n)).mkdir()
+        events = "".join(f'<event ts="{i}" value="v"></event>' for i in range(n))
+        (tmp_path / str(n) / "one.xml").write_text(f'<patient id="1"><meal>{events}</meal><glucose_level>{events}</glucose_level></patient>')
+        assert scanned(spark, tmp_path / str(n)) == plain([tmp_path / str(n) / "one.xml"])
+    assert dealt[0][0] <= 2 and dealt[1][0] > 50 and max(most for _, most in dealt) < 1000
+
+
 @pytest.mark.parametrize(
     "text",
     [
