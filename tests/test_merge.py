@@ -59,3 +59,14 @@ def test_a_third_of_both_tables_is_no_task_of_its_own(spark):
         for k in keys:
             spark.conf.unset(k)
     assert len(sizes) == 16 and max(sizes) < 2 * statistics.median(sizes)
+
+
+def test_slices_do_not_grow_with_the_pairs(spark):
+    """Few slices are cut by ``cell``, many by what tasks need; a row is copied once a slice of the other side."""
+    sizes = spark.createDataFrame([(0,), (100,), (10_000,), (90_000,), (40_000_000,)], "n long")
+    assert [r[0] for r in sizes.select(R._slices("n", 30)).collect()] == [1, 4, 64, 64, 2000]
+    assert [r[0] for r in sizes.select(R._slices("n", 50_000)).collect()] == [1, 1, 1, 2, 800]
+    a = spark.range(700).select(F.lit(1).alias("p"), F.col("id").alias("a"))
+    b = spark.range(500).select(F.lit(1).alias("p"), F.col("id").alias("b"))
+    got = R.merge_raws([a, b], "p", 1)
+    assert got.count() == got.distinct().count() == 700 * 500
