@@ -1,7 +1,10 @@
 """Outer joins of raw tables with busy patients: every pair once, every lone row once, even tasks."""
 
+import os
 import random
 import statistics
+import subprocess
+import sys
 from collections import Counter
 
 import pytest
@@ -70,3 +73,39 @@ def test_slices_do_not_grow_with_the_pairs(spark):
     b = spark.range(500).select(F.lit(1).alias("p"), F.col("id").alias("b"))
     got = R.merge_raws([a, b], "p", 1)
     assert got.count() == got.distinct().count() == 700 * 500
+
+
+def test_pairs_of_a_key_are_not_held_at_once(tmp_path):
+    """9 million pairs of one key pass through a heap that is too small for them."""
+    code = f"""
+from pyspark.sql import SparkSession, functions as F
+from caseflow.operators import records as R
+s = SparkSession.builder.master("local[1]").config(map={{
+    "spark.driver.memory": "512m", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2",
+    "spark.checkpoint.dir": {str(tmp_path / "shared")!r}, "spark.local.dir": {str(tmp_path)!r}}}).getOrCreate()
+s.sparkContext.setLogLevel("OFF")
+a, b = (s.range(3030).select(F.when(F.col("id") < 3000, 7).otherwise(F.col("id")).alias("p"), F.col("id").alias(n)) for n in "ab")
+R.merge_raws([a, b], "p").write.format("noop").mode("overwrite").save()
+print("whole")
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if not k.startswith("SPARK_")} | {"PYTHONPATH": root}
+    ran = subprocess.run([sys.executable, "-c", code], env=env, cwd=root, capture_output=True, text=True, timeout=600)
+    assert ran.stdout.strip().endswith("whole"), ran.stderr[-500:]
+
+
+@pytest.mark.parametrize("cell", [2, 10_000])
+def test_rows_of_one_side_and_columns_as_a_full_outer_join_has_them(spark, cell):
+    """Null keys on both sides, keys of one side, an empty side; keys come first, tables may share a name unless dealt out."""
+    a = spark.createDataFrame([(f"a{i}", k, q) for i, (k, q) in enumerate([(1, "u"), (1, None), (None, None), (None, "u"), (2, "u")] * 5)], "t string, p int, q string")
+    b = spark.createDataFrame([(q, f"b{i}", k) for i, (k, q) in enumerate([(1, "u"), (1, None), (None, None), (None, "u"), (3, "u")] * 4)], "q string, t string, p long")
+    b = b if cell > 20 else b.withColumnRenamed("t", "s")
+    for x, y in ((a, b), (a.limit(0), b), (a, b.limit(0))):
+        got, want = R.merge_raws([x, y], ["p", "q"], cell), x.join(y, ["p", "q"], "full_outer")
+        assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    if cell > 20:
+        c = a.select("p", "q", F.col("t").alias("u"))
+        got, want = R.merge_raws([a, b, c], ["p", "q"], cell), a.join(b, ["p", "q"], "full_outer").join(c, ["p", "q"], "full_outer")
+        assert got.columns == want.columns
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
